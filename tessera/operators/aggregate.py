@@ -18,7 +18,7 @@ from tessera.functions.stats import (
     pearson_from_sums,
     slope_from_sums,
 )
-from tessera.functions.text import lower_words
+from tessera.functions.text import tokens
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -26,8 +26,14 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 
 def words(df: DataFrame, column: str = "value", unicode_blanks: bool = False, out: str = "word") -> DataFrame:
-    """One row per lower-cased, non-empty token of ``column`` (whole texts)."""
-    return df.select(F.explode(lower_words(column, unicode_blanks)).alias(out))
+    """One row per lower-cased, non-empty token of ``column`` (whole texts).
+
+    ``explode(split)`` then ``lower`` and the empty-token filter as plain
+    expressions: all inside whole-stage codegen (higher-order array functions
+    would be interpreted).
+    """
+    toks = df.select(F.explode(tokens(column, unicode_blanks)).alias("__tok"))
+    return toks.select(F.lower("__tok").alias(out)).filter(F.col(out) != "")
 
 
 def word_count(df: DataFrame, column: str = "value", unicode_blanks: bool = False) -> DataFrame:
