@@ -24,30 +24,42 @@ def filter_keys(df: DataFrame, column: str, keys: Iterable | DataFrame) -> DataF
     return df.filter(F.col(column).isin([F.lit(k).cast(kind) for k in keys]))
 
 
-def upsert_by_key(base: DataFrame, updates: DataFrame, keys: str | Sequence[str],
-                  seq: str | None = None) -> DataFrame:
-    """Write ``updates`` into ``base``: one row per key, the last write wins.
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the largest ``order`` (then the largest row content).
 
-    Without ``seq`` the updates are newer than the base; with ``seq`` the row
-    with the largest ``seq`` wins. Ties on the sequence are broken by the row
-    content, so the result never depends on partitioning. ``max(struct)`` is a
-    partial aggregate: a key written many times is folded on the map side.
+    ``max(struct)`` is a partial aggregate: a key written many times is folded
+    on the map side, so a hot key never brings all its rows to one task.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    cols = base.columns
+    cols = df.columns
     payload = [c for c in cols if c not in keys]
-    if seq is None:
-        tagged = base.withColumn("__seq", F.lit(0)).unionByName(updates.select(*cols).withColumn("__seq", F.lit(1)))
-        order = "__seq"
-    else:
-        tagged = base.unionByName(updates.select(*cols))
-        order = seq
-    fields = [order, *[c for c in payload if c != order]]
+    fields = ([order] if order else []) + [c for c in payload if c != order]
     best = F.max(F.struct(*[F.col(c).alias(c) for c in fields])).alias("__best")
-    out = tagged.groupBy(*keys).agg(best)
+    out = df.groupBy(*keys).agg(best)
     return out.select(*[F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in cols])
 
 
+def upsert_by_key(base: DataFrame, updates: DataFrame, keys: str | Sequence[str],
+                  seq: str | None = None) -> DataFrame:
+    """Write ``updates`` into the keyed table ``base``: one row per key, the last write wins.
+
+    Without ``seq`` the updates are newer than every base row: base rows whose
+    key is updated are dropped by a left-anti join on the update keys and the
+    (deduplicated) updates are appended. The base table is never aggregated;
+    when the update keys are small AQE broadcasts them, so the base is not
+    even shuffled. With ``seq`` (versions may arrive out of order) both sides
+    are merged and the largest ``seq`` per key wins; ties are broken by the
+    row content, so the result never depends on partitioning.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    cols = base.columns
+    updates = updates.select(*cols)
+    if seq is not None:
+        return latest_per_key(base.unionByName(updates), keys, seq)
+    newest = latest_per_key(updates, keys)
+    kept = base.join(newest.select(*keys), keys, "left_anti")
+    return kept.unionByName(newest).select(*cols)
+
+
 def part_names_by_order(lineitem: DataFrame, part: DataFrame, orderkey: str = "l_orderkey",
                         partkey: str = "l_partkey", p_partkey: str = "p_partkey",
                         p_name: str = "p_name", out: str = "part_names") -> DataFrame:

@@ -51,6 +51,17 @@ class RgbToLab(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable,
         return dataset.withColumns(dict(zip(self.getOutputCols(), lab)))
 
 
+def training_set(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread a training set over the cluster's cores and keep it in memory.
+
+    Iterative learners (L-BFGS, tree growing) pass over the data many times;
+    one cached partition per core keeps every core busy on every pass. The
+    cache is recomputed from lineage if an executor is lost.
+    """
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n).cache()
+
+
 def tmax_pipeline(with_yesterday: bool = True, num_trees: int = 40, max_depth: int = 10, seed: int = 123,
                   learner: str = "forest") -> Pipeline:
     """Next-day maximum temperature: SQL features -> vector -> tree ensemble."""

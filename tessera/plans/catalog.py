@@ -23,12 +23,14 @@ QUERIES = {
     "etl_negative": jobs.etl_negative,
     "etl_split": jobs.etl_labelled,
     "flagged_projection": jobs.flagged_projection,
+    "weather_etl": jobs.weather_etl,
     "relative_score": jobs.relative_score,
     "relative_score_broadcast": jobs.relative_score_broadcast,
     "daily_range_max": jobs.daily_range_max,
     "daily_range_max_sql": jobs.daily_range_max_sql,
     "access_log_parse": jobs.access_log_parse,
     "log_correlation": jobs.log_correlation,
+    "loaded_logs": jobs.loaded_logs,
     "log_table_correlation": jobs.log_table_correlation,
     "shortest_hops": jobs.shortest_hops,
     "shortest_route": jobs.shortest_route,
@@ -259,6 +261,12 @@ SELECT *, 'negative' AS part FROM ({_ETL.format(op='<')})
 SELECT p_partkey, p_brand, p_size / 10 AS size_tenths FROM part
 WHERE p_name IS NOT NULL AND starts_with(p_brand, 'Brand#1') AND p_type = 'ECONOMY'
 """,
+    "weather_etl": f"""
+WITH {OBSERVATIONS}
+SELECT station, date, value / 10 AS tmax FROM obs
+WHERE qflag IS NULL AND starts_with(station, 'U1') AND observation = 'TMAX'
+""",
+    "loaded_logs": f"WITH {LOGS} SELECT host, datetime, path, bytes, CAST(36 AS INTEGER) AS id_length FROM logs",
     "relative_score": """
 WITH m AS (SELECT event_type, avg(value) AS mean FROM events GROUP BY event_type HAVING avg(value) > 0)
 SELECT e.event_id, e.user_id, e.event_type, round(e.value / m.mean, 6) AS relative_score

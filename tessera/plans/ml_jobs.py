@@ -26,7 +26,7 @@ def _daily(spark, sf_dir) -> DataFrame:
 def _fit_tmax(spark, sf_dir, with_yesterday: bool = True):
     daily = _daily(spark, sf_dir)
     train, validation = hash_split(daily, "station", (0.75, 0.25), seed=SEED)
-    train = train.cache()
+    train = ml.training_set(train)
     model = ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
     return model, train, validation
 
@@ -77,12 +77,16 @@ def _colour_data(spark, sf_dir):
     return data.colours(data.table(spark, sf_dir, "lineitem"))
 
 
+def _colour_split(colours: DataFrame):
+    return hash_split(colours, ["R", "G", "B", "word"], (0.75, 0.25), seed=SEED)
+
+
 def colour_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perceptron accuracy on validation for RGB and LAB inputs."""
     colours = _colour_data(spark, sf_dir)
     n_labels = colours.select("word").distinct().count()
-    train, validation = hash_split(colours, ["R", "G", "B", "word"], (0.75, 0.25), seed=SEED)
-    train = train.cache()
+    train, validation = _colour_split(colours)
+    train = ml.training_set(train)
     rows = []
     for space in ("rgb", "lab"):
         model = ml.colour_pipeline(space, n_labels=n_labels, seed=SEED).fit(train)
@@ -92,10 +96,13 @@ def colour_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def colour_grid(spark: SparkSession, sf_dir: str, resolution: int = 64) -> DataFrame:
-    """ML11: predicted word over a LAB slice at luminance 70 (model trained on the table)."""
+    """ML11: predicted word over a LAB slice at luminance 70, by the RGB model
+    trained on the same training split as :func:`colour_model`."""
     colours = _colour_data(spark, sf_dir)
     n_labels = colours.select("word").distinct().count()
-    model = ml.colour_pipeline("rgb", n_labels=n_labels, seed=SEED).fit(colours)
+    train = ml.training_set(_colour_split(colours)[0])
+    model = ml.colour_pipeline("rgb", n_labels=n_labels, seed=SEED).fit(train)
+    train.unpersist()
     return ml.prediction_grid(spark, model, lum=70.0, resolution=resolution)
 
 
