@@ -3,8 +3,9 @@
 Breadth-first search as a driver loop of DataFrame steps. Each round joins
 only the newest frontier with the edges, drops nodes already known
 (left-anti join), keeps the smallest parent per new node (partial aggregate)
-and checkpoints the round into the shared checkpoint folder, which cuts the
-lineage and survives the loss of executors.
+and writes the round as a table in the shared scratch folder (the folder of
+``spark.checkpoint.dir``): that computes the round once, cuts the lineage and
+survives the loss of executors.
 """
 
 from __future__ import annotations
@@ -12,23 +13,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sinks.files import materialize
 from tessera.session import scratch_root
 
 NO_PATH = ["NO", "PATH", "FOUND"]
 
 
 def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str = "src",
-                   dst: str = "dst") -> DataFrame:
+                   dst: str = "dst", stage_edges: bool = True) -> DataFrame:
     """``node, parent, dist, path`` for every node reachable in at most ``max_hops``.
 
     ``dist`` is the least number of hops; among equally short routes the
     parent with the smallest id wins, so the result is deterministic. The
     source has ``parent`` NULL and ``dist`` 0. ``path`` lists the nodes from
-    the source to the node.
+    the source to the node. ``stage_edges`` writes the two edge columns once
+    to the scratch folder so the rounds read them instead of re-deriving them
+    (turn it off when ``edges`` already is a stored table).
     """
     spark = edges.sparkSession
     scratch_root(spark)  # make sure the checkpoint folder is set
     links = edges.select(F.col(src).cast("long").alias("src"), F.col(dst).cast("long").alias("dst"))
+    if stage_edges:
+        links = materialize(links, "bfs-edges")
     known = spark.createDataFrame(
         [(int(source), None, 0, [int(source)])],
         "node long, parent long, dist int, path array<long>",
@@ -46,7 +52,8 @@ def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str =
             F.col("__b.parent").alias("parent"),
             F.lit(hop).alias("dist"),
             F.concat(F.col("__b.path"), F.array(F.col("node"))).alias("path"),
-        ).checkpoint(eager=True)
+        )
+        nxt = materialize(nxt, "bfs")
         if nxt.isEmpty():
             break
         seen.append(nxt)

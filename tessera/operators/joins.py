@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.aggregate import group_max, group_mean
+from tessera.sinks.files import materialize
 
 # Rough bytes per value when sizing a broadcast side.
 _WIDTH = {
@@ -28,19 +29,32 @@ def row_width(schema: T.StructType) -> int:
     return 16 + sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields)
 
 
-def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Cache ``small``, measure it, and mark it for broadcast only if it fits.
+# Sides of at most this many rows are measured by a bounded collect and
+# shipped as a local relation (a broadcast sends the rows from the driver anyway).
+LOCAL_ROWS = 10_000
 
-    Returns ``(frame, broadcast?)``. The count runs on the cached frame, so the
-    join reuses the measured data instead of computing it again. A side that
-    is too big comes back un-hinted (and un-cached) for a shuffle join.
+
+def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
+    """Measure ``small`` and mark it for broadcast only if it fits ``max_bytes``.
+
+    Returns ``(frame, broadcast?)``. The check never moves more than a bounded
+    number of rows: ``limit(local_rows + 1)`` is collected first, so a tiny
+    side (such as one mean per group) is measured and shipped in one job. A
+    larger side is computed once into the shared scratch folder, counted from
+    the Parquet footers and broadcast from the files if rows x width fits; past
+    the bound the written table joins by shuffle (AQE picks the strategy).
     """
-    cached = small.cache()
-    n = cached.count()
-    if n * row_width(cached.schema) <= max_bytes:
-        return F.broadcast(cached), True
-    cached.unpersist()
-    return small, False
+    width = row_width(small.schema)
+    cap = min(local_rows, max_bytes // width)
+    head = small.limit(cap + 1).collect()
+    if len(head) <= cap:
+        local = small.sparkSession.createDataFrame(head, small.schema)
+        return F.broadcast(local), True
+    staged = materialize(small, "broadcast")
+    if staged.count() * width <= max_bytes:
+        return F.broadcast(staged), True
+    return staged, False
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", strategy: str = "auto",

@@ -134,10 +134,12 @@ def _relative(spark, sf_dir, strategy):
 
 
 def relative_score(spark, sf_dir):
-    return _relative(spark, sf_dir, "auto")
+    """The detail rows and the group means meet in a shuffle (sort-merge) join."""
+    return _relative(spark, sf_dir, "shuffle")
 
 
 def relative_score_broadcast(spark, sf_dir):
+    """The means are written once, measured, and broadcast; detail rows are not shuffled."""
     return _relative(spark, sf_dir, "broadcast")
 
 

@@ -109,6 +109,20 @@ def snapshot(df: DataFrame, path: str, iteration: int, fmt: str = "parquet") ->
     return df.sparkSession.read.format(fmt).load(target)
 
 
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
+
+    Computes ``df`` once, cuts its lineage and survives executor loss (the files
+    live in shared storage, not in executor memory); the row count of the
+    result comes from Parquet footers.
+    """
+    from tessera.session import scratch_path
+
+    path = scratch_path(df.sparkSession, "stages", label, unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def collect_scalar(df: DataFrame, column: str | None = None):
     """First value of a one-row result (e.g. a global aggregate) on the driver."""
     row = df.first()

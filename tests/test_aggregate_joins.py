@@ -88,3 +88,13 @@ def test_total_and_sums(spark):
     assert agg.total(df, "bytes").first().total == 16
     got = {r.host: (r.visits, r.bytes) for r in agg.group_sums(df, "host", {"visits": F.lit(1), "bytes": "bytes"}).collect()}
     assert got == {"h": (2, 15), "g": (1, 1)}
+
+
+def test_bounded_broadcast_tiers(spark):
+    df = spark.range(50).withColumn("v", F.col("id") * 2)
+    local, ok = joins.bounded_broadcast(df, local_rows=100)
+    assert ok and local.count() == 50
+    staged, ok2 = joins.bounded_broadcast(df, local_rows=10)
+    assert ok2 and staged.count() == 50
+    big, ok3 = joins.bounded_broadcast(df, max_bytes=100, local_rows=10)
+    assert not ok3 and sorted(r.id for r in big.collect()) == list(range(50))
