@@ -22,14 +22,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions.colour import COLOUR_RGB, lab_grid, rgb_to_lab_columns
 
-# Yesterday's value of the same station joined to today (a self-join, so a
-# missing day yields no row; lag() would pair across the gap).
+# Features of a day and the same station's maximum of the day before. A
+# self-join, so a missing day yields no row (lag() would pair across the gap).
 YESTERDAY_SQL = (
-    "SELECT today.station AS station, today.date AS date, today.latitude AS latitude, "
-    "today.longitude AS longitude, today.elevation AS elevation, dayofyear(today.date) AS dayofyear, "
-    "today.tmax AS tmax, yesterday.tmax AS yesterday_tmax "
-    "FROM __THIS__ AS today JOIN __THIS__ AS yesterday "
-    "ON date_sub(today.date, 1) = yesterday.date AND today.station = yesterday.station"
+    "SELECT t.station AS station, t.date AS date, t.latitude AS latitude, t.longitude AS longitude, "
+    "t.elevation AS elevation, dayofyear(t.date) AS dayofyear, t.tmax AS tmax, p.tmax AS yesterday_tmax "
+    "FROM __THIS__ t JOIN __THIS__ p ON p.station = t.station AND p.date = date_add(t.date, -1)"
 )
 DAYOFYEAR_SQL = (
     "SELECT station, date, latitude, longitude, elevation, dayofyear(date) AS dayofyear, tmax FROM __THIS__"
@@ -77,8 +75,12 @@ def tmax_pipeline(with_yesterday: bool = True, num_trees: int = 40, max_depth: i
 
 
 def colour_pipeline(space: str = "rgb", n_labels: int = 11, hidden: int = 30, seed: int = 123,
-                    max_iter: int = 100, label_col: str = "word") -> Pipeline:
-    """Colour word from RGB (or LAB) with a one-hidden-layer perceptron."""
+                    max_iter: int = 100, label_col: str = "word", block_size: int = 128) -> Pipeline:
+    """Colour word from RGB (or LAB) with a one-hidden-layer perceptron.
+
+    ``block_size`` only groups rows into matrices for the gradient; larger
+    blocks train faster on big inputs (the default keeps Spark's 128).
+    """
     stages = []
     if space == "lab":
         stages.append(RgbToLab())
@@ -89,7 +91,8 @@ def colour_pipeline(space: str = "rgb", n_labels: int = 11, hidden: int = 30, se
         VectorAssembler(inputCols=inputs, outputCol="features"),
         StringIndexer(inputCol=label_col, outputCol="label_index", stringOrderType="alphabetAsc"),
         MultilayerPerceptronClassifier(featuresCol="features", labelCol="label_index",
-                                       layers=[3, hidden, n_labels], seed=seed, maxIter=max_iter),
+                                       layers=[3, hidden, n_labels], seed=seed, maxIter=max_iter,
+                                       blockSize=block_size),
     ]
     return Pipeline(stages=stages)
 

@@ -14,11 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from tessera.session import get_session
 
-    extra = {}
-    # tests run in local mode: a temporary checkpoint folder only where none is set
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="tessera-test-ckpt-", dir="/tmp")
-    session = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=8, extra=extra)
+    # local mode: when spark.checkpoint.dir is unset, get_session gives the
+    # session a fresh temporary scratch folder
+    session = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=8)
     yield session
     session.stop()
 

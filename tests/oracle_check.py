@@ -13,7 +13,6 @@ import hashlib
 import math
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -64,10 +63,7 @@ def main(argv):
     import __spark_entry__ as E
     from tessera.session import get_session
 
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="run-ckpt-", dir="/tmp")
-    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
+    spark = get_session("local[8]", shuffle_partitions=8)
     qs, sql = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
