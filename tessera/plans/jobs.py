@@ -17,6 +17,7 @@ from tessera.functions.colour import lab_to_rgb, rgb_to_hsv, rgb_to_lab
 from tessera.functions.text import base_name, hour_key_from_path, word_count_line
 from tessera.operators import aggregate as agg
 from tessera.operators import graph, joins, keyed
+from tessera.operators.weather import widest_range_per_date
 from tessera.plans import data
 from tessera.session import scratch_path
 from tessera.sinks.files import replace_table
@@ -150,14 +151,7 @@ def _observations(spark, sf_dir):
 
 
 def daily_range_max(spark, sf_dir, strategy: str = "broadcast"):
-    obs = _observations(spark, sf_dir).filter(F.col("qflag").isNull())
-    tmax = obs.filter(F.col("observation") == "TMAX").select("station", "date", (F.col("value") / 10).alias("tmax"))
-    tmin = obs.filter(F.col("observation") == "TMIN").select("station", "date", (F.col("value") / 10).alias("tmin"))
-    ranged = joins.pair_on(tmax, tmin, ["station", "date"]).select(
-        "station", "date", (F.col("tmax") - F.col("tmin")).alias("range")
-    )
-    best = joins.join_back_to_max(ranged, "date", "range", strategy=strategy)
-    return best.select("date", "station", F.format_number("range", 2).alias("range")).orderBy("date", "station")
+    return widest_range_per_date(_observations(spark, sf_dir), strategy=strategy)
 
 
 DAILY_RANGE_SQL = """
