@@ -200,7 +200,7 @@ def log_correlation(spark, sf_dir):
 
 def load_logs(spark, sf_dir, path: str | None = None, partitions: int | None = None) -> str:
     """Parse, key with a fresh UUID per row, spread evenly, replace the table."""
-    path = path or scratch_path(spark, "tables", _tag(sf_dir), "access_logs")
+    path = path or scratch_path(spark, "tables", _tag(sf_dir), "access_logs", unique=True)
     logs = parse_access_log(_log_lines(spark, sf_dir), id_mode="random")
     logs = logs.repartition(partitions) if partitions else logs.hint("rebalance")
     replace_table(logs, path)

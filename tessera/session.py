@@ -30,6 +30,29 @@ BASE_CONF = {
 }
 
 
+def scale_conf(total_cores: int, largest_shuffle_bytes: int, target_partition_bytes: int = 256 * 1024**2,
+               scan_split_bytes: int = 256 * 1024**2, max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing for a cluster run, as Spark settings.
+
+    Shuffle partitions are sized so the largest shuffle lands at about
+    ``target_partition_bytes`` per partition (never fewer than 3 per core), so a
+    reduce task fits in executor memory and spills little; AQE then coalesces
+    small partitions towards the advisory size and splits skewed ones. Scan
+    tasks read ``scan_split_bytes`` of input each. The count is capped at
+    ``max_partitions``: shuffle blocks grow as map tasks x reduce partitions,
+    so past the cap partitions get bigger instead (reducers spill to disk).
+    """
+    by_size = -(-int(largest_shuffle_bytes) // int(target_partition_bytes))
+    partitions = max(3 * int(total_cores), min(by_size, int(max_partitions)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes) // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(int(target_partition_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(int(scan_split_bytes)),
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "tessera",

@@ -75,3 +75,14 @@ def test_hash_split_is_reproducible_and_complete(spark):
     assert not keys_a & keys_b
     parts = hash_split(df, "k", (1, 1, 1), seed=2)
     assert sum(p.count() for p in parts) == 5000
+
+
+def test_scale_conf():
+    from tessera.session import scale_conf
+
+    big = scale_conf(8000, 100 * 1024**4)  # 100 TiB shuffle on 8,000 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped: 1 GiB partitions
+    mid = scale_conf(1000, 5 * 1024**4)
+    assert int(mid["spark.sql.shuffle.partitions"]) == 20480
+    small = scale_conf(8, 10 * 1024**2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
