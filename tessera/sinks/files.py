@@ -10,8 +10,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.text import key_value_line
+from tessera.functions.text import json_array_line, key_value_line
 
 
 def _maybe_single(df: DataFrame, single_file: bool) -> DataFrame:
@@ -34,9 +35,11 @@ def format_kv(df: DataFrame, key: str, value: str, sep: str = "\t") -> DataFrame
 
 
 def to_json_lines(df: DataFrame, as_array: bool = False) -> DataFrame:
-    """One JSON text per row: an object, or a positional array of the columns."""
+    """One JSON text per row: an object, or a positional array of the columns
+    (``["pose", 4.0]``: string columns quoted, numbers as numbers)."""
     if as_array:
-        return df.select(F.to_json(F.array(*[F.col(c).cast("string") for c in df.columns])).alias("value"))
+        strings = tuple(i for i, f in enumerate(df.schema.fields) if not isinstance(f.dataType, T.NumericType))
+        return df.select(json_array_line(*df.columns, strings=strings).alias("value"))
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 

@@ -65,7 +65,7 @@ def test_comment_split_and_relative_score(spark, tmp_out):
     assert sorted(r.author for r in neg) == ["d"]
     rel = J.relative_score(spark, _comments(tmp_out), f"{tmp_out}/rel", strategy="broadcast").collect()
     assert [(r.author, r.relative) for r in rel] == [("b", 1.25), ("a", 0.75)]
-    assert _lines(f"{tmp_out}/rel")[0] == '["b","1.25"]'
+    assert _lines(f"{tmp_out}/rel")[0] == '["b", 1.25]'
 
 
 PAGES = ["en A 5 100", "en B 5 9", "en Main_Page 99 1", "en Special:X 98 1", "fr C 97 1", 'en "q 1 1']

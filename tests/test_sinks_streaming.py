@@ -38,7 +38,7 @@ def test_text_kv_json_csv_round_trips(spark, tmp_out):
     write_lines(format_kv(df, "k", "n"), f"{tmp_out}/kv", single_file=True)
     assert _texts(f"{tmp_out}/kv") == ["a\t1", "b\t2"]
     arrays = sorted(r.value for r in to_json_lines(df.select("k", "n"), as_array=True).collect())
-    assert arrays == ['["a","1"]', '["b","2"]']
+    assert arrays == ['["a", 1]', '["b", 2]']
     objs = sorted(r.value for r in to_json_lines(df).collect())
     assert json.loads(objs[0]) == {"k": "a", "n": 1}  # NULL field left out
     write_json(df, f"{tmp_out}/js", compression="gzip", single_file=True)
