@@ -48,8 +48,8 @@ def split_get(text: str | Column, sep: str, index: int) -> Column:
 
 
 def base_name(path: str | Column) -> Column:
-    """Last path segment of a file path or URL."""
-    return F.regexp_extract(_col(path), r"([^/]*)$", 1)
+    """Last path segment of a file path or URL (everything after the last ``/``)."""
+    return F.substring_index(_col(path), "/", -1)
 
 
 def hour_key_from_path(path: str | Column) -> Column:
