@@ -93,6 +93,20 @@ def order_lines(orders: DataFrame, lineitem: DataFrame, part: DataFrame, keys=No
     return lines_from_denormalized(denorm, None, o_orderkey, o_totalprice)
 
 
+def write_keyed_table(df: DataFrame, path: str, key: str | Sequence[str], fmt: str = "parquet",
+                      partitions: int | None = None) -> None:
+    """Replace the table at ``path`` with ``df`` clustered and sorted by ``key``.
+
+    Range partitioning gives each output file a narrow, disjoint key range and
+    the sort orders the row groups inside it, so a later key lookup pushed to
+    the scan (``key IN (...)``) skips the files and row groups whose min/max
+    statistics exclude it.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").format(fmt).save(path)
+
+
 def lines_from_denormalized(denorm: DataFrame, keys=None, o_orderkey: str = "o_orderkey",
                             o_totalprice: str = "o_totalprice", names: str = "part_names") -> DataFrame:
     """``o_orderkey, line`` read straight from a denormalised orders table (no join)."""

@@ -219,13 +219,13 @@ def denormalize_orders(spark: SparkSession, tables: str, output: str,
         current = spark.read.parquet(output)
         current.schema  # noqa: B018 - raises when there is no table yet
     except AnalysisException:
-        replace_table(denorm, output)
+        keyed.write_keyed_table(denorm, output, "o_orderkey")
         return spark.read.parquet(output)
     # A Parquet table cannot be rewritten while it is read: the merged rows
     # go to a sibling folder first, then replace the table.
     staged = f"{output.rstrip('/')}__next"
     replace_table(keyed.upsert_by_key(current, denorm, "o_orderkey"), staged)
-    replace_table(spark.read.parquet(staged), output)
+    keyed.write_keyed_table(spark.read.parquet(staged), output, "o_orderkey")
     return spark.read.parquet(output)
 
 

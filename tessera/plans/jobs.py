@@ -270,7 +270,7 @@ def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
             return path
         except AnalysisException:
             pass
-    replace_table(_denormalized(spark, sf_dir), path)
+    keyed.write_keyed_table(_denormalized(spark, sf_dir), path, "o_orderkey")
     return path
 
 

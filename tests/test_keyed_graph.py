@@ -88,3 +88,17 @@ def test_shortest_path_matches_brute_force(spark):
     dist, parent = _brute(pairs, 0, 6)
     got = {r.node: (r.parent, r.dist) for r in graph.shortest_paths(_edges(spark, pairs), 0).collect()}
     assert got == {n: (parent.get(n), d) for n, d in dist.items()}
+
+
+def test_keyed_table_lookup_pushes_key_filter(spark, tmp_out):
+    from plan_util import plan_text
+
+    df = spark.range(0, 20_000).select(F.col("id").alias("o_orderkey"), (F.col("id") * 2.5).alias("o_totalprice"),
+                                       F.array(F.lit("x")).alias("part_names"))
+    keyed.write_keyed_table(df, f"{tmp_out}/kt", "o_orderkey", partitions=8)
+    table = spark.read.parquet(f"{tmp_out}/kt")
+    assert len(table.inputFiles()) == 8
+    lookup = keyed.lines_from_denormalized(table, keys=[5, 19_999])
+    assert sorted(r.line for r in lookup.collect()) == ["Order #19999 $49997.50: x", "Order #5 $12.50: x"]
+    plan = plan_text(lookup).replace(" ", "")
+    assert "PushedFilters:[In(o_orderkey,[19999,5])" in plan or "PushedFilters:[In(o_orderkey,[5,19999])" in plan
