@@ -2,8 +2,9 @@
 
 Breadth-first search as a driver loop of DataFrame steps. Each round joins
 only the newest frontier with the edges, drops nodes already known
-(left-anti join), keeps the smallest parent per new node (partial aggregate)
-and writes the round as a table in the shared scratch folder (the folder of
+(left-anti join), keeps the smallest parent per new node (a hash aggregate of
+longs, partial on the map side), attaches the parent's route with one join
+against the frontier, and writes the round as a table in the shared scratch folder (the folder of
 ``spark.checkpoint.dir``): that computes the round once, cuts the lineage and
 survives the loss of executors.
 """
@@ -42,16 +43,20 @@ def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str =
     frontier = known
     seen = [known]
     for hop in range(1, max_hops + 1):
-        reached = frontier.select("node", "path").join(links, frontier["node"] == links["src"], "inner").select(
-            F.col("dst").alias("node"), F.col("src").alias("parent"), "path"
+        # Heavy part (one row per frontier edge) carries two longs only; the
+        # smallest parent per new node is a hash aggregate (partial on the map side).
+        reached = frontier.select("node").join(links, frontier["node"] == links["src"], "inner").select(
+            F.col("dst").alias("node"), F.col("src").alias("parent")
         )
         fresh = reached.join(known.select("node"), "node", "left_anti")
-        best = fresh.groupBy("node").agg(F.min(F.struct("parent", "path")).alias("__b"))
-        nxt = best.select(
+        best = fresh.groupBy("node").agg(F.min("parent").alias("parent"))
+        # One row per new node: attach the parent's route from the frontier.
+        routes = frontier.select(F.col("node").alias("parent"), F.col("path").alias("__p"))
+        nxt = best.join(routes, "parent", "inner").select(
             "node",
-            F.col("__b.parent").alias("parent"),
+            "parent",
             F.lit(hop).alias("dist"),
-            F.concat(F.col("__b.path"), F.array(F.col("node"))).alias("path"),
+            F.concat(F.col("__p"), F.array(F.col("node"))).alias("path"),
         )
         nxt = materialize(nxt, "bfs")
         if nxt.isEmpty():
