@@ -19,7 +19,7 @@ from tessera import schemas
 from tessera.functions.text import key_value_line, word_count_line
 from tessera.operators import aggregate as agg
 from tessera.operators import graph, joins, keyed, ml
-from tessera.operators.partition import hash_split
+from tessera.operators.partition import hash_split, spread_if_uneven
 from tessera.operators.weather import widest_range_per_date
 from tessera.plans.jobs import DAILY_RANGE_SQL
 from tessera.sinks.files import (
@@ -53,8 +53,13 @@ def _pages_filter(df: DataFrame) -> DataFrame:
 
 def word_count(spark: SparkSession, inputs: str, output: str, rebalance: int | None = None,
                unicode_blanks: bool = False) -> DataFrame:
-    """Text files -> ``word count`` lines sorted by word."""
-    counts = agg.word_count(read_lines(spark, inputs, rebalance), "value", unicode_blanks).orderBy("word")
+    """Text files -> ``word count`` lines sorted by word.
+
+    ``rebalance`` spreads the lines over that many partitions; without it the
+    lines are spread only when the scan is badly split (e.g. a few big gzip files).
+    """
+    lines = read_lines(spark, inputs, rebalance) if rebalance else spread_if_uneven(read_lines(spark, inputs))
+    counts = agg.word_count(lines, "value", unicode_blanks).orderBy("word")
     write_lines(counts.select(word_count_line("word", "n").alias("value")), output)
     return counts
 

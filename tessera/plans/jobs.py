@@ -17,6 +17,7 @@ from tessera.functions.colour import lab_to_rgb, rgb_to_hsv, rgb_to_lab
 from tessera.functions.text import base_name, hour_key_from_path, word_count_line
 from tessera.operators import aggregate as agg
 from tessera.operators import graph, joins, keyed
+from tessera.operators.partition import spread_if_uneven
 from tessera.operators.weather import widest_range_per_date
 from tessera.plans import data
 from tessera.session import scratch_path
@@ -38,13 +39,19 @@ def _r(c, digits: int = DIGITS):
 
 # --- J1 word count -----------------------------------------------------------
 
-def word_count(spark, sf_dir):
+def _documents(spark, sf_dir):
+    """Document texts as lines; spread over the cores first if the scan is
+    badly split (tokenising is the heavy per-row work of the job)."""
     docs = _t(spark, sf_dir, "documents").select(F.col("text").alias("value"))
-    return agg.word_count(docs).orderBy("word")
+    return spread_if_uneven(docs)
+
+
+def word_count(spark, sf_dir):
+    return agg.word_count(_documents(spark, sf_dir)).orderBy("word")
 
 
 def word_count_lines(spark, sf_dir):
-    counts = agg.word_count(_t(spark, sf_dir, "documents").select(F.col("text").alias("value")))
+    counts = agg.word_count(_documents(spark, sf_dir))
     return counts.orderBy("word").select(word_count_line("word", "n").alias("line"))
 
 

@@ -86,3 +86,12 @@ def test_scale_conf():
     assert int(mid["spark.sql.shuffle.partitions"]) == 20480
     small = scale_conf(8, 10 * 1024**2)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_spread_if_uneven(spark, tmp_out):
+    from tessera.operators.partition import spread_if_uneven
+
+    one = spark.range(1000).coalesce(1)
+    assert spread_if_uneven(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism)
+    assert spread_if_uneven(many) is many
