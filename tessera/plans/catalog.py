@@ -347,3 +347,59 @@ FROM pages
 }
 ORACLE_SQL["relative_score_broadcast"] = ORACLE_SQL["relative_score"]
 ORACLE_SQL["log_table_correlation"] = ORACLE_SQL["log_correlation"]
+
+
+# ------------------------------------------------ file-level queries (oracle)
+
+_COMMENTS = """
+c AS (SELECT 'u' || CAST(user_id AS VARCHAR) AS author, CAST(floor(value) AS BIGINT) - 50 AS score,
+             event_type AS subreddit FROM events)
+"""
+
+_PAGE_LINES = """
+pl AS (
+  SELECT strftime(ts, '%Y%m%d-%H') AS hour,
+         CASE WHEN event_type = 'signup' THEN 'fr' ELSE 'en' END AS language,
+         CASE WHEN event_type = 'error' THEN 'Special:Error_' || CAST(user_id AS VARCHAR)
+              WHEN event_type = 'click' THEN 'Main_Page'
+              ELSE event_type || '_' || CAST(user_id AS VARCHAR) END AS title,
+         count(*) AS views
+  FROM events GROUP BY 1, 2, 3),
+f AS (SELECT * FROM pl WHERE language = 'en' AND title <> 'Main_Page' AND NOT starts_with(title, 'Special:'))
+"""
+
+FILE_ORACLE_SQL = {
+    "file_word_count": ORACLE_SQL["word_count_lines"],
+    "file_group_average": f"WITH {_COMMENTS} SELECT subreddit, round(avg(score), 6) AS average FROM c GROUP BY subreddit",
+    "file_comment_split": f"""
+WITH {_COMMENTS}
+SELECT author, score, subreddit, CASE WHEN score > 0 THEN 'positive' ELSE 'negative' END AS part
+FROM c WHERE contains(subreddit, 'e') AND score <> 0
+""",
+    "file_relative_score": f"""
+WITH {_COMMENTS}, m AS (SELECT subreddit, avg(score) AS mean FROM c GROUP BY subreddit HAVING avg(score) > 0)
+SELECT c.author, round(c.score / m.mean, 6) AS relative FROM c JOIN m ON c.subreddit = m.subreddit
+""",
+    "file_hourly_max_views": f"""
+WITH {_PAGE_LINES}
+SELECT hour || chr(9) || CAST(greatest(0, max(views)) AS VARCHAR) AS line FROM f GROUP BY hour
+""",
+    "file_hourly_top_page": f"""
+WITH {_PAGE_LINES}
+SELECT hour || chr(9) || '[' || CAST(views AS VARCHAR) || ', ''' || title || ''']' AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY views DESC, title DESC) AS rn FROM f)
+WHERE rn = 1
+""",
+    "file_weather_etl": ORACLE_SQL["weather_etl"],
+    "file_temp_range": ORACLE_SQL["daily_range_max"],
+    "file_temp_range_sql": ORACLE_SQL["daily_range_max_sql"],
+    "file_correlate_logs": ORACLE_SQL["log_correlation"],
+    "file_load_logs": ORACLE_SQL["loaded_logs"],
+    "file_order_lines": f"SELECT line FROM ({ORDER_LINES})",
+    "file_order_lines_denormalized": f"SELECT line FROM ({ORDER_LINES})",
+    "file_shortest_path": f"""
+WITH RECURSIVE {GRAPH}
+SELECT printf('(%d, (%s, %d))', d.node, coalesce(CAST(par.parent AS VARCHAR), '-'), d.dist) AS line
+FROM d LEFT JOIN par ON par.node = d.node
+""",
+}

@@ -190,10 +190,12 @@ def load_logs(spark: SparkSession, inputs: str, table: str, partitions: int | No
 # J14 -------------------------------------------------------------------------
 
 def shortest_path(spark: SparkSession, inputs: str, output: str, source: int, target: int,
-                  max_hops: int = 6) -> list:
-    """Adjacency lists (``<inputs>/links-simple-sorted.txt``) -> node/parent/dist
-    table and the route as lines (``NO PATH FOUND`` when there is none)."""
-    path = inputs if inputs.endswith(".txt") else f"{inputs.rstrip('/')}/links-simple-sorted.txt"
+                  max_hops: int = 6, links_file: str | None = "links-simple-sorted.txt") -> list:
+    """Adjacency lists (``<inputs>/links-simple-sorted.txt``, or ``inputs`` itself
+    when ``links_file`` is None) -> ``(node, (parent, dist))`` lines in
+    ``<output>/dist`` and the route in ``<output>/path`` (``NO PATH FOUND``
+    when there is none)."""
+    path = inputs if (links_file is None or inputs.endswith(".txt")) else f"{inputs.rstrip('/')}/{links_file}"
     edges = parse_adjacency(read_lines(spark, path))
     paths = graph.shortest_paths(edges, source, max_hops)
     table = paths.select("node", "parent", "dist").orderBy("node")
