@@ -397,6 +397,7 @@ WHERE rn = 1
     "file_load_logs": ORACLE_SQL["loaded_logs"],
     "file_order_lines": f"SELECT line FROM ({ORDER_LINES})",
     "file_order_lines_denormalized": f"SELECT line FROM ({ORDER_LINES})",
+    "file_stream_regression": _LINEFIT,
     "file_shortest_path": f"""
 WITH RECURSIVE {GRAPH}
 SELECT printf('(%d, (%s, %d))', d.node, coalesce(CAST(par.parent AS VARCHAR), '-'), d.dist) AS line

@@ -119,6 +119,20 @@ def file_shortest_path(spark, sf_dir):
     return _lines(spark, f"{out}/dist")
 
 
+def file_stream_regression(spark, sf_dir):
+    """J19 over a text file stream: messages parsed, running fit, last update kept."""
+    from tessera.streaming.regression import file_stream, parse_points, run_to_table, running_fit
+
+    msgs = file_stream(spark, inputs.points_text(spark, sf_dir), "value string", fmt="text")
+    fit = running_fit(parse_points(msgs))
+    last = run_to_table(fit, _out(spark, "stream_regression"))
+    return last.select(
+        F.col("n").cast("long").alias("n"),
+        F.round("slope", DIGITS).alias("slope"),
+        F.round("intercept", DIGITS).alias("intercept"),
+    )
+
+
 FILE_QUERIES = {
     "file_word_count": file_word_count,
     "file_group_average": file_group_average,
@@ -134,4 +148,5 @@ FILE_QUERIES = {
     "file_order_lines": file_order_lines,
     "file_order_lines_denormalized": file_order_lines_denormalized,
     "file_shortest_path": file_shortest_path,
+    "file_stream_regression": file_stream_regression,
 }

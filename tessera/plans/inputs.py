@@ -104,3 +104,14 @@ def links_text(spark, sf_dir) -> str:
     return _stored(spark, sf_dir, "links",
                    lambda: edge_lines(data.table(spark, sf_dir, "orders"), data.table(spark, sf_dir, "customer")),
                    "text")
+
+
+def points_text(spark, sf_dir) -> str:
+    """``"x y"`` messages (quantity, extended price) of every line item."""
+    return _stored(
+        spark, sf_dir, "points",
+        lambda: data.table(spark, sf_dir, "lineitem").select(
+            F.concat_ws(" ", F.col("l_quantity").cast("string"), F.col("l_extendedprice").cast("string")).alias("value")
+        ),
+        "text",
+    )
