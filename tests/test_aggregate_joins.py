@@ -98,3 +98,14 @@ def test_bounded_broadcast_tiers(spark):
     assert ok2 and staged.count() == 50
     big, ok3 = joins.bounded_broadcast(df, max_bytes=100, local_rows=10)
     assert not ok3 and sorted(r.id for r in big.collect()) == list(range(50))
+
+
+def test_lookup_map_tiers(spark):
+    small = spark.createDataFrame([("a", 1.5), ("b", 2.5), (None, 9.0)], "k string, v double")
+    look = joins.lookup_map(small, "k", "v")
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    got = [r.m for r in df.select(look(F.col("k")).alias("m")).collect()]
+    assert got == [1.5, 2.5, None, None]
+    assert joins.lookup_map(spark.range(50).withColumn("v", F.col("id")), "id", "v", max_entries=10) is None
+    empty = joins.lookup_map(small.filter("false"), "k", "v")
+    assert df.select(empty(F.col("k")).alias("m")).first().m is None

@@ -61,9 +61,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:int>" in plan
 
 
-def test_broadcast_variant_plans_a_broadcast_join(spark):
+def test_broadcast_variant_never_shuffles_detail_rows(spark):
     plan = plan_text(QUERIES["relative_score_broadcast"](spark, SF))
-    assert "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    shuffle_plan = plan_text(QUERIES["relative_score"](spark, SF))
+    assert "SortMergeJoin" in shuffle_plan
 
 
 def test_no_cartesian_products(spark):
