@@ -35,9 +35,9 @@ def test_group_mean_and_relative(spark, skewed):
     for i, k, _, v in data[:500]:
         assert got[i] == pytest.approx(v / (sums[k][1] / sums[k][0]), rel=1e-9)
     plan = plan_text(rel)
-    # the means (partial aggregate, measured) travel as a literal map: the
-    # detail rows, hot key included, are never exchanged
-    assert "Exchange" not in plan and "Join" not in plan
+    # the means (partial aggregate, measured) are broadcast: the detail
+    # rows, hot key included, are never hash-exchanged
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 def test_join_back_to_max_and_argmax_on_hot_key(spark, skewed):
