@@ -78,12 +78,12 @@ def lookup_map(small: DataFrame, key: str, value: str, max_entries: int = MAP_EN
     rows = small.select(key, value).filter(F.col(key).isNotNull()).limit(max_entries + 1).collect()
     if len(rows) > max_entries:
         return None
-    kind = small.schema[value].dataType
+    kind, key_kind = small.schema[value].dataType, small.schema[key].dataType
     if not rows:
         return lambda k: F.lit(None).cast(kind)
     pairs = []
     for k, v in rows:
-        pairs += [F.lit(k), F.lit(v).cast(kind)]
+        pairs += [F.lit(k).cast(key_kind), F.lit(v).cast(kind)]
     mapping = F.create_map(*pairs)
     return lambda k: F.try_element_at(mapping, k)
 

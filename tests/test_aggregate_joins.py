@@ -109,3 +109,16 @@ def test_lookup_map_tiers(spark):
     assert joins.lookup_map(spark.range(50).withColumn("v", F.col("id")), "id", "v", max_entries=10) is None
     empty = joins.lookup_map(small.filter("false"), "k", "v")
     assert df.select(empty(F.col("k")).alias("m")).first().m is None
+
+
+def test_lookup_map_typed_keys(spark):
+    import datetime as dt
+
+    longs = spark.createDataFrame([(1, 10), (2, 20)], "k long, v long")
+    look = joins.lookup_map(longs, "k", "v")
+    probe = spark.createDataFrame([(2,), (3,)], "k long")
+    assert [r.m for r in probe.select(look(F.col("k")).alias("m")).collect()] == [20, None]
+    dates = spark.createDataFrame([(dt.date(2020, 1, 2), 1.5)], "d date, v double")
+    look_d = joins.lookup_map(dates, "d", "v")
+    probe_d = spark.createDataFrame([(dt.date(2020, 1, 2),)], "d date")
+    assert probe_d.select(look_d(F.col("d")).alias("m")).first().m == 1.5
