@@ -73,12 +73,16 @@ def start_stream(df: DataFrame, mode: str = "update", sink: str = "console", che
 
 def run_to_table(df: DataFrame, path: str, mode: str = "update", checkpoint: str | None = None,
                  timeout_s: float | None = None) -> DataFrame:
-    """Run a stream over everything available now; each batch's rows are appended
-    to a Parquet table with their batch id. Returns the rows of the last batch."""
+    """Run a stream over everything available now; each batch's rows go to the
+    Parquet folder ``<path>/batch_id=<id>``. Returns the rows of the last batch.
+
+    A batch replayed after a failure overwrites its own folder, so the sink is
+    idempotent and the result exactly-once.
+    """
     spark = df.sparkSession
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = df.writeStream.outputMode(mode).foreachBatch(write_batch).trigger(availableNow=True)
     writer = writer.option("checkpointLocation", checkpoint or scratch_path(spark, "streams", unique=True))
@@ -88,8 +92,8 @@ def run_to_table(df: DataFrame, path: str, mode: str = "update", checkpoint: str
         query.stop()
         raise TimeoutError(f"stream did not finish in {timeout_s} s")
     out = spark.read.parquet(path)
-    last = out.agg(F.max("batch_id")).scalar()
-    return out.filter(F.col("batch_id") == last).drop("batch_id")
+    last = out.agg(F.max("batch_id")).first()[0]
+    return out.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
 
 
 def run_linear_fit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
