@@ -31,14 +31,6 @@ def tokens(text: str | Column, unicode_blanks: bool = False) -> Column:
     return F.split(_col(text), sep)
 
 
-def lower_words(text: str | Column, unicode_blanks: bool = False) -> Column:
-    """Lower-cased, non-empty tokens as an array (filter is a higher-order function)."""
-    return F.filter(
-        F.transform(tokens(text, unicode_blanks), lambda w: F.lower(w)),
-        lambda w: w != F.lit(""),
-    )
-
-
 def split_get(text: str | Column, sep: str, index: int) -> Column:
     """Item ``index`` (0-based) of ``text`` split on regex ``sep``; NULL when absent.
 

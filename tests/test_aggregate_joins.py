@@ -122,3 +122,9 @@ def test_lookup_map_typed_keys(spark):
     look_d = joins.lookup_map(dates, "d", "v")
     probe_d = spark.createDataFrame([(dt.date(2020, 1, 2),)], "d date")
     assert probe_d.select(look_d(F.col("d")).alias("m")).first().m == 1.5
+
+
+def test_count_by(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, x long")
+    assert {(r.k, r.n) for r in agg.count_by(df, "k").collect()} == {("a", 2), ("b", 1)}
+    assert {(r.k, r.x, r.c) for r in agg.count_by(df, ["k", "x"], out="c").collect()} == {("a", 1, 1), ("a", 2, 1), ("b", 1, 1)}
