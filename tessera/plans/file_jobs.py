@@ -198,8 +198,9 @@ def shortest_path(spark: SparkSession, inputs: str, output: str, source: int, ta
     path = inputs if (links_file is None or inputs.endswith(".txt")) else f"{inputs.rstrip('/')}/{links_file}"
     edges = parse_adjacency(read_lines(spark, path))
     paths = graph.shortest_paths(edges, source, max_hops)
-    table = paths.select("node", "parent", "dist").orderBy("node")
-    write_lines(table.select(F.format_string("(%d, (%s, %d))", "node", F.coalesce(F.col("parent").cast("string"), F.lit("-")), "dist").alias("value")), f"{output}/dist")
+    parent = F.coalesce(F.col("parent").cast("string"), F.lit("-"))
+    table = paths.orderBy("node").select(F.format_string("(%d, (%s, %d))", "node", parent, "dist").alias("value"))
+    write_lines(table, f"{output}/dist")
     route = graph.route_list(paths, target)
     write_lines(spark.createDataFrame([(str(x),) for x in route], "value string"), f"{output}/path", single_file=True)
     return route
