@@ -34,6 +34,12 @@ DAYOFYEAR_SQL = (
 )
 
 
+def pair_days(daily: DataFrame) -> DataFrame:
+    """Daily rows restricted to the days that have the day before (the rows the
+    yesterday model can score), with the daily schema unchanged."""
+    return SQLTransformer(statement=YESTERDAY_SQL).transform(daily).select(*daily.columns)
+
+
 class RgbToLab(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Pipeline stage: RGB byte columns -> LAB columns (column expressions, no UDF)."""
 

@@ -45,6 +45,22 @@ def tmax_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "split string, r2 double, rmse double")
 
 
+def tmax_yesterday_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J22 comparison: validation r² / RMSE with and without yesterday's maximum as a feature."""
+    daily = _daily(spark, sf_dir)
+    train, validation = hash_split(daily, "station", (0.75, 0.25), seed=SEED)
+    train = ml.training_set(train)
+    rows = []
+    for with_yesterday in (True, False):
+        model = ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
+        # score both models on the same day pairs, so the rows compare like with like
+        scored = model.transform(ml.pair_days(validation)) if not with_yesterday else model.transform(validation)
+        m = ml.regression_metrics(scored)
+        rows.append(("with_yesterday" if with_yesterday else "without_yesterday", float(m["r2"]), float(m["rmse"])))
+    train.unpersist()
+    return spark.createDataFrame(rows, "features string, r2 double, rmse double")
+
+
 def tmax_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML10: feature importances of the trained forest."""
     model, train, _ = _fit_tmax(spark, sf_dir)
@@ -109,6 +125,7 @@ def colour_grid(spark: SparkSession, sf_dir: str, resolution: int = 64) -> DataF
 ML_QUERIES = {
     "tmax_model": tmax_model,
     "tmax_importances": tmax_importances,
+    "tmax_yesterday_effect": tmax_yesterday_effect,
     "tmax_tomorrow": tmax_tomorrow,
     "colour_model": colour_model,
     "colour_grid": colour_grid,
