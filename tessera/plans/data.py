@@ -8,6 +8,9 @@ them. Every builder is a plain DataFrame transformation (no driver data).
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_testdata(spark, sf_dir, name)
 
 
+def input_tag(sf_dir: str) -> str:
+    """Short tag of an input folder for naming derived tables in the scratch folder.
+
+    For a local folder the tables' sizes and modification times are part of
+    the tag, so derived tables are rebuilt when the inputs change.
+    """
+    parts = [sf_dir.rstrip("/")]
+    if os.path.isdir(sf_dir):
+        for name in sorted(os.listdir(sf_dir)):
+            st = os.stat(os.path.join(sf_dir, name))
+            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:12]
+
+
 def pagecounts(events: DataFrame) -> DataFrame:
     """Page-count rows ``hour, title, views``: events per (hour, user), errors excluded.
 

@@ -8,8 +8,6 @@ version; later calls read the stored files.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +19,8 @@ from tessera.session import scratch_path
 INPUT_VERSION = "1"
 
 
-def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
-
-
 def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str:
-    path = scratch_path(spark, "inputs", _tag(sf_dir), f"{name}-v{INPUT_VERSION}")
+    path = scratch_path(spark, "inputs", data.input_tag(sf_dir), f"{name}-v{INPUT_VERSION}")
     try:
         spark.read.text(path).schema  # committed output present (no inference needed)
         return path

@@ -7,8 +7,6 @@ matching DuckDB SQL lives next to it in :mod:`tessera.plans.catalog`.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
@@ -265,7 +263,7 @@ def orders_denormalized(spark, sf_dir):
 
 
 def _tag(sf_dir: str) -> str:
-    return hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:12]
+    return data.input_tag(sf_dir)
 
 
 def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
