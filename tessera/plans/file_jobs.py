@@ -275,14 +275,16 @@ def colour_predict(spark: SparkSession, inputs: str, output: str | None = None,
     n_labels = data.select("word").distinct().count()
     train, validation = hash_split(data, ["R", "G", "B", "word", "confidence"], (0.75, 0.25), seed=seed)
     train = ml.training_set(train)
-    scores = {}
-    for space in ("rgb", "lab"):
+
+    def fit(space: str):
         model = ml.colour_pipeline(space, n_labels=n_labels, seed=seed).fit(train)
-        scores[space] = ml.accuracy(model.transform(validation))
         if output:
             ml.prediction_grid(spark, model, resolution=grid_resolution).write.mode("overwrite").parquet(
                 f"{output}/predictions-{space}"
             )
+        return space, ml.accuracy(model.transform(validation))
+
+    scores = dict(ml.fit_concurrently(fit, ("rgb", "lab")))
     train.unpersist()
     return scores
 

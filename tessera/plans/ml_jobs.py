@@ -50,13 +50,15 @@ def tmax_yesterday_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = _daily(spark, sf_dir)
     train, validation = hash_split(daily, "station", (0.75, 0.25), seed=SEED)
     train = ml.training_set(train)
-    rows = []
-    for with_yesterday in (True, False):
+
+    def fit(with_yesterday: bool):
         model = ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
         # score both models on the same day pairs, so the rows compare like with like
-        scored = model.transform(ml.pair_days(validation)) if not with_yesterday else model.transform(validation)
+        scored = model.transform(validation if with_yesterday else ml.pair_days(validation))
         m = ml.regression_metrics(scored)
-        rows.append(("with_yesterday" if with_yesterday else "without_yesterday", float(m["r2"]), float(m["rmse"])))
+        return ("with_yesterday" if with_yesterday else "without_yesterday", float(m["r2"]), float(m["rmse"]))
+
+    rows = ml.fit_concurrently(fit, (True, False))
     train.unpersist()
     return spark.createDataFrame(rows, "features string, r2 double, rmse double")
 
@@ -103,10 +105,12 @@ def colour_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_labels = colours.select("word").distinct().count()
     train, validation = _colour_split(colours)
     train = ml.training_set(train)
-    rows = []
-    for space in ("rgb", "lab"):
+
+    def fit(space: str):
         model = ml.colour_pipeline(space, n_labels=n_labels, seed=SEED).fit(train)
-        rows.append((space, float(ml.accuracy(model.transform(validation)))))
+        return space, float(ml.accuracy(model.transform(validation)))
+
+    rows = ml.fit_concurrently(fit, ("rgb", "lab"))
     train.unpersist()
     return spark.createDataFrame(rows, "space string, accuracy double")
 
