@@ -107,6 +107,23 @@ def write_keyed_table(df: DataFrame, path: str, key: str | Sequence[str], fmt: s
     ranged.sortWithinPartitions(*keys).write.mode("overwrite").format(fmt).save(path)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str | Sequence[str], buckets: int, path: str,
+                   sort: bool = True) -> DataFrame:
+    """Store ``df`` as the catalog table ``name`` hashed into ``buckets`` by ``key``
+    (files at ``path``) and return the table.
+
+    Tables bucketed the same way on their join key are co-located: joining
+    them needs no exchange on either side, and aggregating by the key needs
+    none either. This is the Spark form of tables partitioned by their key.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    writer = df.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, *keys)
+    if sort:
+        writer = writer.sortBy(*keys)
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def lines_from_denormalized(denorm: DataFrame, keys=None, o_orderkey: str = "o_orderkey",
                             o_totalprice: str = "o_totalprice", names: str = "part_names") -> DataFrame:
     """``o_orderkey, line`` read straight from a denormalised orders table (no join)."""

@@ -16,7 +16,9 @@ def spark():
 
     # local mode: when spark.checkpoint.dir is unset, get_session gives the
     # session a fresh temporary scratch folder
-    session = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="tessera-test-warehouse-", dir="/tmp")
+    session = get_session("local[4]", app_name="tessera-tests", shuffle_partitions=8,
+                          extra={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 

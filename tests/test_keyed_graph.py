@@ -102,3 +102,23 @@ def test_keyed_table_lookup_pushes_key_filter(spark, tmp_out):
     assert sorted(r.line for r in lookup.collect()) == ["Order #19999 $49997.50: x", "Order #5 $12.50: x"]
     plan = plan_text(lookup).replace(" ", "")
     assert "PushedFilters:[In(o_orderkey,[19999,5])" in plan or "PushedFilters:[In(o_orderkey,[5,19999])" in plan
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_out):
+    from plan_util import plan_text
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    o = keyed.write_bucketed(orders, "bucketed_orders", "o_orderkey", 8, f"{tmp_out}/o")
+    li = keyed.write_bucketed(lineitem, "bucketed_lineitem", "l_orderkey", 8, f"{tmp_out}/l")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = o.join(li, o["o_orderkey"] == li["l_orderkey"]).groupBy("o_orderkey").count()
+        plan = plan_text(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        expected = orders.join(lineitem, orders["o_orderkey"] == lineitem["l_orderkey"]).groupBy("o_orderkey").count()
+        assert sorted(joined.collect()) == sorted(expected.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bucketed_orders")
+        spark.sql("DROP TABLE IF EXISTS bucketed_lineitem")
