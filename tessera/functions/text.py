@@ -60,7 +60,7 @@ def format_log_time(ts: str | Column) -> Column:
 
 def random_row_id() -> Column:
     """A random UUID per row (like a fresh key for every load)."""
-    return F.expr("uuid()")
+    return F.uuid()
 
 
 def stable_row_id(*cols: str | Column) -> Column:
