@@ -31,6 +31,7 @@ QUERIES = {
     "access_log_parse": jobs.access_log_parse,
     "log_correlation": jobs.log_correlation,
     "loaded_logs": jobs.loaded_logs,
+    "loaded_logs_total_bytes": jobs.loaded_logs_total_bytes,
     "log_table_correlation": jobs.log_table_correlation,
     "shortest_hops": jobs.shortest_hops,
     "shortest_route": jobs.shortest_route,
@@ -267,6 +268,7 @@ SELECT station, date, value / 10 AS tmax FROM obs
 WHERE qflag IS NULL AND starts_with(station, 'U1') AND observation = 'TMAX'
 """,
     "loaded_logs": f"WITH {LOGS} SELECT host, datetime, path, bytes, CAST(36 AS INTEGER) AS id_length FROM logs",
+    "loaded_logs_total_bytes": f"WITH {LOGS} SELECT CAST(sum(bytes) AS BIGINT) AS total_bytes FROM logs",
     "relative_score": """
 WITH m AS (SELECT event_type, avg(value) AS mean FROM events GROUP BY event_type HAVING avg(value) > 0)
 SELECT e.event_id, e.user_id, e.event_type, round(e.value / m.mean, 6) AS relative_score

@@ -218,6 +218,12 @@ def loaded_logs(spark, sf_dir):
     return stored.select("host", "datetime", "path", "bytes", F.length("id").alias("id_length"))
 
 
+def loaded_logs_total_bytes(spark, sf_dir):
+    """Total bytes served, summed over the loaded log table (one row)."""
+    stored = spark.read.parquet(load_logs(spark, sf_dir))
+    return agg.total(stored, "bytes", out="total_bytes").select(F.col("total_bytes").cast("long").alias("total_bytes"))
+
+
 def log_table_correlation(spark, sf_dir):
     """The same correlation read back from the loaded keyed table."""
     path = load_logs(spark, sf_dir)
