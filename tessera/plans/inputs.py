@@ -16,7 +16,7 @@ from tessera.plans import data
 from tessera.session import scratch_path
 
 # Bump when a derivation changes, so stored inputs of an older form are not reused.
-INPUT_VERSION = "1"
+INPUT_VERSION = "2"
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str:
@@ -38,11 +38,13 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str
 
 
 def comment_rows(events: DataFrame) -> DataFrame:
-    """Comment records: author from the user, whole-number score around 0, subreddit = event type."""
+    """Comment records: author from the user, subreddit = event type, and a
+    whole-number score centred near the median value (so scores of both
+    signs occur and every subreddit's mean score is positive)."""
     return events.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("author"),
         F.col("event_id").cast("string").alias("id"),
-        (F.floor("value").cast("long") - F.lit(50)).alias("score"),
+        (F.floor("value").cast("long") - F.lit(35)).alias("score"),
         F.col("event_type").alias("subreddit"),
     )
 
