@@ -24,14 +24,18 @@ def rebalance(df: DataFrame, n: int | None = None, *keys: str) -> DataFrame:
 def spread_if_uneven(df: DataFrame, min_share: float = 0.5, partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the input is badly split.
 
-    Counts the scan partitions that actually hold rows (a zero-column scan:
-    Parquet answers from its metadata). If fewer than ``min_share`` of the
+    An input of at least as many files as cores is left alone at once (the
+    file listing is already on the driver, no job runs). For fewer files the
+    scan partitions that actually hold rows are counted (a zero-column scan:
+    Parquet answers from its metadata); if fewer than ``min_share`` of the
     default parallelism are used, as with unsplittable compressed files or a
-    few huge row groups, the rows are spread before the per-row work; input
+    few huge row groups, the rows are spread before the per-row work. Input
     that is already split over the cluster is returned unchanged, so no data
     is shuffled for nothing.
     """
     target = partitions or df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= target:
+        return df
     used = df.select(F.spark_partition_id().alias("__p")).distinct().count()
     return df.repartition(target) if used < target * min_share else df
 

@@ -95,3 +95,15 @@ def test_spread_if_uneven(spark, tmp_out):
     assert spread_if_uneven(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(1000).repartition(spark.sparkContext.defaultParallelism)
     assert spread_if_uneven(many) is many
+
+
+def test_spread_skips_check_for_many_files(spark, tmp_out):
+    from tessera.operators.partition import spread_if_uneven
+
+    n = spark.sparkContext.defaultParallelism
+    spark.range(1000).repartition(n * 2).write.parquet(f"{tmp_out}/many")
+    many = spark.read.parquet(f"{tmp_out}/many")
+    assert len(many.inputFiles()) >= n and spread_if_uneven(many) is many
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_out}/one")
+    one = spark.read.parquet(f"{tmp_out}/one")
+    assert spread_if_uneven(one).rdd.getNumPartitions() == n
