@@ -18,6 +18,7 @@ from tessera.operators import graph, joins, keyed
 from tessera.operators.partition import spread_if_uneven
 from tessera.operators.weather import widest_range_per_date
 from tessera.plans import data
+from tessera.plans.inputs import INPUT_VERSION
 from tessera.session import scratch_path
 from tessera.sinks.files import replace_table
 from tessera.sources.logs import host_visits, parse_access_log
@@ -274,7 +275,7 @@ def _tag(sf_dir: str) -> str:
 
 def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
     """J17 output as a Parquet table in the shared scratch folder; built once per input."""
-    path = scratch_path(spark, "tables", _tag(sf_dir), "orders_parts")
+    path = scratch_path(spark, "tables", _tag(sf_dir), f"orders_parts-v{INPUT_VERSION}")
     if not rebuild:
         try:
             spark.read.parquet(path).schema  # committed table present
