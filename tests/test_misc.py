@@ -107,3 +107,25 @@ def test_spread_skips_check_for_many_files(spark, tmp_out):
     spark.range(1000).coalesce(1).write.parquet(f"{tmp_out}/one")
     one = spark.read.parquet(f"{tmp_out}/one")
     assert spread_if_uneven(one).rdd.getNumPartitions() == n
+
+
+def test_kafka_source_is_wired(spark):
+    from tessera.streaming.regression import kafka_stream
+
+    # the Kafka connector is not on this class path: Spark must say so, nothing else may fail
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_stream(spark, "localhost:9092", "points")
+
+
+def test_console_sink_update_mode(spark, tmp_out, capfd):
+    import os
+
+    from tessera.streaming.regression import parse_points
+
+    os.makedirs(f"{tmp_out}/c")
+    with open(f"{tmp_out}/c/a.txt", "w") as f:
+        f.write("1 2\n2 4\n")
+    fit = running_fit(parse_points(file_stream(spark, f"{tmp_out}/c", "value string", fmt="text")))
+    q = start_stream(fit.select("slope", "intercept"), mode="update", sink="console", available_now=True)
+    q.awaitTermination(120)
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 2
