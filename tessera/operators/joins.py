@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.aggregate import group_max, group_mean
-from tessera.sinks.files import materialize
+from tessera.sinks.files import materialize_counted
 
 # Rough bytes per value when sizing a broadcast side.
 _WIDTH = {
@@ -44,8 +44,8 @@ def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     Returns ``(frame, broadcast?)``. The check never moves more than a bounded
     number of rows: ``limit(local_rows + 1)`` is collected first, so a tiny
     side (such as one mean per group) is measured and shipped in one job. A
-    larger side is computed once into the shared scratch folder, counted from
-    the Parquet footers and broadcast from the files if rows x width fits; past
+    larger side is computed once into the shared scratch folder (its rows
+    counted while it is written) and broadcast from the files if rows x width fits; past
     the bound the written table joins by shuffle (AQE picks the strategy).
     """
     width = row_width(small.schema)
@@ -54,8 +54,8 @@ def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     if len(head) <= cap:
         local = small.sparkSession.createDataFrame(head, small.schema)
         return F.broadcast(local), True
-    staged = materialize(small, "broadcast")
-    if staged.count() * width <= max_bytes:
+    staged, n = materialize_counted(small, "broadcast")
+    if n * width <= max_bytes:
         return F.broadcast(staged), True
     return staged, False
 

@@ -126,6 +126,22 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def materialize_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """:func:`materialize` that also returns the number of rows written.
+
+    The count is an observed metric of the write itself
+    (``DataFrame.observe``), so it costs no extra job.
+    """
+    from pyspark.sql import Observation
+
+    from tessera.session import scratch_path
+
+    seen = Observation(f"rows_{label}")
+    path = scratch_path(df.sparkSession, "stages", label, unique=True)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), int(seen.get["rows"])
+
+
 def collect_scalar(df: DataFrame, column: str | None = None):
     """First value of a one-row result (e.g. a global aggregate) on the driver."""
     row = df.first()
