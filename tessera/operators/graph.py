@@ -14,14 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sinks.files import materialize
+from tessera.sinks.files import materialize, snapshot
 from tessera.session import scratch_root
 
 NO_PATH = ["NO", "PATH", "FOUND"]
 
 
 def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str = "src",
-                   dst: str = "dst", stage_edges: bool = True) -> DataFrame:
+                   dst: str = "dst", stage_edges: bool = True, rounds_path: str | None = None) -> DataFrame:
     """``node, parent, dist, path`` for every node reachable in at most ``max_hops``.
 
     ``dist`` is the least number of hops; among equally short routes the
@@ -29,7 +29,10 @@ def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str =
     source has ``parent`` NULL and ``dist`` 0. ``path`` lists the nodes from
     the source to the node. ``stage_edges`` writes the two edge columns once
     to the scratch folder so the rounds read them instead of re-deriving them
-    (turn it off when ``edges`` already is a stored table).
+    (turn it off when ``edges`` already is a stored table). With
+    ``rounds_path`` the nodes found in round ``i`` are kept as the table
+    ``<rounds_path>/iter-<i>`` (a per-iteration snapshot) instead of an
+    anonymous scratch table.
     """
     spark = edges.sparkSession
     scratch_root(spark)  # make sure the checkpoint folder is set
@@ -58,7 +61,7 @@ def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str =
             F.lit(hop).alias("dist"),
             F.concat(F.col("__p"), F.array(F.col("node"))).alias("path"),
         )
-        nxt = materialize(nxt, "bfs")
+        nxt = snapshot(nxt, rounds_path, hop) if rounds_path else materialize(nxt, "bfs")
         if nxt.isEmpty():
             break
         seen.append(nxt)

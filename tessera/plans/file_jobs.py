@@ -194,10 +194,10 @@ def shortest_path(spark: SparkSession, inputs: str, output: str, source: int, ta
     """Adjacency lists (``<inputs>/links-simple-sorted.txt``, or ``inputs`` itself
     when ``links_file`` is None) -> ``(node, (parent, dist))`` lines in
     ``<output>/dist`` and the route in ``<output>/path`` (``NO PATH FOUND``
-    when there is none)."""
+    when there is none). Each round's new nodes stay in ``<output>/iter-<i>``."""
     path = inputs if (links_file is None or inputs.endswith(".txt")) else f"{inputs.rstrip('/')}/{links_file}"
     edges = parse_adjacency(read_lines(spark, path))
-    paths = graph.shortest_paths(edges, source, max_hops)
+    paths = graph.shortest_paths(edges, source, max_hops, rounds_path=output)
     parent = F.coalesce(F.col("parent").cast("string"), F.lit("-"))
     table = paths.orderBy("node").select(F.format_string("(%d, (%s, %d))", "node", parent, "dist").alias("value"))
     write_lines(table, f"{output}/dist")

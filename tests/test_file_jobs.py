@@ -130,6 +130,7 @@ def test_shortest_path_job(spark, tmp_out):
     _write(f"{tmp_out}/g/links-simple-sorted.txt", ["1: 3 5", "3: 2 5", "5:", "2: 6", "6:"])
     assert J.shortest_path(spark, f"{tmp_out}/g", f"{tmp_out}/sp", 1, 6) == [1, 3, 2, 6]
     assert _lines(f"{tmp_out}/sp/path") == ["1", "3", "2", "6"]
+    assert sorted(r.node for r in spark.read.parquet(f"{tmp_out}/sp/iter-2").collect()) == [2]
     assert J.shortest_path(spark, f"{tmp_out}/g", f"{tmp_out}/sp2", 5, 1) == ["NO", "PATH", "FOUND"]
 
 
