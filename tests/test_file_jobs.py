@@ -198,3 +198,23 @@ def test_cli_word_count(tmp_out):
     )
     assert done.returncode == 0, done.stderr[-2000:]
     assert _lines(f"{tmp_out}/out") == ["a 2", "b 1"]
+
+
+def test_cli_parses_every_job():
+    from tessera.__main__ import _parser
+
+    p = _parser()
+    cases = [
+        ["word_count", "i", "o", "--rebalance", "40"], ["group_average", "i", "o", "--fmt", "kv"],
+        ["hourly_max_views", "i", "o"], ["hourly_top_page", "i", "o"], ["hourly_top_pages", "i", "o"],
+        ["comment_split", "i", "o"], ["relative_score", "i", "o", "--strategy", "broadcast"],
+        ["weather_etl", "i", "o"], ["temp_range", "i", "o"], ["temp_range_sql", "i", "o"],
+        ["correlate_logs", "i"], ["correlate_logs_table", "t"], ["load_logs", "i", "t", "--partitions", "150"],
+        ["shortest_path", "i", "o", "1", "6"], ["order_lines", "i", "o", "--keys", "1", "2"],
+        ["denormalize_orders", "i", "o"], ["order_lines_denormalized", "t", "o", "--keys", "5"],
+        ["stream_regression", "topic", "--servers", "h:9092", "--timeout", "600"],
+        ["colour_predict", "i"], ["weather_train", "i", "m"], ["weather_test", "m", "i"],
+        ["weather_tomorrow", "m", "lab", "49.2771", "-122.9146", "330", "2020-11-13", "12"],
+    ]
+    for argv in cases:
+        assert p.parse_args(argv).job == argv[0]
