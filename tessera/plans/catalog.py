@@ -391,6 +391,10 @@ WITH {_PAGE_LINES}
 SELECT hour || chr(9) || '[' || CAST(views AS VARCHAR) || ', ''' || title || ''']' AS line
 FROM (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY views DESC, title DESC) AS rn FROM f)
 WHERE rn = 1
+""",
+    "file_hourly_top_pages": f"""
+WITH {_PAGE_LINES}, m AS (SELECT hour, max(views) AS mv FROM f GROUP BY hour)
+SELECT f.hour, f.title, f.views FROM f JOIN m ON f.hour = m.hour AND f.views = m.mv
 """,
     "file_weather_etl": ORACLE_SQL["weather_etl"],
     "file_temp_range": ORACLE_SQL["daily_range_max"],

@@ -99,10 +99,15 @@ def hourly_top_page(spark: SparkSession, inputs: str, output: str) -> DataFrame:
     return out
 
 
-def hourly_top_pages(spark: SparkSession, inputs: str, output: str, strategy: str = "broadcast") -> DataFrame:
-    """Page-count files named ``pagecounts-YYYYMMDD-HH....`` -> every most viewed
-    page per hour (ties kept) as JSON, sorted by hour and title."""
-    pages = with_hour_from_file(read_delimited(spark, inputs, schemas.PAGECOUNT))
+def hourly_top_pages(spark: SparkSession, inputs: str, output: str, strategy: str = "broadcast",
+                     hour_in_line: bool = False) -> DataFrame:
+    """Page-count files named ``pagecounts-YYYYMMDD-HH....`` (or, with
+    ``hour_in_line``, lines that start with the hour) -> every most viewed page
+    per hour (ties kept) as JSON, sorted by hour and title."""
+    if hour_in_line:
+        pages = read_delimited(spark, inputs, schemas.PAGECOUNT_WITH_HOUR)
+    else:
+        pages = with_hour_from_file(read_delimited(spark, inputs, schemas.PAGECOUNT))
     pages = _pages_filter(pages).select("hour", "title", "views")
     out = joins.join_back_to_max(pages, "hour", "views", strategy=strategy).select("hour", "title", "views")
     out = out.orderBy("hour", "title")

@@ -67,6 +67,13 @@ def file_hourly_top_page(spark, sf_dir):
     return _lines(spark, out)
 
 
+def file_hourly_top_pages(spark, sf_dir, strategy: str = "broadcast"):
+    """J5 on page-count lines: all most viewed pages per hour, ties kept."""
+    out = _out(spark, "hourly_top_pages")
+    J.hourly_top_pages(spark, inputs.pagecounts_text(spark, sf_dir), out, strategy=strategy, hour_in_line=True)
+    return spark.read.schema("hour string, title string, views long").json(out)
+
+
 def file_weather_etl(spark, sf_dir):
     out = _out(spark, "weather_etl")
     J.weather_etl(spark, inputs.weather_csv(spark, sf_dir), out, prefix="U1")
@@ -140,6 +147,7 @@ FILE_QUERIES = {
     "file_relative_score": file_relative_score,
     "file_hourly_max_views": file_hourly_max_views,
     "file_hourly_top_page": file_hourly_top_page,
+    "file_hourly_top_pages": file_hourly_top_pages,
     "file_weather_etl": file_weather_etl,
     "file_temp_range": file_temp_range,
     "file_temp_range_sql": file_temp_range_sql,
