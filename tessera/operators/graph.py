@@ -4,9 +4,9 @@ Breadth-first search as a driver loop of DataFrame steps. Each round joins
 only the newest frontier with the edges, drops nodes already known
 (left-anti join), keeps the smallest parent per new node (a hash aggregate of
 longs, partial on the map side), attaches the parent's route with one join
-against the frontier, and writes the round as a table in the shared scratch folder (the folder of
-``spark.checkpoint.dir``): that computes the round once, cuts the lineage and
-survives the loss of executors.
+against the frontier, and writes the round as a table in the shared scratch
+folder (the folder of ``spark.checkpoint.dir``): that computes the round once,
+cuts the lineage and survives the loss of executors.
 """
 
 from __future__ import annotations

@@ -45,8 +45,9 @@ def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
     number of rows: ``limit(local_rows + 1)`` is collected first, so a tiny
     side (such as one mean per group) is measured and shipped in one job. A
     larger side is computed once into the shared scratch folder (its rows
-    counted while it is written) and broadcast from the files if rows x width fits; past
-    the bound the written table joins by shuffle (AQE picks the strategy).
+    counted while it is written) and broadcast from the files if rows x width
+    fits; past the bound the written table joins by shuffle (AQE picks the
+    strategy).
     """
     width = row_width(small.schema)
     cap = min(local_rows, max_bytes // width)

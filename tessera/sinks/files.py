@@ -116,8 +116,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
 
     Computes ``df`` once, cuts its lineage and survives executor loss (the files
-    live in shared storage, not in executor memory); the row count of the
-    result comes from Parquet footers.
+    live in shared storage, not in executor memory).
     """
     from tessera.session import scratch_path
 
