@@ -55,6 +55,7 @@ def parse_log_time(text: str | Column) -> Column:
 
 
 def format_log_time(ts: str | Column) -> Column:
+    """A timestamp as ``dd/Mon/yyyy:HH:MM:SS`` log text."""
     return F.date_format(_col(ts), LOG_TIME_FORMAT)
 
 

@@ -42,6 +42,7 @@ def word_count(df: DataFrame, column: str = "value", unicode_blanks: bool = Fals
 
 
 def count_by(df: DataFrame, keys: str | Sequence[str], out: str = "n") -> DataFrame:
+    """Rows per key (map-side combined count)."""
     return df.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(out))
 
 

@@ -46,10 +46,12 @@ def _documents(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
+    """Occurrences of every word of every document, sorted by word."""
     return agg.word_count(_documents(spark, sf_dir)).orderBy("word")
 
 
 def word_count_lines(spark, sf_dir):
+    """J1 output as ``word n`` text lines."""
     counts = agg.word_count(_documents(spark, sf_dir))
     return counts.orderBy("word").select(word_count_line("word", "n").alias("line"))
 
@@ -57,6 +59,7 @@ def word_count_lines(spark, sf_dir):
 # --- J2 average per group ---------------------------------------------------
 
 def group_average(spark, sf_dir):
+    """Count, total and mean of ``value`` per event type (partial aggregate)."""
     ev = _t(spark, sf_dir, "events")
     out = agg.group_mean(ev, "event_type", "value")
     return out.select("event_type", "n", _r("total", 2).alias("total"), _r("mean").alias("mean"))
@@ -65,16 +68,19 @@ def group_average(spark, sf_dir):
 # --- J3 / J4 / J5 most viewed per hour --------------------------------------
 
 def hourly_max(spark, sf_dir):
+    """Largest page-view count per hour, never below 0."""
     pc = data.pagecounts(_t(spark, sf_dir, "events"))
     return agg.group_max(pc, "hour", "views", out="max_views", floor=0).orderBy("hour")
 
 
 def hourly_top_one(spark, sf_dir):
+    """One most viewed page per hour; ties go to the largest title."""
     pc = data.pagecounts(_t(spark, sf_dir, "events"))
     return agg.argmax_one(pc, "hour", "views", tie="title").orderBy("hour")
 
 
 def hourly_top_ties(spark, sf_dir, strategy: str = "broadcast"):
+    """Every most viewed page per hour (ties kept), maxima joined back after a size check."""
     pc = data.pagecounts(_t(spark, sf_dir, "events"))
     top = joins.join_back_to_max(pc, "hour", "views", strategy=strategy)
     return top.select("hour", "title", "views").orderBy("hour", "title")
@@ -90,14 +96,17 @@ def _etl_input(spark, sf_dir):
 
 
 def etl_positive(spark, sf_dir):
+    """J6 branch: comments of subreddits containing ``e`` with a positive score."""
     return _etl_input(spark, sf_dir).filter(F.col("score") > 0)
 
 
 def etl_negative(spark, sf_dir):
+    """J6 branch: comments of subreddits containing ``e`` with a negative score."""
     return _etl_input(spark, sf_dir).filter(F.col("score") < 0)
 
 
 def etl_predicates():
+    """The J6 branch predicates, by output name."""
     return {"positive": F.col("score") > 0, "negative": F.col("score") < 0}
 
 
@@ -112,6 +121,7 @@ def etl_labelled(spark, sf_dir):
 # --- J9 filtered projection ----------------------------------------------------
 
 def flagged_projection(spark, sf_dir):
+    """J9 on the part table: prefix, equality and NULL predicates, then a ``/10`` projection."""
     part = _t(spark, sf_dir, "part")
     kept = part.filter(
         F.col("p_name").isNotNull()
@@ -157,6 +167,7 @@ def _observations(spark, sf_dir):
 
 
 def daily_range_max(spark, sf_dir, strategy: str = "broadcast"):
+    """Stations with the widest TMAX-TMIN range of each day (ties kept), 2-decimal text."""
     return widest_range_per_date(_observations(spark, sf_dir), strategy=strategy)
 
 
@@ -175,6 +186,7 @@ ORDER BY ranged.date, ranged.station
 
 
 def daily_range_max_sql(spark, sf_dir):
+    """The same in Spark SQL, range rounded to 3 decimals."""
     return spark.sql(DAILY_RANGE_SQL, obs=_observations(spark, sf_dir))
 
 
@@ -185,6 +197,7 @@ def _log_lines(spark, sf_dir):
 
 
 def access_log_parse(spark, sf_dir):
+    """J15 parse: well-formed log lines as typed rows with a repeatable SHA-256 id."""
     return parse_access_log(_log_lines(spark, sf_dir), "value", id_mode="stable")
 
 
@@ -201,6 +214,7 @@ def _correlate(logs: DataFrame) -> DataFrame:
 
 
 def log_correlation(spark, sf_dir):
+    """Pearson r and r² between requests and bytes per host, from moment sums."""
     return _correlate(parse_access_log(_log_lines(spark, sf_dir)))
 
 
@@ -244,10 +258,12 @@ def _paths(spark, sf_dir):
 
 
 def shortest_hops(spark, sf_dir):
+    """``node, parent, dist`` of every node within 6 hops of node 1."""
     return _paths(spark, sf_dir).select("node", "parent", "dist")
 
 
 def shortest_route(spark, sf_dir):
+    """The route from node 1 to every reachable node, as text."""
     paths = _paths(spark, sf_dir)
     return paths.select("node", "dist", F.array_join(F.col("path"), " ").alias("route"))
 
@@ -255,6 +271,7 @@ def shortest_route(spark, sf_dir):
 # --- J16 / J17 / J18 orders and part names --------------------------------------------
 
 def order_lines(spark, sf_dir):
+    """``Order #k $p: names`` for every order, joining orders, line items and parts at query time."""
     o, li, p = (_t(spark, sf_dir, n) for n in ("orders", "lineitem", "part"))
     return keyed.order_lines(o, li, p).orderBy("o_orderkey")
 
@@ -265,6 +282,7 @@ def _denormalized(spark, sf_dir):
 
 
 def orders_denormalized(spark, sf_dir):
+    """Orders with the sorted set of their part names (as text for comparison)."""
     d = _denormalized(spark, sf_dir)
     return d.select(*[c for c in d.columns if c != "part_names"], F.array_join("part_names", ", ").alias("part_names"))
 
@@ -287,6 +305,7 @@ def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
 
 
 def order_lines_denorm(spark, sf_dir, keys=None):
+    """The order lines read from the stored denormalised table, no join."""
     table = spark.read.parquet(materialize_orders_parts(spark, sf_dir))
     return keyed.lines_from_denormalized(table, keys).orderBy("o_orderkey")
 
@@ -301,6 +320,7 @@ def _order_updates(orders: DataFrame) -> DataFrame:
 
 
 def upsert_orders(spark, sf_dir):
+    """SNK8: an update batch written into the orders table, last write wins per key."""
     orders = _t(spark, sf_dir, "orders")
     return keyed.upsert_by_key(orders, _order_updates(orders), "o_orderkey")
 
@@ -308,6 +328,7 @@ def upsert_orders(spark, sf_dir):
 # --- AGG8 / AGG10 / J19 sums and line fits --------------------------------------------------
 
 def global_sums(spark, sf_dir):
+    """AGG8/AGG14: n, Σx, Σy, Σx², Σxy of quantity and price over all line items."""
     li = _t(spark, sf_dir, "lineitem")
     m = agg.moments(li, "l_quantity", "l_extendedprice")
     return m.select(
@@ -320,12 +341,14 @@ def global_sums(spark, sf_dir):
 
 
 def linear_fit(spark, sf_dir):
+    """AGG10: least-squares price on quantity over all line items."""
     li = _t(spark, sf_dir, "lineitem")
     fit = agg.linear_fit(li, "l_quantity", "l_extendedprice")
     return fit.select(F.col("n").cast("long").alias("n"), _r("slope").alias("slope"), _r("intercept").alias("intercept"))
 
 
 def stream_linear_fit(spark, sf_dir):
+    """The same fit kept up to date by a stream over the line-item files."""
     from tessera.streaming.regression import run_linear_fit_stream
 
     return run_linear_fit_stream(spark, sf_dir)
@@ -334,12 +357,14 @@ def stream_linear_fit(spark, sf_dir):
 # --- FN14-FN17 colour conversions ---------------------------------------------------------
 
 def rgb_to_lab_rows(spark, sf_dir):
+    """FN14: LAB colour of every line item's byte-sized keys."""
     c = data.colours(_t(spark, sf_dir, "lineitem"))
     lab = rgb_to_lab(c)
     return lab.select("R", "G", "B", "word", *[_r(x).alias(x) for x in ("labL", "labA", "labB")])
 
 
 def rgb_to_hsv_rows(spark, sf_dir):
+    """FN15: HSV colour of every line item's byte-sized keys."""
     c = data.colours(_t(spark, sf_dir, "lineitem"))
     hsv = rgb_to_hsv(c)
     return hsv.select("R", "G", "B", "word", *[_r(x).alias(x) for x in ("H", "S", "V")])
@@ -355,6 +380,7 @@ def lab_roundtrip(spark, sf_dir):
 # --- JOIN7 / FN13 yesterday pairs -------------------------------------------------------------
 
 def yesterday_pairs(spark, sf_dir):
+    """JOIN7: each station-day with the same station's previous day (gaps give no row)."""
     daily = data.daily_tmax(_t(spark, sf_dir, "events")).select("station", "date", "tmax")
     pairs = joins.with_previous_day(daily, "station", "date", "tmax")
     return pairs.select("station", "date", F.dayofyear("date").alias("dayofyear"), "tmax", "yesterday_tmax")
@@ -363,6 +389,7 @@ def yesterday_pairs(spark, sf_dir):
 # --- FN3 / SRC6 hour key from a path ----------------------------------------------------------
 
 def page_hour_key(spark, sf_dir):
+    """FN3: base name of each page path and the hour key cut from it."""
     pages = _t(spark, sf_dir, "pages")
     return pages.select(
         "page_id",
