@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from tessera.operators import graph, joins, keyed, ml
 from tessera.operators.partition import hash_split, spread_if_uneven
 from tessera.operators.weather import widest_range_per_date
 from tessera.plans.jobs import DAILY_RANGE_SQL
+from tessera.session import committed
 from tessera.sinks.files import (
     replace_table,
     split_by,
@@ -228,12 +228,10 @@ def denormalize_orders(spark: SparkSession, tables: str, output: str,
     keyed table at ``output`` (rows with an existing key replace it)."""
     o, li, p = (spark.read.parquet(f"{tables.rstrip('/')}/{n}") for n in names)
     denorm = keyed.denormalize_orders(_tpch_cols(o, "o"), _tpch_cols(li, "l"), _tpch_cols(p, "p"))
-    try:
-        current = spark.read.parquet(output)
-        current.schema  # noqa: B018 - raises when there is no table yet
-    except AnalysisException:
+    if not committed(spark, output):
         keyed.write_keyed_table(denorm, output, "o_orderkey")
         return spark.read.parquet(output)
+    current = spark.read.parquet(output)
     # A Parquet table cannot be rewritten while it is read: the merged rows
     # go to a sibling folder first, then replace the table.
     staged = f"{output.rstrip('/')}__next"

@@ -8,12 +8,11 @@ version; later calls read the stored files.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans import data
-from tessera.session import scratch_path
+from tessera.session import committed, scratch_path
 
 # Bump when a derivation changes, so stored inputs of an older form are not reused.
 INPUT_VERSION = "2"
@@ -21,11 +20,8 @@ INPUT_VERSION = "2"
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str:
     path = scratch_path(spark, "inputs", data.input_tag(sf_dir), f"{name}-v{INPUT_VERSION}")
-    try:
-        spark.read.text(path).schema  # committed output present (no inference needed)
+    if committed(spark, path):
         return path
-    except AnalysisException:
-        pass
     df = build()
     writer = df.write.mode("overwrite")
     if fmt == "json":

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from tessera.functions.colour import lab_to_rgb, rgb_to_hsv, rgb_to_lab
 from tessera.functions.text import base_name, hour_key_from_path, word_count_line
@@ -19,7 +18,7 @@ from tessera.operators.partition import spread_if_uneven
 from tessera.operators.weather import widest_range_per_date
 from tessera.plans import data
 from tessera.plans.inputs import INPUT_VERSION
-from tessera.session import scratch_path
+from tessera.session import committed, scratch_path
 from tessera.sinks.files import replace_table
 from tessera.sources.logs import host_visits, parse_access_log
 
@@ -294,12 +293,8 @@ def _tag(sf_dir: str) -> str:
 def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
     """J17 output as a Parquet table in the shared scratch folder; built once per input."""
     path = scratch_path(spark, "tables", _tag(sf_dir), f"orders_parts-v{INPUT_VERSION}")
-    if not rebuild:
-        try:
-            spark.read.parquet(path).schema  # committed table present
-            return path
-        except AnalysisException:
-            pass
+    if not rebuild and committed(spark, path):
+        return path
     keyed.write_keyed_table(_denormalized(spark, sf_dir), path, "o_orderkey")
     return path
 

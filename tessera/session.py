@@ -110,3 +110,16 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex)
     return "/".join([scratch_root(spark), *leaf])
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a job finished writing ``path``: the file committer's
+    ``_SUCCESS`` marker is there.
+
+    A folder left by a job that died mid-write has no marker, so it is rebuilt
+    rather than read as a partial table. (A cluster that turns the markers off
+    just rebuilds every time.)
+    """
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))

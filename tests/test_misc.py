@@ -1,6 +1,8 @@
 """Remaining inventory items: keyed-table reader, driver rows, SQL views,
 stream output modes, partition control, hash split."""
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -129,3 +131,15 @@ def test_console_sink_update_mode(spark, tmp_out, capfd):
     q = start_stream(fit.select("slope", "intercept"), mode="update", sink="console", available_now=True)
     q.awaitTermination(120)
     assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 2
+
+
+def test_committed_needs_the_success_marker(spark, tmp_out):
+    from tessera.session import committed
+
+    path = f"{tmp_out}/t"
+    assert not committed(spark, path)
+    spark.range(10).write.parquet(path)
+    assert committed(spark, path)
+    # data files without the marker (a job that died mid-write) do not count
+    os.remove(f"{path}/_SUCCESS")
+    assert not committed(spark, path)
