@@ -37,26 +37,38 @@ def row_width(schema: T.StructType) -> int:
 LOCAL_ROWS = 10_000
 
 
+def measure(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+            local_rows: int = LOCAL_ROWS) -> list | None:
+    """The rows of ``small`` if it has at most ``min(local_rows, max_bytes /
+    row width)`` of them, else None; one job that collects at most that many
+    rows plus one."""
+    cap = min(local_rows, max_bytes // row_width(small.schema))
+    head = small.limit(cap + 1).collect()
+    return head if len(head) <= cap else None
+
+
+_UNMEASURED = object()
+
+
 def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      local_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
+                      local_rows: int = LOCAL_ROWS, head=_UNMEASURED) -> tuple[DataFrame, bool]:
     """Measure ``small`` and mark it for broadcast only if it fits ``max_bytes``.
 
     Returns ``(frame, broadcast?)``. The check never moves more than a bounded
-    number of rows: ``limit(local_rows + 1)`` is collected first, so a tiny
-    side (such as one mean per group) is measured and shipped in one job. A
-    larger side is computed once into the shared scratch folder (its rows
-    counted while it is written) and broadcast from the files if rows x width
-    fits; past the bound the written table joins by shuffle (AQE picks the
-    strategy).
+    number of rows: ``measure`` collects at most ``local_rows + 1``, so a tiny
+    side (such as one mean per group) is measured and shipped in one job
+    (``head`` passes rows a caller already measured). A larger side is
+    computed once into the shared scratch folder (its rows counted while it is
+    written) and broadcast from the files if rows x width fits; past the bound
+    the written table joins by shuffle (AQE picks the strategy).
     """
-    width = row_width(small.schema)
-    cap = min(local_rows, max_bytes // width)
-    head = small.limit(cap + 1).collect()
-    if len(head) <= cap:
+    if head is _UNMEASURED:
+        head = measure(small, max_bytes, local_rows)
+    if head is not None:
         local = small.sparkSession.createDataFrame(head, small.schema)
         return F.broadcast(local), True
     staged, n = materialize_counted(small, "broadcast")
-    if n * width <= max_bytes:
+    if n * row_width(small.schema) <= max_bytes:
         return F.broadcast(staged), True
     return staged, False
 
@@ -68,23 +80,27 @@ def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
 MAP_ENTRIES = 64
 
 
-def lookup_map(small: DataFrame, key: str, value: str, max_entries: int = MAP_ENTRIES):
+def lookup_map(small: DataFrame, key: str, value: str, max_entries: int = MAP_ENTRIES, rows=None):
     """``key -> value`` of a tiny side as a function Column -> Column, or None.
 
     At most ``max_entries + 1`` rows are collected, so the check itself is
-    bounded. The map is a ``create_map`` literal that ships with each task,
-    like a broadcast variable; a missing key gives NULL. Rows with a NULL key
-    are left out (they never meet an equi-join).
+    bounded; ``rows`` passes the whole side when it was already collected by
+    ``measure`` (no second job). The map is a ``create_map`` literal that ships
+    with each task, like a broadcast variable; a missing key gives NULL. Rows
+    with a NULL key are left out (they never meet an equi-join).
     """
-    rows = small.select(key, value).filter(F.col(key).isNotNull()).limit(max_entries + 1).collect()
+    if rows is None:
+        rows = small.select(key, value).filter(F.col(key).isNotNull()).limit(max_entries + 1).collect()
+    else:
+        rows = [r for r in rows if r[key] is not None]
     if len(rows) > max_entries:
         return None
     kind, key_kind = small.schema[value].dataType, small.schema[key].dataType
     if not rows:
         return lambda k: F.lit(None).cast(kind)
     pairs = []
-    for k, v in rows:
-        pairs += [F.lit(k).cast(key_kind), F.lit(v).cast(kind)]
+    for r in rows:
+        pairs += [F.lit(r[key]).cast(key_kind), F.lit(r[value]).cast(kind)]
     mapping = F.create_map(*pairs)
     return lambda k: F.try_element_at(mapping, k)
 
@@ -113,10 +129,13 @@ def relative_to_group_mean(df: DataFrame, key: str, value: str, out: str = "rela
     """
     means = group_mean(df, key, value).filter(F.col("mean") > 0).select(key, "mean")
     if strategy == "broadcast":
-        lookup = lookup_map(means, key, "mean")
+        head = measure(means, max_bytes)
+        lookup = lookup_map(means, key, "mean", rows=head) if head is not None else None
         if lookup is not None:
             with_mean = df.withColumn("__mean", lookup(F.col(key))).filter(F.col("__mean").isNotNull())
             return with_mean.withColumn(out, F.col(value).cast("double") / F.col("__mean")).drop("__mean")
+        means, _ = bounded_broadcast(means, max_bytes, head=head)
+        strategy = "auto"
     joined = join_small(df, means, key, "inner", strategy, max_bytes)
     return joined.withColumn(out, F.col(value).cast("double") / F.col("mean")).drop("mean")
 
@@ -131,10 +150,14 @@ def join_back_to_max(df: DataFrame, keys: str | Sequence[str], value: str, strat
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     best = group_max(df, keys, value, out="__max").withColumnRenamed("__max", value)
-    if strategy == "broadcast" and len(keys) == 1:
-        lookup = lookup_map(best, keys[0], value)
-        if lookup is not None:
-            return df.filter(F.col(value) == lookup(F.col(keys[0])))
+    if strategy == "broadcast":
+        head = measure(best, max_bytes)
+        if head is not None and len(keys) == 1:
+            lookup = lookup_map(best, keys[0], value, rows=head)
+            if lookup is not None:
+                return df.filter(F.col(value) == lookup(F.col(keys[0])))
+        best, _ = bounded_broadcast(best, max_bytes, head=head)
+        strategy = "auto"
     return join_small(df, best, [*keys, value], "inner", strategy, max_bytes)
 
 

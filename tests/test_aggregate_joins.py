@@ -128,3 +128,27 @@ def test_count_by(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, x long")
     assert {(r.k, r.n) for r in agg.count_by(df, "k").collect()} == {("a", 2), ("b", 1)}
     assert {(r.k, r.x, r.c) for r in agg.count_by(df, ["k", "x"], out="c").collect()} == {("a", 1, 1), ("a", 2, 1), ("b", 1, 1)}
+
+
+def _jobs(sc, group, fn):
+    sc.setJobGroup(group, "counted")
+    try:
+        out = fn()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(sc.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("groups", [30, 720])
+def test_broadcast_variants_measure_their_side_once(spark, groups):
+    """Map tier (<= 64 keys) and local-relation tier (> 64): building the
+    broadcast plan runs the jobs of one bounded measurement, no more, and the
+    result equals the shuffle plan."""
+    df = spark.range(20_000).select((F.col("id") % groups).alias("k"), (F.col("id") % 7).alias("v"))
+    sc = spark.sparkContext
+    _, one = _jobs(sc, f"m-{groups}", lambda: joins.measure(agg.group_max(df, "k", "v")))
+    for i, build in enumerate((lambda s: joins.join_back_to_max(df, "k", "v", strategy=s),
+                               lambda s: joins.relative_to_group_mean(df, "k", "v", strategy=s))):
+        fast, n = _jobs(sc, f"b-{groups}-{i}", lambda: build("broadcast"))
+        assert n == one
+        assert sorted(fast.collect()) == sorted(build("shuffle").collect())
