@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.sinks.files import materialize, snapshot
+from tessera.sinks.files import materialize, materialize_counted, snapshot_counted
 from tessera.session import scratch_root
 
 NO_PATH = ["NO", "PATH", "FOUND"]
@@ -61,8 +61,9 @@ def shortest_paths(edges: DataFrame, source: int, max_hops: int = 6, src: str =
             F.lit(hop).alias("dist"),
             F.concat(F.col("__p"), F.array(F.col("node"))).alias("path"),
         )
-        nxt = snapshot(nxt, rounds_path, hop) if rounds_path else materialize(nxt, "bfs")
-        if nxt.isEmpty():
+        # the row count is observed while the round is written: no extra job
+        nxt, found = snapshot_counted(nxt, rounds_path, hop) if rounds_path else materialize_counted(nxt, "bfs")
+        if found == 0:
             break
         seen.append(nxt)
         known = known.unionByName(nxt)

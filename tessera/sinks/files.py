@@ -112,6 +112,21 @@ def snapshot(df: DataFrame, path: str, iteration: int, fmt: str = "parquet") ->
     return df.sparkSession.read.format(fmt).load(target)
 
 
+def snapshot_counted(df: DataFrame, path: str, iteration: int, fmt: str = "parquet") -> tuple[DataFrame, int]:
+    """:func:`snapshot` that also returns the number of rows written (an
+    observed metric of the write, no extra job)."""
+    target = f"{path.rstrip('/')}/iter-{iteration}"
+    return _write_counted(df, target, fmt, f"rows_iter_{iteration}")
+
+
+def _write_counted(df: DataFrame, path: str, fmt: str, name: str) -> tuple[DataFrame, int]:
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt).save(path)
+    return df.sparkSession.read.format(fmt).load(path), int(seen.get["rows"])
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back.
 
@@ -131,14 +146,10 @@ def materialize_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame,
     The count is an observed metric of the write itself
     (``DataFrame.observe``), so it costs no extra job.
     """
-    from pyspark.sql import Observation
-
     from tessera.session import scratch_path
 
-    seen = Observation(f"rows_{label}")
     path = scratch_path(df.sparkSession, "stages", label, unique=True)
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), int(seen.get["rows"])
+    return _write_counted(df, path, "parquet", f"rows_{label}")
 
 
 def collect_scalar(df: DataFrame, column: str | None = None):
