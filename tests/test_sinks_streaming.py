@@ -1,6 +1,7 @@
 import glob
 import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,3 +90,13 @@ def test_stream_of_text_messages(spark, tmp_out):
     msgs = file_stream(spark, src, "value string", fmt="text")
     out = run_to_table(running_fit(parse_points(msgs)), f"{tmp_out}/fit").first()
     assert out.n == 3 and out.slope == pytest.approx(2.0) and out.intercept == pytest.approx(0.16667, abs=1e-4)
+
+
+def test_counted_writes_report_rows_without_a_job(spark, tmp_out):
+    from tessera.sinks.files import materialize_counted, snapshot_counted
+
+    got, n = snapshot_counted(spark.range(7), tmp_out, 3)
+    assert n == 7 and got.count() == 7
+    assert os.path.exists(f"{tmp_out}/iter-3/_SUCCESS")
+    empty, zero = materialize_counted(spark.range(7).filter("id < 0"), "empty")
+    assert zero == 0 and empty.count() == 0
