@@ -225,16 +225,23 @@ def order_lines(spark: SparkSession, tables: str, output: str, keys: Sequence[in
 def denormalize_orders(spark: SparkSession, tables: str, output: str,
                        names: tuple[str, str, str] = ("orders", "lineitem", "part")) -> DataFrame:
     """orders ⋈ lineitem ⋈ part -> orders with ``part_names``; written into the
-    keyed table at ``output`` (rows with an existing key replace it)."""
+    keyed table at ``output`` (rows with an existing key replace it).
+
+    A Parquet table cannot be rewritten while it is read: the merged rows go
+    to the sibling folder ``<output>__next`` first, then replace the table. If
+    a run died while replacing it (table not committed, sibling committed),
+    the replace is finished from the sibling before the new rows are merged,
+    so no earlier load is lost. Delete both folders to start the table anew.
+    """
     o, li, p = (spark.read.parquet(f"{tables.rstrip('/')}/{n}") for n in names)
     denorm = keyed.denormalize_orders(_tpch_cols(o, "o"), _tpch_cols(li, "l"), _tpch_cols(p, "p"))
+    staged = f"{output.rstrip('/')}__next"
     if not committed(spark, output):
-        keyed.write_keyed_table(denorm, output, "o_orderkey")
-        return spark.read.parquet(output)
+        if not committed(spark, staged):
+            keyed.write_keyed_table(denorm, output, "o_orderkey")
+            return spark.read.parquet(output)
+        keyed.write_keyed_table(spark.read.parquet(staged), output, "o_orderkey")
     current = spark.read.parquet(output)
-    # A Parquet table cannot be rewritten while it is read: the merged rows
-    # go to a sibling folder first, then replace the table.
-    staged = f"{output.rstrip('/')}__next"
     replace_table(keyed.upsert_by_key(current, denorm, "o_orderkey"), staged)
     keyed.write_keyed_table(spark.read.parquet(staged), output, "o_orderkey")
     return spark.read.parquet(output)

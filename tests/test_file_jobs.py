@@ -148,6 +148,24 @@ def test_order_jobs(spark, tmp_out):
     assert _lines(f"{tmp_out}/od") == ["Order #1 $10.50: black, steel", "Order #2 $3.00: black"]
 
 
+def test_order_upsert_resumes_an_interrupted_replace(spark, tmp_out):
+    """Loads A then B; the table replace of B is cut (no _SUCCESS); loading C
+    must keep A and B's rows, not restart from C alone."""
+    def load(name, orders, lines):
+        root = f"{tmp_out}/{name}"
+        spark.createDataFrame(orders, "orderkey long, totalprice double").write.parquet(f"{root}/orders")
+        spark.createDataFrame(lines, "orderkey long, partkey long").write.parquet(f"{root}/lineitem")
+        spark.createDataFrame([(100, "steel"), (101, "black")], "partkey long, name string").write.parquet(f"{root}/part")
+        J.denormalize_orders(spark, root, f"{tmp_out}/dn")
+
+    load("a", [(1, 1.0), (2, 2.0)], [(1, 100), (2, 101)])
+    load("b", [(2, 20.0), (3, 3.0)], [(2, 100), (3, 101)])
+    os.remove(f"{tmp_out}/dn/_SUCCESS")  # the replace of load B was cut short
+    load("c", [(4, 4.0)], [(4, 100)])
+    got = {r.o_orderkey: r.o_totalprice for r in spark.read.parquet(f"{tmp_out}/dn").collect()}
+    assert got == {1: 1.0, 2: 20.0, 3: 3.0, 4: 4.0}
+
+
 def test_stream_job(spark, tmp_out):
     _write(f"{tmp_out}/s/a.txt", ["1 2", "2 4.5", "bad"])
     _write(f"{tmp_out}/s/b.txt", ["3 6", "4 x"])
