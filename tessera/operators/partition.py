@@ -21,22 +21,31 @@ def rebalance(df: DataFrame, n: int | None = None, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 
-def spread_if_uneven(df: DataFrame, min_share: float = 0.5, partitions: int | None = None) -> DataFrame:
+def spread_if_uneven(df: DataFrame, min_share: float = 0.5, partitions: int | None = None,
+                     splits_hold_rows: bool = False) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the input is badly split.
 
     An input of at least as many files as cores is left alone at once (the
     file listing is already on the driver, no job runs). For fewer files the
-    scan partitions that actually hold rows are counted (a zero-column scan:
-    Parquet answers from its metadata); if fewer than ``min_share`` of the
-    default parallelism are used, as with unsplittable compressed files or a
-    few huge row groups, the rows are spread before the per-row work. Input
-    that is already split over the cluster is returned unchanged, so no data
-    is shuffled for nothing.
+    scan partitions that actually hold rows are counted; if fewer than
+    ``min_share`` of the default parallelism are used, as with unsplittable
+    compressed files or a few huge row groups, the rows are spread before the
+    per-row work. Input that is already split over the cluster is returned
+    unchanged, so no data is shuffled for nothing.
+
+    How the used partitions are counted: for Parquet a zero-column scan (the
+    reader answers from its footers). Line-based input (text, CSV, JSON
+    lines) passes ``splits_hold_rows=True``: every planned split holds lines
+    (a gzip file is one split), so the planned count is used and no job runs,
+    which spares decompressing the input once just to count.
     """
     target = partitions or df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= target:
         return df
-    used = df.select(F.spark_partition_id().alias("__p")).distinct().count()
+    if splits_hold_rows:
+        used = df.rdd.getNumPartitions()  # planned scan splits; no job
+    else:
+        used = df.select(F.spark_partition_id().alias("__p")).distinct().count()
     return df.repartition(target) if used < target * min_share else df
 
 

@@ -58,7 +58,7 @@ def word_count(spark: SparkSession, inputs: str, output: str, rebalance: int | N
     ``rebalance`` spreads the lines over that many partitions; without it the
     lines are spread only when the scan is badly split (e.g. a few big gzip files).
     """
-    lines = read_lines(spark, inputs, rebalance) if rebalance else spread_if_uneven(read_lines(spark, inputs))
+    lines = read_lines(spark, inputs, rebalance) if rebalance else spread_if_uneven(read_lines(spark, inputs), splits_hold_rows=True)
     counts = agg.word_count(lines, "value", unicode_blanks).orderBy("word")
     write_lines(counts.select(word_count_line("word", "n").alias("value")), output)
     return counts

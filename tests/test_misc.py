@@ -111,6 +111,34 @@ def test_spread_skips_check_for_many_files(spark, tmp_out):
     assert spread_if_uneven(one).rdd.getNumPartitions() == n
 
 
+def test_spread_line_input_without_a_job(spark, tmp_out):
+    """One gzip text file is one scan split: spread, decided with no job; many
+    splits of plain text: left alone, also with no job."""
+    import gzip
+
+    from tessera.operators.partition import spread_if_uneven
+    from tessera.sources.files import read_lines
+
+    with gzip.open(f"{tmp_out}/a.txt.gz", "wt") as f:
+        f.write("\n".join(f"line {i}" for i in range(5000)))
+    with open(f"{tmp_out}/b.txt", "w") as f:
+        f.write("\n".join(f"line {i}" for i in range(200_000)))
+    sc, n = spark.sparkContext, spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    sc.setJobGroup("spread-lines", "no job expected")
+    try:
+        spread = spread_if_uneven(read_lines(spark, f"{tmp_out}/a.txt.gz"), splits_hold_rows=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+        plain = read_lines(spark, f"{tmp_out}/b.txt")
+        kept = spread_if_uneven(plain, splits_hold_rows=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sc.statusTracker().getJobIdsForGroup("spread-lines") == []
+    assert spread.rdd.getNumPartitions() == n and spread.count() == 5000
+    assert kept is plain
+
+
 def test_kafka_source_is_wired(spark):
     from tessera.streaming.regression import kafka_stream
 
