@@ -50,13 +50,39 @@ def hour_key_from_path(path: str | Column) -> Column:
 
 
 def parse_log_time(text: str | Column) -> Column:
-    """``dd/Mon/yyyy:HH:MM:SS`` to a timestamp without zone; NULL if malformed."""
-    return F.try_to_timestamp(_col(text), F.lit(LOG_TIME_FORMAT)).cast("timestamp_ntz")
+    """``dd/Mon/yyyy:HH:MM:SS`` to a timestamp without zone; NULL if malformed.
+
+    Parsed straight to ``timestamp_ntz``, so the result does not depend on the
+    session time zone (going through a zoned timestamp would move a time in a
+    daylight-saving gap by an hour). ``to_timestamp_ntz`` fails on malformed
+    text, so it only runs where ``try_to_timestamp`` accepts the text.
+    """
+    t, fmt = _col(text), F.lit(LOG_TIME_FORMAT)
+    return F.when(F.try_to_timestamp(t, fmt).isNotNull(), F.to_timestamp_ntz(t, fmt))
+
+
+def _two_digits(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def day_key(ts: str | Column, pattern: str = "yyyyMMdd") -> Column:
+    """The date of a timestamp without zone as text (``pattern`` of date fields only)."""
+    return F.date_format(F.to_date(_col(ts)), pattern)
+
+
+def hour_key(ts: str | Column) -> Column:
+    """``YYYYMMDD-HH`` of a timestamp without zone, independent of the session
+    time zone (built from the date and the hour field, never through a zoned
+    timestamp)."""
+    return F.concat(day_key(ts), F.lit("-"), _two_digits(F.hour(_col(ts))))
 
 
 def format_log_time(ts: str | Column) -> Column:
-    """A timestamp as ``dd/Mon/yyyy:HH:MM:SS`` log text."""
-    return F.date_format(_col(ts), LOG_TIME_FORMAT)
+    """A timestamp without zone as ``dd/Mon/yyyy:HH:MM:SS`` log text (independent
+    of the session time zone, like :func:`hour_key`)."""
+    t = _col(ts)
+    return F.concat_ws(":", day_key(t, "dd/MMM/yyyy"), _two_digits(F.hour(t)), _two_digits(F.minute(t)),
+                       _two_digits(F.second(t)))
 
 
 def random_row_id() -> Column:

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import format_log_time
+from tessera.functions.text import day_key, format_log_time, hour_key
 from tessera.sources.files import read_testdata
 
 
@@ -44,7 +44,7 @@ def pagecounts(events: DataFrame) -> DataFrame:
     """
     return (
         events.filter(F.col("event_type") != "error")
-        .groupBy(F.date_format("ts", "yyyyMMdd-HH").alias("hour"), F.col("user_id").alias("title"))
+        .groupBy(hour_key("ts").alias("hour"), F.col("user_id").alias("title"))
         .agg(F.count(F.lit(1)).alias("views"))
     )
 
@@ -61,7 +61,7 @@ def weather_observations(events: DataFrame) -> DataFrame:
     (insufficient), so the quality filter has something to drop.
     """
     daily = events.groupBy(
-        station_of("user_id").alias("station"), F.date_format("ts", "yyyyMMdd").alias("date")
+        station_of("user_id").alias("station"), day_key("ts").alias("date")
     ).agg(
         F.max("value").alias("hi"), F.min("value").alias("lo"), F.count(F.lit(1)).alias("n")
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import hour_key
 from tessera.plans import data
 from tessera.session import committed, scratch_path
 
@@ -59,7 +60,7 @@ def pagecount_lines(events: DataFrame) -> DataFrame:
     )
     language = F.when(et == "signup", F.lit("fr")).otherwise(F.lit("en"))
     counts = events.groupBy(
-        F.date_format("ts", "yyyyMMdd-HH").alias("hour"), language.alias("language"), title.alias("title")
+        hour_key("ts").alias("hour"), language.alias("language"), title.alias("title")
     ).agg(F.count(F.lit(1)).alias("views"), F.sum(F.floor("value").cast("long")).alias("bytes"))
     return counts.select(F.concat_ws(" ", "hour", "language", "title", "views", "bytes").alias("value"))
 

@@ -70,3 +70,22 @@ def test_line_formats(spark):
 def test_order_line_sorts_names(spark):
     df = spark.createDataFrame([(1, 2.5, ["b", "a", "c"])], "k long, p double, names array<string>")
     assert df.select(order_line("k", "p", "names").alias("o")).first().o == "Order #1 $2.50: a, b, c"
+
+
+def test_time_keys_ignore_the_session_time_zone(spark):
+    """02:30 on a spring-forward day does not exist in Los Angeles; the keys,
+    the log text and the parsed time must keep the wall-clock values anyway."""
+    from tessera.functions.text import format_log_time, hour_key, parse_log_time
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2024-03-10 02:30:05' AS ts, '10/Mar/2024:02:30:05' AS s, "
+                       "'31/Feb/2024:02:30:05' AS bad")
+        row = df.select(hour_key("ts").alias("h"), format_log_time("ts").alias("f"),
+                        parse_log_time("s").alias("p"), parse_log_time("bad").alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert row.h == "20240310-02"
+    assert row.f == "10/Mar/2024:02:30:05"
+    assert str(row.p) == "2024-03-10 02:30:05" and row.b is None
