@@ -16,7 +16,7 @@ from tessera.plans import data
 from tessera.session import committed, scratch_path
 
 # Bump when a derivation changes, so stored inputs of an older form are not reused.
-INPUT_VERSION = "2"
+INPUT_VERSION = "3"
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str:
