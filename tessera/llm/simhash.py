@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import checkpointed, free_name, table
 from tessera.llm.components import components
@@ -63,7 +64,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, column:
             made = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(at)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made)], names=names)
 
-    return kept.mapInArrow(run, kept.schema.add(column, "long"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(column, T.LongType())]))
 
 
 @dataclass
