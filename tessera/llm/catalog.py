@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, rules, secret_scan, simhash, topk, urls
+from tessera.llm import bpe, linededup, rules, secret_scan, simhash, topk, urls
 
 QUERIES = {
     "op1_bpe_codec": bpe.op1_bpe_codec,
     "op4_simhash_vp_tree": simhash.op4_simhash_vp_tree,
+    "op5_fuzzy_lines": linededup.op5_fuzzy_lines,
     "op6_quality_rules": rules.op6_quality_rules,
     "op8_secret_ownership": secret_scan.op8_secret_ownership,
     "op9_url_reputation": urls.op9_url_reputation,
