@@ -240,11 +240,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: st
     filters; texts are never shuffled. Null and empty texts fail the base;
     repeated rows are judged alike; null ids are judged but not learned from.
     """
-    column = free_name(docs, "stats")
-    _, learned = judge(with_statistics(docs.select(id_col, text), text), labels, id_col)
-    judged = with_statistics(docs, text, column)
+    column, once = free_name(docs, "stats"), free_name(docs, "once")
+    stats = checkpointed(with_statistics(docs.select(id_col, text), text).select(id_col, "stats"))
+    _, learned = judge(stats, labels, id_col)
     passed = ~base_failed(column) & learned.reason(features(column)).isNull()
-    return judged.filter(passed).select(*docs.columns)
+    # a filter would be pushed below the statistics and repeat them in each of its terms; a generated row isn't
+    kept = F.explode(F.when(passed, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))).alias(once)
+    return with_statistics(docs, text, column).select(*docs.columns, kept).drop(once)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
