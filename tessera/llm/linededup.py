@@ -295,8 +295,10 @@ def line_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id", si
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "_hash", "pos")
     firsts = places.groupBy("id").agg(F.min(place).alias("first"))
     linked = checkpointed(firsts.join(roots.withColumnRenamed("node", "id"), "id", "left"))
-    groups = linked.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("class_first"))
-    chosen = checkpointed(linked.join(groups, "root", "left").select("id", F.coalesce("class_first", "first").alias("keeper")))
+    # lines without a link are a class each and take no part in the join
+    several, alone = linked.filter(F.col("root").isNotNull()), linked.filter(F.col("root").isNull())
+    groups = several.groupBy("root").agg(F.min("first").alias("keeper"))
+    chosen = checkpointed(several.join(groups, "root").select("id", "keeper").unionAll(alone.select("id", F.col("first").alias("keeper"))))
     found = places.join(chosen, "id")
     return found.select(
         F.col("doc").alias(id_col), F.col("_hash").alias("text_hash"), F.col("pos").alias("line_no"),
