@@ -257,7 +257,7 @@ class Remembered:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def put(self, key: str, value: list[int]) -> list[int]:
+    def put(self, key: str, value: tuple[int, ...]) -> tuple[int, ...]:
         if len(self.young) >= self.size:
             self.young, self.old = {}, self.young
         self.young[key] = value
@@ -273,7 +273,7 @@ class Codec:
     ``spaces_cut=False`` is for patterns without that property.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 250_000, spaces_cut: bool = True):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 500_000, spaces_cut: bool = True):
         self.find = regex.compile(pattern).findall
         self.transducer = Transducer(ranks)
         self.decoder = Decoder(self.transducer.bytes_of)
@@ -281,17 +281,22 @@ class Codec:
         self.spaces_cut = spaces_cut
         self.names = {rank: str(rank) for rank in ranks.values()}
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> tuple[int, ...] | list[int]:
         """Ids of one piece with the space before it."""
-        ids = self.pieces.old.get(piece)
+        known = self.pieces
+        ids = known.old.get(piece)
         if ids is None:
-            ids = self._run(" " + piece)
-        return self.pieces.put(piece, ids) if len(piece) <= 32 else ids
+            if piece.isalpha():  # letters only, so one pre-token
+                ids = tuple(self.transducer.encode_all((" " + piece).encode("utf-8")))
+            else:
+                ids = self._run(" " + piece)
+        return known.put(piece, tuple(ids)) if len(piece) <= 32 else ids
 
     def _run(self, text: str) -> list[int]:
-        out, encode = [], self.transducer.encode_all
+        out, encode, known = [], self.transducer.encode_all, self.pieces
         for word in self.find(text):
-            out += encode(word.encode("utf-8"))
+            ids = known.young.get(word[1:]) if word[0] == " " and self.spaces_cut else None
+            out += encode(word.encode("utf-8")) if ids is None else ids
         return out
 
     def encode(self, text: str | None) -> list[int]:
