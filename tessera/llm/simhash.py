@@ -184,6 +184,18 @@ class Forest:
             self.join(x, y)
 
 
+def _parted(points: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, mask: np.uint64, reach: int,
+            pivot: np.uint64, radius: int) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """The comparisons of ``left`` with ``right`` that the triangle bound leaves on either side of a ball."""
+    a = np.bitwise_count((points[left] ^ pivot) & mask).astype(np.int64)
+    if same:
+        inside = a <= radius
+        return [(left[inside], left[inside], True), (left[~inside], left[~inside], True),
+                (left[inside & (a + reach > radius)], left[~inside & (a - reach <= radius)], False)]
+    b = np.bitwise_count((points[right] ^ pivot) & mask).astype(np.int64)
+    return [(left[a <= radius], right[b - reach <= radius], False), (left[a > radius], right[b + reach > radius], False)]
+
+
 def link_shard(points: np.ndarray, home: np.ndarray, half: np.uint64, bits: int, leaf: int = 1_024) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of links within ``bits`` between homes, and between homes and visitors.
 
@@ -197,14 +209,17 @@ def link_shard(points: np.ndarray, home: np.ndarray, half: np.uint64, bits: int,
         left, right, same = todo.pop()
         if not len(left) or not len(right):
             continue
-        made = None
+        parts = None
         if len(left) * len(right) > leaf * leaf:
             larger = left if len(left) >= len(right) else right
             some = points[rng.choice(larger, size=min(2_048, len(larger)), replace=False)]
             for mask, reach in ((half, bits // 2), (FULL, bits)):
                 if (made := _cut(some, mask, reach, rng, 12)) is not None:
-                    break
-        if made is None:
+                    parts = _parted(points, left, right, same, mask, reach, *made)
+                    if sum(len(x) * len(y) for x, y, _ in parts) <= 0.8 * len(left) * len(right):
+                        break
+                    parts = None  # too much crosses: not worth a cut
+        if parts is None:
             for at in range(0, len(left), leaf):
                 rows = left[at:at + leaf]
                 for other in range(at if same else 0, len(right), leaf):
@@ -215,15 +230,7 @@ def link_shard(points: np.ndarray, home: np.ndarray, half: np.uint64, bits: int,
                     if near.any():
                         forest.block(near, rows, columns)
             continue
-        pivot, radius = made
-        a = np.bitwise_count((points[left] ^ pivot) & mask).astype(np.int64)
-        if same:
-            inside = a <= radius
-            todo += [(left[inside], left[inside], True), (left[~inside], left[~inside], True),
-                     (left[inside & (a + reach > radius)], left[~inside & (a - reach <= radius)], False)]
-        else:
-            b = np.bitwise_count((points[right] ^ pivot) & mask).astype(np.int64)
-            todo += [(left[a <= radius], right[b - reach <= radius], False), (left[a > radius], right[b + reach > radius], False)]
+        todo += parts
     roots = np.array([forest.find(i) for i in range(len(points))], dtype=np.int64)
     hung = np.flatnonzero(roots != np.arange(len(points)))
     return points[hung], points[roots[hung]]
