@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import checkpointed, table
 
 EXACT = 2.0**52  # inner products below this are exact in float64
+NO_FLOOR = np.iinfo(np.int64).min
 
 
 def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", scale: int = 1024) -> DataFrame:
@@ -106,7 +107,7 @@ def search(entries: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, quer
     first = np.searchsorted(who, np.arange(len(q) + 1))
     best_ids = [np.zeros(0, np.int64)] * len(q)
     best = [np.zeros(0, np.int64)] * len(q)
-    kth = floors.astype(np.float64).copy()
+    kth = floors.copy()
     turn = 0
     active = np.flatnonzero(first[1:] > first[:-1])
     while len(active):  # each query's turn-th best leaf; queries at the same leaf share one product
@@ -192,7 +193,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     def aim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, splits, base, sample = shared.value
         for batch in batches:
-            floors = np.full(len(batch), -np.inf)
+            floors = np.full(len(batch), NO_FLOOR)
             shards = [[]] * len(batch)
             for dim, rows in batch.groupby("dim").indices.items():
                 if dim not in base:
@@ -213,7 +214,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     blocks = max(1, -(-n_queries // block))
     placed = entries.select("v", "ids", "dim", F.pmod(F.xxhash64("v"), F.lit(1_000_003)).alias("salt")).mapInPandas(place, "shard long, v array<long>, ids array<long>")
     placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    aimed = queries.distinct().withColumn("dim", F.size("v")).mapInPandas(aim, "id long, v array<long>, floor double, shards array<long>")
+    aimed = queries.distinct().withColumn("dim", F.size("v")).mapInPandas(aim, "id long, v array<long>, floor long, shards array<long>")
     aimed = aimed.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode("shards")).drop("shards")
 
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
