@@ -31,12 +31,15 @@ def moment_sums(x: str | Column, y: str | Column) -> list[Column]:
     ]
 
 
-def pearson_from_sums(n="n", sx="sx", sy="sy", sxx="sxx", syy="syy", sxy="sxy") -> Column:
-    """r = (nΣxy − ΣxΣy) / (sqrt(nΣx² − (Σx)²) · sqrt(nΣy² − (Σy)²))."""
-    n, sx, sy, sxx, syy, sxy = (_c(v).cast("double") for v in (n, sx, sy, sxx, syy, sxy))
-    num = n * sxy - sx * sy
-    den = F.sqrt(n * sxx - sx * sx) * F.sqrt(n * syy - sy * sy)
-    return F.try_divide(num, F.when(den != 0, den))
+def pearson(x: str | Column, y: str | Column) -> Column:
+    """Aggregate r = covariance / (σx · σy) over complete pairs, from mergeable central moments.
+
+    Large values don't cancel as they do in raw moment sums; zero variance gives NULL.
+    """
+    xd, yd = _c(x).cast("double"), _c(y).cast("double")
+    both = xd.isNotNull() & yd.isNotNull()
+    xv, yv = F.when(both, xd), F.when(both, yd)
+    return F.try_divide(F.covar_pop(xv, yv), F.stddev_pop(xv) * F.stddev_pop(yv))
 
 
 def slope_from_sums(n="n", sx="sx", sy="sy", sxx="sxx", sxy="sxy") -> Column:

@@ -96,8 +96,9 @@ def stable_row_id(*cols: str | Column) -> Column:
 
 
 def key_value_line(key: str | Column, value: str | Column, sep: str = "\t") -> Column:
-    """``key<sep>value`` text line (the key/value text output format)."""
-    return F.concat_ws(sep, _col(key).cast("string"), _col(value).cast("string"))
+    """``key<sep>value`` text line (the key/value text output format); NULL is empty text."""
+    return F.concat(F.coalesce(_col(key).cast("string"), F.lit("")), F.lit(sep),
+                    F.coalesce(_col(value).cast("string"), F.lit("")))
 
 
 def word_count_line(word: str | Column, n: str | Column) -> Column:
@@ -131,10 +132,14 @@ def json_array_line(*cols: str | Column, strings: tuple[int, ...] = (0,)) -> Col
 
     ``to_json(array(...))`` needs one element type, so each element is rendered
     on its own: positions in ``strings`` through :func:`json_string`, the rest
-    as number text.
+    as number text. NULL, NaN and infinite values become ``null``.
     """
+    def number(c):
+        shown = _col(c).cast("string")
+        return F.when(~shown.isin("NaN", "Infinity", "-Infinity"), shown)
+
     parts = [
-        json_string(c) if i in strings else _col(c).cast("string")
+        F.coalesce(F.when(_col(c).isNotNull(), json_string(c)) if i in strings else number(c), F.lit("null"))
         for i, c in enumerate(cols)
     ]
     return F.concat(F.lit("["), F.concat_ws(", ", *parts), F.lit("]"))

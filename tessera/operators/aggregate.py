@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.stats import (
     intercept_from_sums,
     moment_sums,
-    pearson_from_sums,
+    pearson as pearson_of,
     slope_from_sums,
 )
 from tessera.functions.text import tokens
@@ -103,9 +103,8 @@ def moments(df: DataFrame, x: str | Column, y: str | Column) -> DataFrame:
 
 def pearson(df: DataFrame, x: str | Column, y: str | Column) -> DataFrame:
     """One row: the sums, r and r². r is NULL when either variance is zero."""
-    sums = moments(df, x, y)
-    r = pearson_from_sums()
-    return sums.withColumn("r", r).withColumn("r2", F.col("r") * F.col("r"))
+    sums = df.agg(*moment_sums(x, y), pearson_of(x, y).alias("r"))
+    return sums.withColumn("r2", F.col("r") * F.col("r"))
 
 
 def linear_fit(df: DataFrame, x: str | Column, y: str | Column) -> DataFrame:

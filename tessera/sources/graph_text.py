@@ -14,5 +14,6 @@ def parse_adjacency(df: DataFrame, column: str = "value") -> DataFrame:
     return (
         df.select(src.alias("src"), F.explode(targets).alias("dst"))
         .filter(F.col("dst") != "")
-        .select(F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+        .select(F.col("src").try_cast("long").alias("src"), F.col("dst").try_cast("long").alias("dst"))
+        .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
     )

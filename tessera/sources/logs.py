@@ -38,7 +38,7 @@ def parse_access_log(df: DataFrame, column: str = "value", id_mode: str | None =
     cols += [
         parse_log_time(F.substr(F.get(tok, 3), F.lit(2))).alias("datetime"),
         F.get(tok, 6).alias("path"),
-        F.get(tok, 9).cast("long").alias("bytes"),
+        F.get(tok, 9).try_cast("long").alias("bytes"),
     ]
     return good.select(*cols)
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.stats import intercept_from_sums, slope_from_sums
 from tessera.functions.text import split_get
 from tessera.session import scratch_path
 
@@ -35,10 +34,11 @@ def running_fit(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         F.sum(yv).alias("sy"),
         F.sum(xv * xv).alias("sxx"),
         F.sum(xv * yv).alias("sxy"),
+        # central moments: no cancellation on large values, NULL without variance
+        F.regr_slope(F.col(y), F.col(x)).alias("slope"),
+        F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
     )
-    return sums.withColumn("slope", slope_from_sums()).withColumn(
-        "intercept", intercept_from_sums(F.col("slope"))
-    )
+    return sums
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", **options) -> DataFrame:

@@ -89,3 +89,23 @@ def test_time_keys_ignore_the_session_time_zone(spark):
     assert row.h == "20240310-02"
     assert row.f == "10/Mar/2024:02:30:05"
     assert str(row.p) == "2024-03-10 02:30:05" and row.b is None
+
+
+def test_null_and_non_finite_values_in_text_lines(spark):
+    from tessera.functions.text import json_array_line, key_value_line
+
+    df = spark.createDataFrame([("a", None), (None, 1.5), ("b", float("nan"))], "k string, v double")
+    rows = df.select(json_array_line("k", "v").alias("j"), key_value_line("k", "v").alias("t")).collect()
+    assert [r.j for r in rows] == ['["a", null]', "[null, 1.5]", '["b", null]']
+    assert [r.t for r in rows][:2] == ["a\t", "\t1.5"]
+
+
+def test_statistics_on_large_values(spark):
+    from tessera.operators.aggregate import linear_fit, pearson
+    from tessera.streaming.regression import running_fit
+
+    df = spark.range(10).selectExpr("id + 1e8 AS x", "2 * id + 1e8 AS y")
+    assert abs(pearson(df, "x", "y").first()["r"] - 1.0) < 1e-12
+    batch, stream = linear_fit(df, "x", "y").first(), running_fit(df).first()
+    assert batch["slope"] == stream["slope"] and abs(batch["slope"] - 2.0) < 1e-9
+    assert pearson(spark.range(3).selectExpr("id AS x", "1 AS y"), "x", "y").first()["r"] is None
