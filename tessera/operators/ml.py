@@ -1,8 +1,8 @@
 """Spark ML stages and helpers (ML1-ML11, FN18, FN19, SNK10).
 
-Pipelines are plain ``pyspark.ml`` pipelines; the only custom stage is the
-RGB -> LAB converter, a column-expression transformer that saves and loads
-with the pipeline.
+Pipelines are plain ``pyspark.ml`` pipelines; the custom stages, the RGB -> LAB
+converter and the day before, are column-expression and join transformers that
+save and load with the pipeline.
 """
 
 from __future__ import annotations
@@ -21,17 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.colour import COLOUR_RGB, lab_grid, rgb_to_lab_columns
+from tessera.operators.joins import with_previous_day
 
-# Features of a day and the same station's maximum of the day before. A
-# self-join, so a missing day yields no row (lag() would pair across the gap).
-YESTERDAY_SQL = (
-    "SELECT t.station AS station, t.date AS date, t.latitude AS latitude, t.longitude AS longitude, "
-    "t.elevation AS elevation, dayofyear(t.date) AS dayofyear, t.tmax AS tmax, p.tmax AS yesterday_tmax "
-    "FROM __THIS__ t JOIN __THIS__ p ON p.station = t.station AND p.date = date_add(t.date, -1)"
-)
-DAYOFYEAR_SQL = (
-    "SELECT station, date, latitude, longitude, elevation, dayofyear(date) AS dayofyear, tmax FROM __THIS__"
-)
+DAYOFYEAR_SQL = "SELECT *, dayofyear(date) AS dayofyear FROM __THIS__"
 
 
 def fit_concurrently(fn, items, threads: int | None = None) -> list:
@@ -56,7 +48,14 @@ def fit_concurrently(fn, items, threads: int | None = None) -> list:
 def pair_days(daily: DataFrame) -> DataFrame:
     """Daily rows restricted to the days that have the day before (the rows the
     yesterday model can score), with the daily schema unchanged."""
-    return SQLTransformer(statement=YESTERDAY_SQL).transform(daily).select(*daily.columns)
+    return PreviousDay().transform(daily).select(*daily.columns)
+
+
+class PreviousDay(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage: adds the station's maximum of the day before; days without one drop out."""
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return with_previous_day(dataset, "station", "date", "tmax")
 
 
 class RgbToLab(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -88,7 +87,7 @@ def training_set(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def tmax_pipeline(with_yesterday: bool = True, num_trees: int = 40, max_depth: int = 10, seed: int = 123,
                   learner: str = "forest") -> Pipeline:
     """Next-day maximum temperature: SQL features -> vector -> tree ensemble."""
-    sql = SQLTransformer(statement=YESTERDAY_SQL if with_yesterday else DAYOFYEAR_SQL)
+    days = [PreviousDay()] if with_yesterday else []
     inputs = ["latitude", "longitude", "elevation", "dayofyear"] + (["yesterday_tmax"] if with_yesterday else [])
     assemble = VectorAssembler(inputCols=inputs, outputCol="features")
     if learner == "gbt":
@@ -96,7 +95,7 @@ def tmax_pipeline(with_yesterday: bool = True, num_trees: int = 40, max_depth: i
     else:
         model = RandomForestRegressor(featuresCol="features", labelCol="tmax", numTrees=num_trees,
                                       maxDepth=max_depth, seed=seed)
-    return Pipeline(stages=[sql, assemble, model])
+    return Pipeline(stages=[*days, SQLTransformer(statement=DAYOFYEAR_SQL), assemble, model])
 
 
 def colour_pipeline(space: str = "rgb", n_labels: int = 11, hidden: int = 30, seed: int = 123,

@@ -170,17 +170,19 @@ def daily_range_max(spark, sf_dir, strategy: str = "broadcast"):
     return widest_range_per_date(_observations(spark, sf_dir), strategy=strategy)
 
 
+# One scan: equal readings are counted, a station's day has its highest TMAX and
+# lowest TMIN with their counts, and a widest day is shown once for each pair.
 DAILY_RANGE_SQL = """
-WITH clean AS (SELECT * FROM {obs} WHERE qflag IS NULL),
-tmax AS (SELECT station, date, value / 10 AS tmax FROM clean WHERE observation = 'TMAX'),
-tmin AS (SELECT station, date, value / 10 AS tmin FROM clean WHERE observation = 'TMIN'),
-ranged AS (
-  SELECT tmax.station, tmax.date, tmax.tmax - tmin.tmin AS range
-  FROM tmax JOIN tmin ON tmax.station = tmin.station AND tmax.date = tmin.date),
-best AS (SELECT date, max(range) AS max_range FROM ranged GROUP BY date)
-SELECT ranged.date, ranged.station, round(ranged.range, 3) AS range
-FROM ranged JOIN best ON ranged.date = best.date AND ranged.range = best.max_range
-ORDER BY ranged.date, ranged.station
+WITH readings AS (
+  SELECT station, date, observation = 'TMAX' AS high, value, count(*) AS n FROM {obs}
+  WHERE qflag IS NULL AND observation IN ('TMAX', 'TMIN') GROUP BY ALL),
+days AS (
+  SELECT station, date, (max(value) FILTER (WHERE high) - min(value) FILTER (WHERE NOT high)) / 10 AS range,
+    max_by(n, value) FILTER (WHERE high) * min_by(n, value) FILTER (WHERE NOT high) AS pairs
+  FROM readings GROUP BY station, date)
+SELECT date, station, round(range, 3) AS range
+FROM (SELECT *, explode(sequence(1, pairs)) FROM days JOIN (SELECT date, max(range) AS range FROM days GROUP BY date) USING (date, range))
+ORDER BY date, station
 """
 
 
