@@ -11,12 +11,13 @@ Cells and marginals stay Spark tables: their number grows with the sources.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, free_name, table, words_of
+from tessera.llm.common import checkpointed, free_name, stored, table, words_of
 
 NULL = "(null)"
 #: Production targets: a number is the power that token shares are raised to (1 keeps them, 0 evens them out).
@@ -68,26 +69,29 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], toleran
 
     A number as target tempers the dimension's token shares by that power; a
     dict gives weights, and values it doesn't name get none. Stops when no
-    marginal is off by more than ``tolerance``, or after ``most`` sweeps (as
-    when targets contradict each other through empty cells). One checkpoint a
-    sweep; the driver sees one number.
+    marginal is off by more than ``tolerance``, when the sweeps left would gain
+    less than ``tolerance`` at the last one's rate (as when targets contradict
+    each other through empty cells), or after ``most`` sweeps. One written
+    table a sweep; the driver sees one number.
     """
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
-    goals = {d: checkpointed(_target(cells, d, wanted)) for d, wanted in targets.items()}
+    goals = {d: stored(_target(cells, d, wanted)) for d, wanted in targets.items()}
     now = cells.join(F.broadcast(whole), F.lit(True)).withColumn("weight", F.col("tokens") / F.col("whole")).drop("whole")
 
     def marginal(weighted: DataFrame, d: str) -> DataFrame:
         return weighted.groupBy(d).agg(F.sum("weight").alias("sum")).join(goals[d], d)
 
+    last = math.inf
     for sweep in range(most):
         for d in targets:
             factor = marginal(now, d).select(d, F.coalesce(F.try_divide("goal", "sum"), F.lit(0.0)).alias("factor"))
             now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = checkpointed(now)
+        now = stored(now)
         off = [marginal(now, d).select(F.abs(F.col("sum") - F.col("goal")).alias("off")) for d in targets]
         worst = reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0]
-        if worst is None or worst <= tolerance:
+        if worst is None or worst <= tolerance or last - worst <= tolerance / most:
             break
+        last = worst
     return now
 
 
