@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed
+from tessera.llm.common import stored
 
 
 def _signature(links: DataFrame) -> tuple:
@@ -40,15 +40,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Links of a node to itself and repeated links are allowed; nulls are not
     links. An empty table gives an empty table. Each round's links are
-    checkpointed; the driver sees one count and hash sum per round.
+    a written table; the driver sees one count and hash sum per round.
     """
     a, b = links.columns
     x, y = F.greatest(F.col(a), F.col(b)), F.least(F.col(a), F.col(b))
-    now = checkpointed(links.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+    now = stored(links.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
                        .select(x.alias("a"), y.alias("b")).distinct())
     known = _signature(now)
     while known[0]:
-        now = checkpointed(_small_star(_large_star(now)))
+        now = stored(_small_star(_large_star(now)))
         found = _signature(now)
         if found == known:
             break
