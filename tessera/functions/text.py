@@ -91,8 +91,8 @@ def random_row_id() -> Column:
 
 
 def stable_row_id(*cols: str | Column) -> Column:
-    """Repeatable id: SHA-256 of the columns joined by a unit separator."""
-    return F.sha2(F.concat_ws("\u001f", *[_col(c) for c in cols]), 256)
+    """Repeatable id: SHA-256 of the columns joined by a unit separator; a NULL is a NUL character."""
+    return F.sha2(F.concat_ws("\u001f", *[F.coalesce(_col(c).cast("string"), F.lit("\u0000")) for c in cols]), 256)
 
 
 def key_value_line(key: str | Column, value: str | Column, sep: str = "\t") -> Column:

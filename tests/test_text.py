@@ -6,6 +6,7 @@ from tessera.functions.text import (
     order_line,
     parse_log_time,
     split_get,
+    stable_row_id,
     word_count_line,
 )
 from tessera.operators.aggregate import word_count
@@ -109,3 +110,8 @@ def test_statistics_on_large_values(spark):
     batch, stream = linear_fit(df, "x", "y").first(), running_fit(df).first()
     assert batch["slope"] == stream["slope"] and abs(batch["slope"] - 2.0) < 1e-9
     assert pearson(spark.range(3).selectExpr("id AS x", "1 AS y"), "x", "y").first()["r"] is None
+
+
+def test_stable_row_id_tells_nulls_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "")], "x string, y string")
+    assert df.select(stable_row_id("x", "y").alias("id")).distinct().count() == 3
