@@ -1,163 +1,77 @@
-"""Joins (JOIN1-JOIN7, AGG6) with a size check in front of every explicit broadcast.
-
-A side is broadcast only after its row count has been measured against a
-bound: up to 64 single-key pairs travel as a literal map (a narrow lookup,
-no join), up to 10,000 rows as a broadcast local relation, larger sides from
-files written once and counted; past the byte bound the plain join is used
-and AQE chooses the strategy at run time from measured shuffle sizes (and
-splits skewed partitions).
+"""Joins (JOIN1-JOIN7, AGG6).
+
+By default (``"auto"``) the planner and AQE choose: AQE broadcasts a side whose
+shuffled size, measured while the query runs, is below Spark's own threshold,
+and splits skewed partitions. The explicit broadcast form writes the small
+side once and broadcasts it only if its rows' real bytes fit a bound; past the
+bound the written table joins like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators.aggregate import group_max, group_mean
-from tessera.sinks.files import materialize_counted
-
-# Rough bytes per value when sizing a broadcast side.
-_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-    T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
-}
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes of one row (strings and nested values counted at 64 bytes)."""
-    return 16 + sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields)
-
-
-# Sides of at most this many rows are measured by a bounded collect and
-# shipped as a local relation (a broadcast sends the rows from the driver anyway).
-LOCAL_ROWS = 10_000
+from tessera.sinks.files import materialize
 
+#: Largest side, in bytes of its rows as text, that the explicit form broadcasts.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
-def measure(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-            local_rows: int = LOCAL_ROWS) -> list | None:
-    """The rows of ``small`` if it has at most ``min(local_rows, max_bytes /
-    row width)`` of them, else None; one job that collects at most that many
-    rows plus one."""
-    cap = min(local_rows, max_bytes // row_width(small.schema))
-    head = small.limit(cap + 1).collect()
-    return head if len(head) <= cap else None
 
+def sized_broadcast(small: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``small`` written to the shared scratch folder, and whether it is marked for broadcast.
 
-_UNMEASURED = object()
-
-
-def bounded_broadcast(small: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      local_rows: int = LOCAL_ROWS, head=_UNMEASURED) -> tuple[DataFrame, bool]:
-    """Measure ``small`` and mark it for broadcast only if it fits ``max_bytes``.
-
-    Returns ``(frame, broadcast?)``. The check never moves more than a bounded
-    number of rows: ``measure`` collects at most ``local_rows + 1``, so a tiny
-    side (such as one mean per group) is measured and shipped in one job
-    (``head`` passes rows a caller already measured). A larger side is
-    computed once into the shared scratch folder (its rows counted while it is
-    written) and broadcast from the files if rows x width fits; past the bound
-    the written table joins by shuffle (AQE picks the strategy).
+    The rows' bytes (their length as JSON, names included, so rather too many
+    than too few) are summed by the write itself; the driver sees one number.
     """
-    if head is _UNMEASURED:
-        head = measure(small, max_bytes, local_rows)
-    if head is not None:
-        local = small.sparkSession.createDataFrame(head, small.schema)
-        return F.broadcast(local), True
-    staged, n = materialize_counted(small, "broadcast")
-    if n * row_width(small.schema) <= max_bytes:
-        return F.broadcast(staged), True
-    return staged, False
-
-
-# A side of at most this many (key, value) pairs travels inside the plan as a
-# literal map: no broadcast exchange, no hash build, a narrow lookup. A map
-# lookup scans the keys, so this tier is for a few dozen keys only (measured:
-# 5 and 30 keys are faster than a broadcast join, 720 keys are not).
-MAP_ENTRIES = 64
-
-
-def lookup_map(small: DataFrame, key: str, value: str, max_entries: int = MAP_ENTRIES, rows=None):
-    """``key -> value`` of a tiny side as a function Column -> Column, or None.
-
-    At most ``max_entries + 1`` rows are collected, so the check itself is
-    bounded; ``rows`` passes the whole side when it was already collected by
-    ``measure`` (no second job). The map is a ``create_map`` literal that ships
-    with each task, like a broadcast variable; a missing key gives NULL. Rows
-    with a NULL key are left out (they never meet an equi-join).
-    """
-    if rows is None:
-        rows = small.select(key, value).filter(F.col(key).isNotNull()).limit(max_entries + 1).collect()
-    else:
-        rows = [r for r in rows if r[key] is not None]
-    if len(rows) > max_entries:
-        return None
-    kind, key_kind = small.schema[value].dataType, small.schema[key].dataType
-    if not rows:
-        return lambda k: F.lit(None).cast(kind)
-    pairs = []
-    for r in rows:
-        pairs += [F.lit(r[key]).cast(key_kind), F.lit(r[value]).cast(kind)]
-    mapping = F.create_map(*pairs)
-    return lambda k: F.try_element_at(mapping, k)
+    seen = Observation("broadcast_side")
+    length = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns])))
+    staged = materialize(small.observe(seen, F.sum(length + F.lit(16)).alias("bytes")), "broadcast")
+    fits = (seen.get["bytes"] or 0) <= max_bytes
+    return (F.broadcast(staged) if fits else staged), fits
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", strategy: str = "auto",
-               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a big frame with a (probably) small one.
 
-    ``strategy``: ``"auto"`` leaves it to the planner and AQE; ``"broadcast"``
-    broadcasts ``small`` after the size check; ``"shuffle"`` forces a
-    sort-merge join (both sides exchanged on the key).
+    ``strategy``: ``"auto"`` leaves it to the planner and AQE and runs nothing
+    now; ``"broadcast"`` writes ``small`` and broadcasts it if it fits;
+    ``"shuffle"`` forces a sort-merge join (both sides exchanged on the key).
     """
     if strategy == "broadcast":
-        small, _ = bounded_broadcast(small, max_bytes)
+        small, _ = sized_broadcast(small, max_bytes)
     elif strategy == "shuffle":
         small = small.hint("merge")
     return big.join(small, on, how)
 
 
 def relative_to_group_mean(df: DataFrame, key: str, value: str, out: str = "relative",
-                           strategy: str = "auto", max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                           strategy: str = "auto", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Each row's ``value`` divided by its group's mean; groups with mean <= 0 dropped.
 
     The means are one row per group (partial aggregate, skew-safe); the detail
     rows are never shuffled when the means go out by broadcast.
     """
     means = group_mean(df, key, value).filter(F.col("mean") > 0).select(key, "mean")
-    if strategy == "broadcast":
-        head = measure(means, max_bytes)
-        lookup = lookup_map(means, key, "mean", rows=head) if head is not None else None
-        if lookup is not None:
-            with_mean = df.withColumn("__mean", lookup(F.col(key))).filter(F.col("__mean").isNotNull())
-            return with_mean.withColumn(out, F.col(value).cast("double") / F.col("__mean")).drop("__mean")
-        means, _ = bounded_broadcast(means, max_bytes, head=head)
-        strategy = "auto"
     joined = join_small(df, means, key, "inner", strategy, max_bytes)
     return joined.withColumn(out, F.col(value).cast("double") / F.col("mean")).drop("mean")
 
 
 def join_back_to_max(df: DataFrame, keys: str | Sequence[str], value: str, strategy: str = "auto",
-                     max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                     max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """All rows whose ``value`` equals the maximum of their group (ties kept).
 
     Max per group (partial aggregate) joined back on (keys, value). Unlike a
     ``rank()`` window this never sorts a whole group inside one task, so a hot
-    group costs no more than any other.
+    group costs no more than any other. Where ``df`` is itself an aggregate,
+    ``"auto"`` computes it once and reuses its exchange for both sides.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     best = group_max(df, keys, value, out="__max").withColumnRenamed("__max", value)
-    if strategy == "broadcast":
-        head = measure(best, max_bytes)
-        if head is not None and len(keys) == 1:
-            lookup = lookup_map(best, keys[0], value, rows=head)
-            if lookup is not None:
-                return df.filter(F.col(value) == lookup(F.col(keys[0])))
-        best, _ = bounded_broadcast(best, max_bytes, head=head)
-        strategy = "auto"
     return join_small(df, best, [*keys, value], "inner", strategy, max_bytes)
 
 
@@ -170,11 +84,12 @@ def with_previous_day(df: DataFrame, key: str, date: str, value: str, out: str |
     """Rows joined with the same key's row of the day before (a gap gives no row).
 
     An equi-join on (key, date - 1), not ``lag``: a missing day must drop the
-    pair instead of pairing with an older day.
+    pair instead of pairing with an older day. NULL keys and dates are dropped
+    once, before the two sides part, and the shift is in the condition, so
+    both sides share one scan and its exchange.
     """
     out = out or f"yesterday_{value}"
-    prev = df.select(
-        F.col(key).alias("__k"), F.date_add(F.col(date), 1).alias("__d"), F.col(value).alias(out)
-    )
-    cond = [df[key] == prev["__k"], df[date] == prev["__d"]]
-    return df.join(prev, cond, "inner").drop("__k", "__d")
+    days = df.filter(F.col(key).isNotNull() & F.col(date).isNotNull())
+    prev = days.select(F.col(key).alias("__k"), F.col(date).alias("__d"), F.col(value).alias(out))
+    cond = [days[key] == prev["__k"], F.date_sub(days[date], 1) == prev["__d"]]
+    return days.join(prev, cond, "inner").drop("__k", "__d")

@@ -40,24 +40,42 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str | None = None)
 
 def upsert_by_key(base: DataFrame, updates: DataFrame, keys: str | Sequence[str],
                   seq: str | None = None) -> DataFrame:
-    """Write ``updates`` into the keyed table ``base``: one row per key, the last write wins.
-
-    Without ``seq`` the updates are newer than every base row: base rows whose
-    key is updated are dropped by a left-anti join on the update keys and the
-    (deduplicated) updates are appended. The base table is never aggregated;
-    when the update keys are small AQE broadcasts them, so the base is not
-    even shuffled. With ``seq`` (versions may arrive out of order) both sides
-    are merged and the largest ``seq`` per key wins; ties are broken by the
-    row content, so the result never depends on partitioning.
+    """Write ``updates`` into the keyed table ``base`` (one row per key): the last write wins.
+
+    Without ``seq`` the updates are newer than every base row, and a key may
+    occur in them once only: which of two writes was the last can't be told, so
+    the job fails on a repeated key. Base rows whose key is updated are dropped
+    by a left-anti join on the update keys and the updates are appended; when
+    the update keys are small AQE broadcasts them, so the base is not shuffled.
+
+    With ``seq`` (versions may arrive out of order, keys may repeat) the
+    updates alone are reduced to the largest ``seq`` per key, and one outer
+    join on the key keeps the later of the two versions. Equal ``seq`` are
+    decided by the row content, so the result never depends on partitioning.
+    The base is never aggregated. NULL keys meet no other key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = base.columns
     updates = updates.select(*cols)
-    if seq is not None:
-        return latest_per_key(base.unionByName(updates), keys, seq)
-    newest = latest_per_key(updates, keys)
-    kept = base.join(newest.select(*keys), keys, "left_anti")
-    return kept.unionByName(newest).select(*cols)
+    if seq is None:
+        newest = _one_per_key(updates, keys)
+        kept = base.join(newest.select(*keys), keys, "left_anti")
+        return kept.unionByName(newest).select(*cols)
+    version = F.struct(seq, *[c for c in cols if c not in keys and c != seq])
+    old = base.select(*keys, version.alias("__old"))
+    new = latest_per_key(updates, keys, seq).select(*keys, version.alias("__new"))
+    later = F.greatest("__old", "__new").alias("__row")  # of a missing and a present version, the present one
+    both = old.join(new, keys, "full_outer").select(*keys, later)
+    return both.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in cols])
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` unchanged, or a failing job if a key occurs more than once."""
+    payload = [c for c in df.columns if c not in keys]
+    counted = df.groupBy(*keys).agg(F.first(F.struct(*payload)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    error = F.raise_error(F.lit("repeated key in an update batch: pass the column that orders its versions as seq"))
+    checked = counted.select(*keys, F.when(F.col("__n") == 1, F.col("__row")).otherwise(error).alias("__row"))
+    return checked.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
 def part_names_by_order(lineitem: DataFrame, part: DataFrame, orderkey: str = "l_orderkey",

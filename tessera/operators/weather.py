@@ -21,7 +21,7 @@ def daily_ranges(obs: DataFrame) -> DataFrame:
     return paired.select("station", "date", (F.col("tmax") - F.col("tmin")).alias("range"))
 
 
-def widest_range_per_date(obs: DataFrame, strategy: str = "broadcast") -> DataFrame:
+def widest_range_per_date(obs: DataFrame, strategy: str = "auto") -> DataFrame:
     """``date, station, range`` (2-decimal text) of the stations with the largest
     range of each day, ties kept, sorted by date and station."""
     best = join_back_to_max(daily_ranges(obs), "date", "range", strategy=strategy)

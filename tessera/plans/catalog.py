@@ -39,6 +39,7 @@ QUERIES = {
     "orders_denormalized": jobs.orders_denormalized,
     "order_lines_denorm": jobs.order_lines_denorm,
     "upsert_orders": jobs.upsert_orders,
+    "upsert_versions": jobs.upsert_versions,
     "global_sums": jobs.global_sums,
     "linear_fit": jobs.linear_fit,
     "stream_linear_fit": jobs.stream_linear_fit,
@@ -156,41 +157,42 @@ def _d(v: float) -> str:
 
 
 def _lab_sql() -> str:
-    lin = (
-        "CASE WHEN {u} > {t} THEN pow(({u} + {o}) / {s}, {g}) ELSE {u} / {k} END".format(
-            u="{u}", t=_d(C.SRGB_THRESHOLD), o=_d(C.SRGB_OFFSET), s=_d(C.SRGB_SCALE),
-            g=_d(C.SRGB_GAMMA), k=_d(C.SRGB_LINEAR_SLOPE),
-        )
-    )
-    f = "CASE WHEN {v} > {e} THEN pow({v}, {third}) ELSE {k} * {v} + {o} END".format(
-        v="{v}", e=_d(C.LAB_EPSILON), third=_d(1.0 / 3.0), k=_d(C.LAB_KAPPA_SLOPE), o=_d(C.LAB_OFFSET)
-    )
-    rows = []
-    for row, w in zip(C.XYZ_FROM_RGB, C.WHITE_D65):
-        rows.append(f"(r2 * {_d(row[0])} + g2 * {_d(row[1])} + b2 * {_d(row[2])}) / {_d(w)}")
+    """CIE LAB from its definition: relative XYZ as a matrix product over the 256 possible byte
+    values' linear light, looked up in a table of byte values."""
+    light = (f"CASE WHEN v / {_d(255)} <= {_d(C.SRGB_THRESHOLD)} THEN v / {_d(255 * C.SRGB_LINEAR_SLOPE)} "
+             f"ELSE pow((v / {_d(255)} + {_d(C.SRGB_OFFSET)}) / {_d(C.SRGB_SCALE)}, {_d(C.SRGB_GAMMA)}) END")
+    relative = [[_d(m / w) for m in row] for row, w in zip(C.XYZ_FROM_RGB, C.WHITE_D65)]
+    matrix = "[" + ", ".join("[" + ", ".join(row) + "]" for row in relative) + "]"
+    cube = f"CASE WHEN t <= {_d(C.LAB_EPSILON)} THEN {_d(C.LAB_KAPPA_SLOPE)} * t + {_d(C.LAB_OFFSET)} ELSE cbrt(t) END"
     return f"""
-u AS (SELECT R, G, B, word, R / {_d(255.0)} AS r1, G / {_d(255.0)} AS g1, B / {_d(255.0)} AS b1 FROM c),
-lin AS (SELECT R, G, B, word, {lin.format(u='r1')} AS r2, {lin.format(u='g1')} AS g2, {lin.format(u='b1')} AS b2 FROM u),
-xyz AS (SELECT R, G, B, word, {rows[0]} AS x1, {rows[1]} AS y1, {rows[2]} AS z1 FROM lin),
-fxyz AS (SELECT R, G, B, word, {f.format(v='x1')} AS x2, {f.format(v='y1')} AS y2, {f.format(v='z1')} AS z2 FROM xyz),
-lab AS (SELECT R, G, B, word, {_d(116.0)} * y2 - {_d(16.0)} AS labL, {_d(500.0)} * (x2 - y2) AS labA,
-               {_d(200.0)} * (y2 - z2) AS labB FROM fxyz)
+bytes AS (SELECT v, {light} AS light FROM range(256) AS byte_values(v)),
+colour AS (
+  SELECT c.R, c.G, c.B, [red.light, green.light, blue.light] AS light
+  FROM (SELECT DISTINCT R, G, B FROM c) c
+  JOIN bytes red ON red.v = c.R JOIN bytes green ON green.v = c.G JOIN bytes blue ON blue.v = c.B),
+axes AS (
+  SELECT R, G, B, axis, list_dot_product({matrix}[axis], light) AS t FROM colour, range(1, 4) AS axis_numbers(axis)),
+cubes AS (
+  SELECT R, G, B, max({cube}) FILTER (axis = 1) AS x, max({cube}) FILTER (axis = 2) AS y, max({cube}) FILTER (axis = 3) AS z
+  FROM axes GROUP BY R, G, B),
+lab AS (
+  SELECT c.*, {_d(116)} * y - {_d(16)} AS labL, {_d(500)} * (x - y) AS labA, {_d(200)} * (y - z) AS labB
+  FROM c JOIN cubes USING (R, G, B))
 """
 
 
 def _hsv_sql() -> str:
+    """Hue in degrees by the usual three-case definition, straight from the bytes."""
     return f"""
-u AS (SELECT R, G, B, word, R / {_d(255.0)} AS r1, G / {_d(255.0)} AS g1, B / {_d(255.0)} AS b1 FROM c),
-m AS (SELECT *, greatest(r1, g1, b1) AS top, greatest(r1, g1, b1) - least(r1, g1, b1) AS delta FROM u),
-h AS (SELECT *, (CASE WHEN delta = 0 THEN 0.0
-                      WHEN r1 > g1 AND r1 > b1 THEN (g1 - b1) / delta
-                      WHEN g1 > b1 THEN 2.0 + (b1 - r1) / delta
-                      ELSE 4.0 + (r1 - g1) / delta END) / 6.0 AS h6 FROM m)
+edges AS (SELECT *, greatest(R, G, B) AS hi, least(R, G, B) AS lo FROM c)
 SELECT R, G, B, word,
-       round(CASE WHEN h6 < 0 THEN h6 + 1.0 ELSE h6 END, 6) AS H,
-       round(CASE WHEN delta = 0 THEN 0.0 ELSE delta / top END, 6) AS S,
-       round(top, 6) AS V
-FROM h
+       round(CASE WHEN hi = lo THEN {_d(0)}
+                  WHEN hi = R THEN (CASE WHEN G < B THEN 360 ELSE 0 END + 60 * (G - B) / CAST(hi - lo AS DOUBLE)) / {_d(360)}
+                  WHEN hi = G THEN (120 + 60 * (B - R) / CAST(hi - lo AS DOUBLE)) / {_d(360)}
+                  ELSE (240 + 60 * (R - G) / CAST(hi - lo AS DOUBLE)) / {_d(360)} END, 6) AS H,
+       round(CASE WHEN hi = 0 THEN {_d(0)} ELSE (hi - lo) / CAST(hi AS DOUBLE) END, 6) AS S,
+       round(hi / {_d(255)}, 6) AS V
+FROM edges
 """
 
 
@@ -316,6 +318,13 @@ WITH u AS (
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rn FROM u)
 WHERE rn = 1
+""",
+    "upsert_versions": """
+SELECT o_orderkey, version, price FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, price DESC) AS place FROM (
+    SELECT o_orderkey, 2 AS version, o_totalprice AS price FROM orders
+    UNION ALL SELECT l_orderkey, CAST(l_linenumber AS INTEGER), l_extendedprice FROM lineitem))
+WHERE place = 1
 """,
     "global_sums": """
 SELECT count(*) FILTER (WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL) AS n,

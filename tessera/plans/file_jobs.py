@@ -19,7 +19,7 @@ from tessera.functions.text import key_value_line, word_count_line
 from tessera.operators import aggregate as agg
 from tessera.operators import graph, joins, keyed, ml
 from tessera.operators.partition import hash_split, spread_if_uneven
-from tessera.operators.weather import widest_range_per_date
+from tessera.operators.weather import readings, widest_range_per_date
 from tessera.plans.jobs import DAILY_RANGE_SQL
 from tessera.session import committed
 from tessera.sinks.files import (
@@ -99,7 +99,7 @@ def hourly_top_page(spark: SparkSession, inputs: str, output: str) -> DataFrame:
     return out
 
 
-def hourly_top_pages(spark: SparkSession, inputs: str, output: str, strategy: str = "broadcast",
+def hourly_top_pages(spark: SparkSession, inputs: str, output: str, strategy: str = "auto",
                      hour_in_line: bool = False) -> DataFrame:
     """Page-count files named ``pagecounts-YYYYMMDD-HH....`` (or, with
     ``hour_in_line``, lines that start with the hour) -> every most viewed page
@@ -131,9 +131,10 @@ def comment_split(spark: SparkSession, inputs: str, output: str) -> DataFrame:
 def relative_score(spark: SparkSession, inputs: str, output: str, strategy: str = "auto") -> DataFrame:
     """Each comment's score over its subreddit's mean (mean > 0), JSON arrays
     ``["author", score]`` sorted by the relative score, largest first."""
-    comments = read_json(spark, inputs, schemas.COMMENT).select("author", "subreddit", "score")
+    comments = read_json(spark, inputs, schemas.COMMENT).select("author", "subreddit", "score", "id")
     rel = joins.relative_to_group_mean(comments, "subreddit", "score", out="relative", strategy=strategy)
-    out = rel.select("author", "relative").orderBy(F.col("relative").desc(), "author")
+    # the id is unique: a run of equal scores of one author can be split over tasks
+    out = rel.orderBy(F.col("relative").desc(), "author", "id").select("author", "relative")
     write_lines(to_json_lines(out, as_array=True), output)
     return out
 
@@ -142,10 +143,8 @@ def relative_score(spark: SparkSession, inputs: str, output: str, strategy: str
 
 def weather_etl(spark: SparkSession, inputs: str, output: str, prefix: str = "CA") -> DataFrame:
     """Clean TMAX observations of stations with a name prefix, degrees, gzip JSON."""
-    obs = read_csv(spark, inputs, schemas.OBSERVATION)
-    out = obs.filter(
-        F.col("qflag").isNull() & F.col("station").startswith(prefix) & (F.col("observation") == "TMAX")
-    ).select("station", "date", (F.col("value") / 10).alias("tmax"))
+    maxima = readings(read_csv(spark, inputs, schemas.OBSERVATION), "TMAX", "tmax")
+    out = maxima.filter(F.col("station").startswith(prefix))
     write_json(out, output, compression="gzip")
     return out
 

@@ -15,7 +15,7 @@ from tessera.functions.text import base_name, hour_key_from_path, word_count_lin
 from tessera.operators import aggregate as agg
 from tessera.operators import graph, joins, keyed
 from tessera.operators.partition import spread_if_uneven
-from tessera.operators.weather import widest_range_per_date
+from tessera.operators.weather import readings, widest_range_per_date
 from tessera.plans import data
 from tessera.plans.inputs import INPUT_VERSION
 from tessera.session import committed, scratch_path
@@ -78,8 +78,8 @@ def hourly_top_one(spark, sf_dir):
     return agg.argmax_one(pc, "hour", "views", tie="title").orderBy("hour")
 
 
-def hourly_top_ties(spark, sf_dir, strategy: str = "broadcast"):
-    """Every most viewed page per hour (ties kept), maxima joined back after a size check."""
+def hourly_top_ties(spark, sf_dir, strategy: str = "auto"):
+    """Every most viewed page per hour (ties kept), maxima joined back."""
     pc = data.pagecounts(_t(spark, sf_dir, "events"))
     top = joins.join_back_to_max(pc, "hour", "views", strategy=strategy)
     return top.select("hour", "title", "views").orderBy("hour", "title")
@@ -132,11 +132,8 @@ def flagged_projection(spark, sf_dir):
 
 def weather_etl(spark, sf_dir, prefix: str = "U1"):
     """J9 on observation rows: clean TMAX readings of stations with a name prefix, in degrees."""
-    obs = data.weather_observations(_t(spark, sf_dir, "events"))
-    kept = obs.filter(
-        F.col("qflag").isNull() & F.col("station").startswith(prefix) & (F.col("observation") == "TMAX")
-    )
-    return kept.select("station", "date", (F.col("value") / 10).alias("tmax"))
+    maxima = readings(_observations(spark, sf_dir), "TMAX", "tmax")
+    return maxima.filter(F.col("station").startswith(prefix))
 
 
 # --- J7 / J8 relative score ----------------------------------------------------
@@ -165,7 +162,7 @@ def _observations(spark, sf_dir):
     return data.weather_observations(_t(spark, sf_dir, "events"))
 
 
-def daily_range_max(spark, sf_dir, strategy: str = "broadcast"):
+def daily_range_max(spark, sf_dir, strategy: str = "auto"):
     """Stations with the widest TMAX-TMIN range of each day (ties kept), 2-decimal text."""
     return widest_range_per_date(_observations(spark, sf_dir), strategy=strategy)
 
@@ -322,6 +319,15 @@ def upsert_orders(spark, sf_dir):
     return keyed.upsert_by_key(orders, _order_updates(orders), "o_orderkey")
 
 
+def upsert_versions(spark, sf_dir):
+    """SNK8 with versions out of order: every line item re-prices its order at version
+    ``l_linenumber``; stored orders are version 2, so later versions replace them and earlier ones don't."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.lit(2).alias("version"), F.col("o_totalprice").alias("price"))
+    lines = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").cast("int").alias("version"), F.col("l_extendedprice").alias("price"))
+    return keyed.upsert_by_key(orders, lines, "o_orderkey", seq="version")
+
+
 # --- AGG8 / AGG10 / J19 sums and line fits --------------------------------------------------
 
 def global_sums(spark, sf_dir):

@@ -8,3 +8,9 @@ def plan_text(df, mode: str = "formatted") -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode)
     return buf.getvalue()
+
+
+def executed_plan(df) -> str:
+    """The final adaptive plan: what ``explain`` prints after the query has run."""
+    df.collect()
+    return plan_text(df, "simple")

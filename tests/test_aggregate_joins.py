@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from plan_util import executed_plan
 from tessera.operators import aggregate as agg
 from tessera.operators import joins
 from tessera.streaming.regression import parse_points
@@ -41,12 +42,14 @@ def test_relative_score_strategies_agree_and_drop_nonpositive_groups(spark):
     assert outs[0] == outs[1] == outs[2] == [(1, 2.0 / 3.0), (2, 4.0 / 3.0)]
 
 
-def test_bounded_broadcast_falls_back_when_too_big(spark):
-    df = spark.range(100)
-    small, is_b = joins.bounded_broadcast(df, max_bytes=10**9)
-    assert is_b
-    big, is_b2 = joins.bounded_broadcast(df, max_bytes=10)
-    assert not is_b2 and big.count() == 100
+def test_sized_broadcast_goes_by_the_bytes_of_the_rows(spark):
+    df = spark.range(100).withColumn("v", F.repeat(F.lit("x"), 20_000))  # 2 MB in few rows, small once compressed
+    small, fits = joins.sized_broadcast(df.select("id"), max_bytes=10_000)
+    assert fits and small.count() == 100
+    large, fits = joins.sized_broadcast(df, max_bytes=1_000_000)
+    assert not fits and sorted(r.id for r in large.collect()) == list(range(100))
+    empty, fits = joins.sized_broadcast(df.filter("id < 0"), max_bytes=0)
+    assert fits and empty.count() == 0
 
 
 def test_with_previous_day_drops_gaps(spark):
@@ -90,40 +93,6 @@ def test_total_and_sums(spark):
     assert got == {"h": (2, 15), "g": (1, 1)}
 
 
-def test_bounded_broadcast_tiers(spark):
-    df = spark.range(50).withColumn("v", F.col("id") * 2)
-    local, ok = joins.bounded_broadcast(df, local_rows=100)
-    assert ok and local.count() == 50
-    staged, ok2 = joins.bounded_broadcast(df, local_rows=10)
-    assert ok2 and staged.count() == 50
-    big, ok3 = joins.bounded_broadcast(df, max_bytes=100, local_rows=10)
-    assert not ok3 and sorted(r.id for r in big.collect()) == list(range(50))
-
-
-def test_lookup_map_tiers(spark):
-    small = spark.createDataFrame([("a", 1.5), ("b", 2.5), (None, 9.0)], "k string, v double")
-    look = joins.lookup_map(small, "k", "v")
-    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
-    got = [r.m for r in df.select(look(F.col("k")).alias("m")).collect()]
-    assert got == [1.5, 2.5, None, None]
-    assert joins.lookup_map(spark.range(50).withColumn("v", F.col("id")), "id", "v", max_entries=10) is None
-    empty = joins.lookup_map(small.filter("false"), "k", "v")
-    assert df.select(empty(F.col("k")).alias("m")).first().m is None
-
-
-def test_lookup_map_typed_keys(spark):
-    import datetime as dt
-
-    longs = spark.createDataFrame([(1, 10), (2, 20)], "k long, v long")
-    look = joins.lookup_map(longs, "k", "v")
-    probe = spark.createDataFrame([(2,), (3,)], "k long")
-    assert [r.m for r in probe.select(look(F.col("k")).alias("m")).collect()] == [20, None]
-    dates = spark.createDataFrame([(dt.date(2020, 1, 2), 1.5)], "d date, v double")
-    look_d = joins.lookup_map(dates, "d", "v")
-    probe_d = spark.createDataFrame([(dt.date(2020, 1, 2),)], "d date")
-    assert probe_d.select(look_d(F.col("d")).alias("m")).first().m == 1.5
-
-
 def test_count_by(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, x long")
     assert {(r.k, r.n) for r in agg.count_by(df, "k").collect()} == {("a", 2), ("b", 1)}
@@ -140,15 +109,17 @@ def _jobs(sc, group, fn):
 
 
 @pytest.mark.parametrize("groups", [30, 720])
-def test_broadcast_variants_measure_their_side_once(spark, groups):
-    """Map tier (<= 64 keys) and local-relation tier (> 64): building the
-    broadcast plan runs the jobs of one bounded measurement, no more, and the
-    result equals the shuffle plan."""
+def test_only_the_explicit_broadcast_runs_a_job_while_building(spark, groups):
     df = spark.range(20_000).select((F.col("id") % groups).alias("k"), (F.col("id") % 7).alias("v"))
     sc = spark.sparkContext
-    _, one = _jobs(sc, f"m-{groups}", lambda: joins.measure(agg.group_max(df, "k", "v")))
     for i, build in enumerate((lambda s: joins.join_back_to_max(df, "k", "v", strategy=s),
                                lambda s: joins.relative_to_group_mean(df, "k", "v", strategy=s))):
-        fast, n = _jobs(sc, f"b-{groups}-{i}", lambda: build("broadcast"))
-        assert n == one
-        assert sorted(fast.collect()) == sorted(build("shuffle").collect())
+        lazy, none = _jobs(sc, f"a-{groups}-{i}", lambda: build("auto"))
+        fast, some = _jobs(sc, f"b-{groups}-{i}", lambda: build("broadcast"))
+        assert none == 0 and some > 0
+        assert sorted(fast.collect()) == sorted(lazy.collect()) == sorted(build("shuffle").collect())
+
+
+def test_join_back_to_max_of_an_aggregate_computes_it_once(spark):
+    df = spark.range(2_000).groupBy((F.col("id") % 20).alias("k"), (F.col("id") % 300).alias("t")).agg(F.count("*").alias("n"))
+    assert "ReusedExchange" in executed_plan(joins.join_back_to_max(df, "k", "n"))

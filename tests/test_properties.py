@@ -45,15 +45,11 @@ def test_join_back_to_max_keeps_all_ties(spark, rows):
 @given(base=st.dictionaries(st.integers(0, 20), st.integers(0, 99), max_size=15),
        updates=st.lists(st.tuples(st.integers(0, 25), st.integers(0, 99)), max_size=15))
 def test_upsert_matches_dict_update(spark, base, updates):
-    b = spark.createDataFrame(sorted(base.items()) or [(0, 0)], "k long, v long")
-    base = base or {0: 0}
-    u = spark.createDataFrame(updates or [], "k long, v long")
-    got = {r.k: r.v for r in keyed.upsert_by_key(b, u, "k").collect()}
+    b = spark.createDataFrame([(k, 0, v) for k, v in sorted(base.items())], "k long, seq long, v long")
+    u = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(updates, 1)][::-1], "k long, seq long, v long")
+    got = {r.k: r.v for r in keyed.upsert_by_key(b, u, "k", seq="seq").collect()}
     want = dict(base)
-    newest = {}
-    for k, v in updates:  # several updates of one key: the largest row wins (content order)
-        newest[k] = max(newest.get(k, v), v)
-    want.update(newest)
+    want.update(updates)  # in order: the last write of a key wins
     assert got == want
 
 

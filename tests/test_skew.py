@@ -64,12 +64,19 @@ def test_word_count_hot_word(spark):
 
 def test_upsert_with_hot_update_key(spark, skewed):
     data, _ = skewed
-    base = spark.createDataFrame([(k, 0.0) for k in ("hot", "a", "b")], "k string, v double")
-    updates = spark.createDataFrame([(k, v) for _, k, _, v in data if k in ("hot", "a")], "k string, v double")
-    out = {r.k: r.v for r in keyed.upsert_by_key(base, updates, "k").collect()}
-    assert out["b"] == 0.0
-    assert out["hot"] == max(v for _, k, _, v in data if k == "hot")
-    assert len(out) == 3
+    base = spark.createDataFrame([(k, -1, 0.0) for k in ("hot", "a", "b")], "k string, seq long, v double")
+    rows = [(k, i, v) for i, k, _, v in data if k in ("hot", "k1")]
+    updates = spark.createDataFrame(rows, "k string, seq long, v double")
+    out = {r.k: r.v for r in keyed.upsert_by_key(base, updates, "k", seq="seq").collect()}
+    last = {k: v for k, _, v in rows}
+    assert out == {"a": 0.0, "b": 0.0, **last}
+
+
+def test_upsert_without_seq_refuses_a_repeated_key(spark):
+    base = spark.createDataFrame([(1, 9)], "k long, v long")
+    updates = spark.createDataFrame([(1, 9), (1, 3)], "k long, v long")
+    with pytest.raises(Exception, match="repeated key"):
+        keyed.upsert_by_key(base, updates, "k").collect()
 
 
 def test_distinct_set_hot_key(spark, skewed):
