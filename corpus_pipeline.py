@@ -37,8 +37,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids."""
-    return bpe.encode(docs)
+    """The documents with their token ids; small tables, as earlier stages have filled the executors' heaps."""
+    return bpe.encode(docs, remember=50_000)
 
 
 STAGES = [

@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Pieces that a worker remembers, twice; states and token pairs are in proportion. About 360 MB a worker when full.
+REMEMBER = 500_000
 NEVER = float("inf")
 BYTE = [bytes([b]) for b in range(256)]
 NO_PIECE = (None, False)
@@ -269,15 +271,16 @@ class Codec:
 
     No pre-token of the byte-level pattern holds a space after a character that
     isn't white space, so a text may be cut before each such space and the
-    outputs of short pieces remembered, up to ``max_pieces`` twice.
+    outputs of short pieces remembered, up to ``remember`` twice; the
+    transducer's tables are bounded in proportion.
     ``spaces_cut=False`` is for patterns without that property.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 500_000, spaces_cut: bool = True):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = REMEMBER, spaces_cut: bool = True):
         self.find = regex.compile(pattern).findall
-        self.transducer = Transducer(ranks)
+        self.transducer = Transducer(ranks, max_states=remember * 4 // 5, max_pairs=remember * 4)
         self.decoder = Decoder(self.transducer.bytes_of)
-        self.pieces = Remembered(max_pieces)
+        self.pieces = Remembered(remember)
         self.spaces_cut = spaces_cut
         self.names = {rank: str(rank) for rank in ranks.values()}
 
@@ -350,7 +353,8 @@ _CODECS: dict[tuple, Codec] = {}
 
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None,
-           emit: Callable[[list[int], Codec], dict] = tokens, schema: T.StructType = TOKENS) -> DataFrame:
+           emit: Callable[[list[int], Codec], dict] = tokens, schema: T.StructType = TOKENS,
+           remember: int = REMEMBER) -> DataFrame:
     """``docs`` with the columns that ``emit`` makes of each row's token ids.
 
     ``path`` names a rank file and ``pattern`` the pre-token pattern; without
@@ -359,7 +363,8 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
     ``n_tokens`` and ``token_ids``; a column of ``docs`` with such a name is
     replaced. The driver reads the rank file and broadcasts it (under 1 MB for
     50k tokens), so executors need no copy. The plan is one narrow pass:
-    no shuffle, and a worker holds one Arrow batch and bounded tables.
+    no shuffle, and a worker holds one Arrow batch and tables bounded by
+    ``remember``, which changes memory and time, never the output.
 
     Null and empty texts have no tokens. Other columns, repeated rows and null
     ids pass unchanged; an empty table gives an empty table.
@@ -373,9 +378,12 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _CODECS.get((path, pattern))
-        if codec is None:
-            codec = _CODECS[path, pattern] = Codec(vocabulary.value, pattern)
+        key = path, pattern, remember
+        if key not in _CODECS:
+            _CODECS.clear()  # one codec a worker
+            pa.default_memory_pool().release_unused()  # what the worker's earlier tasks left
+            _CODECS[key] = Codec(vocabulary.value, pattern, remember)
+        codec = _CODECS[key]
         for batch in batches:
             for start in range(0, batch.num_rows, 512):  # the ids of 512 documents at a time
                 part = batch.slice(start, 512)

@@ -36,7 +36,7 @@ def test_bpe_equals_tiktoken_and_round_trips(codec, reference_encoding):
 
 
 def test_bpe_small_state_table_gives_the_same(reference_encoding, codec):
-    small = bpe.Codec(codec.transducer.ranks, public_tokenizers.PATTERN, max_pieces=3)
+    small = bpe.Codec(codec.transducer.ranks, public_tokenizers.PATTERN, remember=3)
     small.transducer.max_states = 7
     for text in texts(60, seed=2):
         assert small.encode(text) == reference_encoding.encode_ordinary(text)
