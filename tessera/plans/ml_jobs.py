@@ -115,7 +115,7 @@ def colour_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "space string, accuracy double")
 
 
-def colour_grid(spark: SparkSession, sf_dir: str, resolution: int = 64) -> DataFrame:
+def colour_grid(spark: SparkSession, sf_dir: str, resolution: int = 256) -> DataFrame:
     """ML11: predicted word over a LAB slice at luminance 70, by the RGB model
     trained on the same training split as :func:`colour_model`."""
     colours = _colour_data(spark, sf_dir)
