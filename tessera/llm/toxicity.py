@@ -190,12 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
                 rows[1 if toxic else 0] += 1
                 (with_ if toxic else without).update({f for w in word_counts(value.as_py()) for f in features_of(w)})
-        names = ["", *sorted(with_)]  # a feature that no toxic row of this task has is told only if another task's has
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([rows[1], *[with_[n] for n in names[1:]]], pa.int64()),
-                                          pa.array([rows[0], *[without[n] for n in names[1:]]], pa.int64())], names=["feature", "t", "c"])
-        rest = [n for n in without if n not in with_ and without[n] > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(rest, pa.string()), pa.array([0] * len(rest), pa.int64()),
-                                          pa.array([without[n] for n in rest], pa.int64())], names=["feature", "t", "c"])
+        names = sorted(with_.keys() | without.keys())  # all of them: a rare one of this task may be common in the others
+        yield pa.RecordBatch.from_arrays([pa.array(["", *names], pa.string()), pa.array([rows[1], *[with_[n] for n in names]], pa.int64()),
+                                          pa.array([rows[0], *[without[n] for n in names]], pa.int64())], names=["feature", "t", "c"])
 
     counted = own.mapInArrow(count, "feature string, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     counted = checkpointed(counted.filter((F.col("feature") == "") | (F.col("t") >= 3)))

@@ -176,6 +176,14 @@ def test_toxicity_held_out(spark):
     assert not any(r.toxic for r in toxicity.score(odd_documents(spark), nothing).collect())
 
 
+def test_toxicity_counts_whole_at_any_number_of_tasks(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one, many = (toxicity.train(docs.repartition(n, "doc_id"), labels) for n in (1, 97))
+    assert one.features and one.features == many.features
+    assert np.array_equal(one.weights, many.weights) and np.array_equal(one.thresholds, many.thresholds)
+
+
 def test_secrets_by_ownership(spark):
     key = "x9Kq2LmZ7pRt4VbN8sWd1"
     rows = [(1, f"own {key}", "a", "en"), (2, f"own {key}", "a", "fr"), (3, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "a", "en"), (4, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "b", "en"),
