@@ -2,10 +2,11 @@
 
 Each text is scanned once for the fixed (base) kinds and for ``key`` candidates:
 long random-looking strings that no base span touches. Every found value is
-hashed; the corpus counts the distinct repositories and owners of each hash.
-A value that several owners hold is a widely copied example; one that a single
-owner holds looks live. ``key`` candidates become spans only if they look
-live; base spans always stay. Values themselves never leave the scanning task.
+hashed; the corpus counts the distinct owners, repositories and documents of
+each hash. A value that many of the corpus's owners or repositories hold, or
+very many documents, is a widely copied example; any other looks live. ``key``
+candidates become spans only if they look live; base spans always stay. Values
+themselves never leave the scanning task.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # whole runs, so the same as runs of
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("passw", "secret", "token", "api")
 KEY = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Documents that make a value a copied example, however few owners they have.
+MANY_COPIES = 100
 
 
 def entropy(value: str) -> float:
@@ -84,7 +87,7 @@ def scan(docs: DataFrame, text: str, id_col: str, owner: Column, repository: Col
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per value hash of ``found`` (hash, owner, repository): distinct owners and repositories, and copies.
+    """Per value hash of ``found`` (hash, owner, repository; once a document): distinct owners and repositories, and copies.
 
     Counted in two steps, each with partial sums in the tasks, so a value that
     a third of all rows hold is one row per task and owner.
@@ -94,6 +97,22 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repositories").alias("repositories"), F.sum("copies").alias("copies"))
 
 
+def widely_copied(rows: DataFrame, max_owners: int, many_copies: int) -> Column:
+    """Of a row of ``ownership``: whether it is held by many of the owners or repositories of ``rows``, or in many copies.
+
+    Many is the square root of how many there are: it grows with the corpus,
+    so a stray copy of a live key doesn't reach it. ``max_owners`` and fewer
+    owners or repositories are never many.
+    """
+    by_owner = rows.select("owner", "repository").distinct().groupBy("owner").agg(F.count(F.lit(1)).alias("repositories"))
+    whole = by_owner.agg(F.count(F.lit(1)).alias("owners"), F.coalesce(F.sum("repositories"), F.lit(0)).alias("repositories")).first()
+
+    def many(name: str) -> Column:
+        return (F.col(name) > max_owners) & (F.col(name) * F.col(name) >= whole[name])
+
+    return many("owners") | many("repositories") | (F.col("copies") >= many_copies)
+
+
 def as_text(spans: Column) -> Column:
     """``kind:start:end`` by start, then kind, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
@@ -101,14 +120,15 @@ def as_text(spans: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id", owner: Column | None = None,
-                 repository: Column | None = None, max_owners: int = 1, min_entropy: float = 3.5) -> DataFrame:
+                 repository: Column | None = None, max_owners: int = 1, min_entropy: float = 3.5, many_copies: int = MANY_COPIES) -> DataFrame:
     """One row per row of ``docs``: its spans, and how many of its values look live or copied.
 
     ``owner`` is ``source`` by default and ``repository`` the source and
     language. Columns: the id, ``base`` and ``spans`` (arrays of start, kind,
-    end), ``n_live`` (spans whose value at most ``max_owners`` owners hold) and
-    ``n_copied``. Null and empty texts have no spans. A null owner counts as
-    one owner. Repeated rows each get a row and count as copies of one owner.
+    end), ``n_live`` (spans whose value isn't ``widely_copied``) and ``n_copied``.
+    Null and empty texts have no spans. A null owner counts as one owner.
+    Repeated rows each get a row and count as copies of one owner; a value
+    repeated within a row is one copy.
     The scan is checkpointed, so row numbers stay as they are when an executor
     is lost; texts are read once and never shuffled.
     """
@@ -116,9 +136,10 @@ def find_secrets(docs: DataFrame, text: str = "text", id_col: str = "doc_id", ow
     repository = F.concat_ws("/", "source", "lang") if repository is None else repository
     rows = checkpointed(scan(docs, text, id_col, owner, repository, min_entropy).withColumn("row", F.monotonically_increasing_id()))
     found = rows.select("row", "owner", "repository", F.explode("spans").alias("span"))
-    held = ownership(found.select("span.hash", "owner", "repository"))
+    held = ownership(rows.select("owner", "repository", F.explode(F.array_distinct("spans.hash")).alias("hash")))
     place = F.struct("span.start", "span.kind", "span.end")
-    live = F.col("owners") <= max_owners
+    live = ~F.col("copied")
+    held = held.select("hash", widely_copied(rows, max_owners, many_copies).alias("copied"))
     known = found.select("row", "span", F.col("span.hash").alias("hash")).join(held, "hash").groupBy("row").agg(
         F.collect_list(F.when(live & (F.col("span.kind") == 3), place)).alias("added"),
         F.count_if(live).alias("n_live"), F.count_if(~live).alias("n_copied"),

@@ -196,6 +196,22 @@ def test_secrets_by_ownership(spark):
     assert catalog.QUERIES["op8_secret_ownership"](spark, SF).count() == len(documents(spark))
 
 
+def test_secrets_by_share_of_the_corpus(spark):
+    stray, wide, pasted, twice, mirrored = (f"x9Kq2LmZ7pRt4VbN8sWd{i}" for i in range(5))
+    rows = [(f"s{i}", "en", "none") for i in range(20)] + [("s0", "en", stray), ("s1", "en", f"near {stray}")]
+    rows += [(f"s{i}", "fr", wide) for i in range(5)] + [("s0", "en", f"{i} {pasted}") for i in range(100)]
+    rows += [("s2", "en", f"{twice} " * 150), ("s2", "fr", twice)] + [("s3", f"l{i}", mirrored) for i in range(8)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, lang string, text string")
+    got = secret_scan.find_secrets(docs).join(docs, "doc_id").collect()
+
+    def said(value):
+        return {(len(r.spans) > 0, r.n_live > 0, r.n_copied > 0) for r in got if value in r.text}
+
+    live, copied = {(True, True, False)}, {(False, False, True)}
+    assert said(stray) == live and said(twice) == live  # 2 of 20 owners; one document that repeats it
+    assert said(wide) == copied and said(pasted) == copied and said(mirrored) == copied  # owners, copies, repositories
+
+
 def test_urls(spark):
     rows = [(1, "http://Sub.Example.NET/en/1"), (2, "http://a.net/x"), (3, "https://x.org/fr/2?a#b"), (4, "http://bad.com/9"), (5, None), (6, "no scheme"),
             (7, "http://example.com/de/1"), (8, "http://good.com#x://y"), (9, "http://a.net")]
