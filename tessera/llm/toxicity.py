@@ -172,8 +172,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
 
     Without a ``grade`` column, grade 0 is a row that isn't toxic, and toxic
     rows get 1 to 3 by thirds of how much of the chosen features they hold. The sample is drawn by a hash of the id; its ids (at most
-    ``max_rows``) are broadcast, so texts aren't shuffled. Null labels and ids
-    are left out. Without both classes the model says 0 for all.
+    ``max_rows``) are broadcast, so only the sample's texts are shuffled. Of an
+    id's repeated rows the text with the least hash is taken. Null labels and
+    ids are left out. Without both classes the model says 0 for all.
     """
     spark = docs.sparkSession
     graded = "grade" in labels.columns
@@ -181,8 +182,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("_toxic"), *([F.max("grade").alias("_grade")] if graded else []))
     known = checkpointed(known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
     sampled = docs.select(id_col, F.col(text).alias("_text")).join(F.broadcast(known), F.col(id_col) == F.col("_id"))
-    own = sampled.select("_text", F.col("_toxic").cast("int").alias("_toxic"), (F.col("_grade") if graded else F.lit(-1)).cast("int").alias("_grade"))
-    own = checkpointed(own)
+    own = sampled.select("_id", "_text", F.col("_toxic").cast("int").alias("_toxic"), (F.col("_grade") if graded else F.lit(-1)).cast("int").alias("_grade"))
+    # an id that repeats over many rows is one row a task, then one in all: the bound holds for rows too
+    own = own.groupBy("_id").agg(F.min(F.struct(F.xxhash64("_text"), "_text")).getField("_text").alias("_text"), F.first("_toxic").alias("_toxic"), F.first("_grade").alias("_grade"))
+    own = checkpointed(own.drop("_id"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with_, without, rows = Counter(), Counter(), [0, 0]

@@ -184,6 +184,16 @@ def test_toxicity_counts_whole_at_any_number_of_tasks(spark):
     assert np.array_equal(one.weights, many.weights) and np.array_equal(one.thresholds, many.thresholds)
 
 
+def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
+    rows = [(i, f"{'vile' if i % 2 else 'fine'} words {i}") for i in range(60)] + [(7, f"vile again {n}") for n in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    seen, select = [], toxicity.select
+    monkeypatch.setattr(toxicity, "select", lambda rows, *how: seen.append(len(rows)) or select(rows, *how))
+    model = toxicity.train(docs, labels)
+    assert seen == [60] and "vile" in model.features
+
+
 def test_secrets_by_ownership(spark):
     key = "x9Kq2LmZ7pRt4VbN8sWd1"
     rows = [(1, f"own {key}", "a", "en"), (2, f"own {key}", "a", "fr"), (3, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "a", "en"), (4, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "b", "en"),
