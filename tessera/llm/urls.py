@@ -23,6 +23,13 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 
+#: Suffixes of several labels under which names are registered: the common ones, not the whole public list.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz", "co.jp", "or.jp", "ne.jp", "ac.jp", "co.kr",
+    "co.in", "org.in", "com.br", "org.br", "com.cn", "net.cn", "org.cn", "com.hk", "com.tw", "com.sg", "com.my", "co.id", "co.th", "com.tr", "com.mx",
+    "com.ar", "com.co", "co.za", "co.il",
+)
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
@@ -45,6 +52,16 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+def registered(host: Column, suffixes=SUFFIXES) -> tuple[Column, Column]:
+    """The registered domain and its suffix: the longest of ``suffixes`` that the host ends with, else its last label, and the label before it."""
+    domain, suffix = F.substring_index(host, ".", -2), F.regexp_extract(host, r"([^.]+)$", 1)
+    for n in sorted({s.count(".") + 1 for s in suffixes}):
+        last = F.substring_index(host, ".", -n)
+        listed = last.isin([s for s in suffixes if s.count(".") + 1 == n])
+        domain, suffix = F.when(listed, F.substring_index(host, ".", -n - 1)).otherwise(domain), F.when(listed, last).otherwise(suffix)
+    return domain, suffix
+
+
 def _strength(counts: DataFrame, least: float, most: float) -> DataFrame:
     """One row: the prior's strength from groups of (bad, n), between ``least`` and ``most``."""
     sums = counts.filter("n > 0").agg(
@@ -58,18 +75,20 @@ def _strength(counts: DataFrame, least: float, most: float) -> DataFrame:
     return sums.select(F.when(alike > 0, F.greatest(F.lit(least), F.least(F.lit(most), 1 / alike - 1))).otherwise(F.lit(most)).alias("strength"))
 
 
-def reputation(outcomes: DataFrame, least: float = 2.0, most: float = 200.0, z: float = 1.645) -> DataFrame:
+def reputation(outcomes: DataFrame, least: float = 2.0, most: float = 200.0, z: float = 1.645, suffixes=SUFFIXES) -> DataFrame:
     """Per host of ``outcomes`` (host, bad 0/1/null): ``mean`` and ``bound`` of its posterior bad rate.
 
     Unlabelled hosts get the domain's rate with the prior's width. The
-    registered domain is the last two labels of the name and the suffix its
-    last one; a name of one label is its own domain and suffix. Hosts are
+    registered domain is the suffix and the label before it, the suffix one of
+    ``suffixes`` or the last label; a name that is a suffix is its own domain.
+    The bound is ``z`` standard deviations of the beta posterior below its
+    mean, a normal approximation of the quantile. Hosts are
     pre-aggregated, so a hot host is one row from each task; hosts, domains
     and suffixes are joined as tables and nothing is collected.
     """
-    label = r"([^.]+)$"
+    domain, suffix = registered(F.col("host"), suffixes)
     hosts = outcomes.groupBy("host").agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.count("bad").alias("n"))
-    hosts = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.regexp_extract("host", label, 1))
+    hosts = hosts.withColumn("domain", domain).withColumn("suffix", suffix)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     overall = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.0)).alias("mean"))

@@ -234,6 +234,19 @@ def test_urls(spark):
     assert urls.judge(pages, outcomes.limit(0)).filter("verdict is null").count() == 0
 
 
+def test_registered_domains_under_suffixes_of_two_labels(spark):
+    names = {"www.a.co.uk": ("a.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.y.uk": ("y.uk", "uk"),
+             "w.xco.uk": ("xco.uk", "uk"), "m.example.com": ("example.com", "com"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    hosts = spark.createDataFrame([(n,) for n in names], "host string")
+    assert {r[0]: (r[1], r[2]) for r in hosts.select("host", *urls.registered(F.col("host"))).collect()} == names
+    outcomes = spark.createDataFrame([(f"w{i}.bad.co.uk", 1) for i in range(60)] + [(f"w{i}.good.co.uk", 0) for i in range(60)]
+                                     + [("new.bad.co.uk", None), ("new.good.co.uk", None)], "host string, bad int")
+    got = {r.host: r.mean for r in urls.reputation(outcomes).collect()}
+    assert got["new.bad.co.uk"] > 0.6 and got["new.good.co.uk"] < 0.4
+    cut = {r.host: r.mean for r in urls.reputation(outcomes, suffixes=()).collect()}
+    assert cut["new.bad.co.uk"] == pytest.approx(cut["new.good.co.uk"])
+
+
 def test_top_k_edges(spark):
     rows = [(0, [0.5, 0.25]), (1, [0.5, 0.25]), (2, [0.5, 0.25]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]), (100, [-0.5, 0.1]), (1, [0.5, 0.25]), (7, [1.0])]
     vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
