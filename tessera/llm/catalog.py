@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tessera.llm import bpe, linededup, mixing, rules, secret_scan, simhash, topk, toxicity, urls, warc
+from tessera.llm import bpe, linededup, mixing, pii, rules, runs, secret_scan, simhash, topk, toxicity, urls, warc
 
 QUERIES = {
     "op1_bpe_codec": bpe.op1_bpe_codec,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_secret_ownership": secret_scan.op8_secret_ownership,
     "op9_url_reputation": urls.op9_url_reputation,
     "op10_ball_tree_top_k": topk.op10_ball_tree_top_k,
+    "op11_contextual_pii": pii.op11_contextual_pii,
+    "op13_periodic_runs": runs.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
