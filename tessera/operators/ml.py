@@ -12,15 +12,15 @@ from collections.abc import Sequence
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.colour import COLOUR_RGB, lab_grid, rgb_to_lab_columns
+from tessera.functions.colour import lab_grid, representative_rgb, rgb_to_lab_columns
 from tessera.operators.joins import with_previous_day
 
 DAYOFYEAR_SQL = "SELECT *, dayofyear(date) AS dayofyear FROM __THIS__"
@@ -121,10 +121,20 @@ def colour_pipeline(space: str = "rgb", n_labels: int = 11, hidden: int = 30, se
     return Pipeline(stages=stages)
 
 
+def fit_quality(label: str = "tmax", prediction: str = "prediction") -> list[Column]:
+    """``n``, ``r2`` and ``rmse`` as aggregates: one pass, with central moments, over rows where both values are known.
+
+    r2 is null where the labels don't vary, and all but ``n`` where there is no row.
+    """
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    both = y.isNotNull() & p.isNotNull()
+    error = F.avg(F.when(both, (y - p) * (y - p)))
+    return [F.count_if(both).alias("n"), (1 - F.try_divide(error, F.var_pop(F.when(both, y)))).alias("r2"), F.sqrt(error).alias("rmse")]
+
+
 def regression_metrics(predictions: DataFrame, label: str = "tmax", prediction: str = "prediction") -> dict:
-    """r² and RMSE of a scored frame (one aggregate pass each)."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol=prediction)
-    return {"r2": ev.setMetricName("r2").evaluate(predictions), "rmse": ev.setMetricName("rmse").evaluate(predictions)}
+    """r² and RMSE of a scored frame, from one aggregate."""
+    return predictions.agg(*fit_quality(label, prediction)).first().asDict()
 
 
 def accuracy(predictions: DataFrame, label: str = "label_index", prediction: str = "prediction") -> float:
@@ -139,36 +149,34 @@ def feature_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(list(zip(assembler.getInputCols(), map(float, imp))), "feature string, importance double")
 
 
-def label_indexer(model: PipelineModel) -> StringIndexerModel:
-    found = [s for s in model.stages if isinstance(s, StringIndexerModel)]
-    if not found:
-        raise TypeError("pipeline has no StringIndexerModel")
-    return found[0]
+def label_indexer(model: PipelineModel, output: str = "label_index") -> StringIndexerModel:
+    """The stage of ``model`` that writes the label's index to ``output``."""
+    for stage in model.stages:
+        if stage.hasParam("outputCol") and stage.getOrDefault("outputCol") == output:
+            return stage
+    raise ValueError(f"no stage of the pipeline writes {output}")
 
 
-def predict_labels(model: PipelineModel, rows: DataFrame, out: str = "predicted_word") -> DataFrame:
-    """Score rows and turn the predicted index back into the label text."""
-    scored = model.transform(rows)
-    to_text = IndexToString(inputCol="prediction", outputCol=out, labels=label_indexer(model).labels)
-    return to_text.transform(scored)
+def label_index(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """``label_index, label`` of a fitted classifier."""
+    return spark.createDataFrame(list(enumerate(label_indexer(model).labels)), "label_index int, label string")
 
 
-def prediction_grid(spark: SparkSession, model: PipelineModel, lum: float = 70.0, resolution: int = 256) -> DataFrame:
-    """Predicted word over a slice of LAB space with the word's representative colour.
+def predict_labels(model: PipelineModel, rows: DataFrame, out: str = "predicted_word") -> DataFrame:
+    """Score rows, which need no label, and turn the predicted index back into the label's text.
 
-    The 11-row colour table is a fixed-size map, applied with ``create_map``
-    (no join at all).
+    The indexer only reads labels to train on, so the rows pass the other stages.
     """
-    grid = lab_grid(spark, lum=lum, resolution=resolution)
-    scored = predict_labels(model, grid)
-    pairs = []
-    for word, rgb in COLOUR_RGB.items():
-        pairs += [F.lit(word), F.array(*[F.lit(v) for v in rgb])]
-    paint = F.create_map(*pairs)
-    return scored.select(
-        "row_index", "col_index", "labA", "labB", "R", "G", "B", "predicted_word",
-        F.try_element_at(paint, F.col("predicted_word")).alias("predicted_rgb"),
-    )
+    indexer = label_indexer(model)
+    scored = PipelineModel([s for s in model.stages if s is not indexer]).transform(rows)
+    return IndexToString(inputCol="prediction", outputCol=out, labels=indexer.labels).transform(scored)
+
+
+def prediction_grid(spark: SparkSession, model: PipelineModel, lum: float = 70.0, resolution: int = 256) -> DataFrame:
+    """Predicted word over a slice of LAB space with the word's representative colour."""
+    scored = predict_labels(model, lab_grid(spark, lum=lum, resolution=resolution))
+    return scored.select("row_index", "col_index", "labA", "labB", "R", "G", "B", "predicted_word",
+                         representative_rgb(F.col("predicted_word")).alias("predicted_rgb"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

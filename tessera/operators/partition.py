@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,28 @@ def cached(df: DataFrame):
         kept.unpersist()
 
 
+def split_mark(keys: str | Sequence[str], seed: int = 0) -> Column:
+    """Eight hex digits drawn from ``keys``: the head of an MD5, so other engines draw the same."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), 1, 8)
+
+
+def digest_split(df: DataFrame, keys: str | Sequence[str], weights: Sequence[float] = (0.75, 0.25), seed: int = 0) -> list[DataFrame]:
+    """Split rows by :func:`split_mark` of ``keys`` into parts of roughly ``weights``.
+
+    Like :func:`hash_split`, and reproducible outside Spark: a part is a range
+    of hex digits (``< 'c0000000'`` is the first three quarters).
+    """
+    mark, total = split_mark(keys, seed), float(sum(weights))
+    bounds = [int(sum(weights[:i]) / total * 2**32) for i in range(1, len(weights))]
+    edges = [None, *(f"{b:08x}" for b in bounds), None]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        inside = F.lit(True) if low is None else mark >= low
+        parts.append(df.filter(inside if high is None else inside & (mark < high)))
+    return parts
+
+
 def hash_split(df: DataFrame, keys: str | Sequence[str], weights: Sequence[float] = (0.75, 0.25),
                seed: int = 0) -> list[DataFrame]:
     """Split rows by a hash of ``keys`` into parts of roughly ``weights``.

@@ -8,13 +8,12 @@ them. Every builder is a plain DataFrame transformation (no driver data).
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.colour import nearest_word
 from tessera.functions.text import day_key, format_log_time, hour_key
+from tessera.session import file_key
 from tessera.sources.files import read_testdata
 
 
@@ -22,18 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_testdata(spark, sf_dir, name)
 
 
-def input_tag(sf_dir: str) -> str:
+def input_tag(spark: SparkSession, sf_dir: str) -> str:
     """Short tag of an input folder for naming derived tables in the scratch folder.
 
-    For a local folder the tables' sizes and modification times are part of
-    the tag, so derived tables are rebuilt when the inputs change.
+    Made of the files' paths, lengths and times on any store, so derived
+    tables are rebuilt when the inputs change.
     """
-    parts = [sf_dir.rstrip("/")]
-    if os.path.isdir(sf_dir):
-        for name in sorted(os.listdir(sf_dir)):
-            st = os.stat(os.path.join(sf_dir, name))
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    return hashlib.sha1("|".join(parts).encode()).hexdigest()[:12]
+    return file_key(spark, sf_dir)[:12]
 
 
 def pagecounts(events: DataFrame) -> DataFrame:
@@ -143,3 +137,9 @@ def colours(lineitem: DataFrame) -> DataFrame:
         F.pmod(F.col("l_orderkey"), F.lit(256)).cast("int").alias("B"),
         F.col("l_returnflag").alias("word"),
     )
+
+
+def colour_words(lineitem: DataFrame) -> DataFrame:
+    """Colour rows R, G, B with the nearest of the eleven colour words."""
+    rgb = colours(lineitem).select("R", "G", "B")
+    return rgb.withColumn("word", nearest_word(F.col("R"), F.col("G"), F.col("B")))

@@ -20,7 +20,7 @@ INPUT_VERSION = "3"
 
 
 def _stored(spark: SparkSession, sf_dir: str, name: str, build, fmt: str) -> str:
-    path = scratch_path(spark, "inputs", data.input_tag(sf_dir), f"{name}-v{INPUT_VERSION}")
+    path = scratch_path(spark, "inputs", data.input_tag(spark, sf_dir), f"{name}-v{INPUT_VERSION}")
     if committed(spark, path):
         return path
     df = build()

@@ -218,7 +218,7 @@ def log_correlation(spark, sf_dir):
 
 def load_logs(spark, sf_dir, path: str | None = None, partitions: int | None = None) -> str:
     """Parse, key with a fresh UUID per row, spread evenly, replace the table."""
-    path = path or scratch_path(spark, "tables", _tag(sf_dir), "access_logs", unique=True)
+    path = path or scratch_path(spark, "tables", _tag(spark, sf_dir), "access_logs", unique=True)
     logs = parse_access_log(_log_lines(spark, sf_dir), id_mode="random")
     logs = logs.repartition(partitions) if partitions else logs.hint("rebalance")
     replace_table(logs, path)
@@ -285,13 +285,13 @@ def orders_denormalized(spark, sf_dir):
     return d.select(*[c for c in d.columns if c != "part_names"], F.array_join("part_names", ", ").alias("part_names"))
 
 
-def _tag(sf_dir: str) -> str:
-    return data.input_tag(sf_dir)
+def _tag(spark: SparkSession, sf_dir: str) -> str:
+    return data.input_tag(spark, sf_dir)
 
 
 def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
     """J17 output as a Parquet table in the shared scratch folder; built once per input."""
-    path = scratch_path(spark, "tables", _tag(sf_dir), f"orders_parts-v{INPUT_VERSION}")
+    path = scratch_path(spark, "tables", _tag(spark, sf_dir), f"orders_parts-v{INPUT_VERSION}")
     if not rebuild and committed(spark, path):
         return path
     keyed.write_keyed_table(_denormalized(spark, sf_dir), path, "o_orderkey")

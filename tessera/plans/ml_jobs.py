@@ -1,129 +1,184 @@
-"""Model jobs J20-J23 on the driver's tables (rows-only checks: results depend on the learner).
+"""Model jobs J20-J23 on the driver's tables.
 
-Splits are by a hash of the key (reproducible for any partitioning) and are
-taken so that day pairs stay together: a station is wholly in training or
-wholly in validation.
+Splits are by digests of the key, drawn alike by other engines, and keep day
+pairs together: a station is wholly in training or wholly in validation. Each
+model is trained once per input and kept in the model store; the jobs load it.
+
+What doesn't depend on a random learner has an oracle: the splits, label
+indexes, day pairs, class centroids and their predictions, and the metrics of
+"tomorrow is as today". The forests' and perceptrons' own scores have none.
 """
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.colour import lab_grid, representative_rgb
 from tessera.operators import ml
 from tessera.operators.aggregate import argmax_one
-from tessera.operators.partition import hash_split
+from tessera.operators.centroid import fit_centroids, nearest_centroid
+from tessera.operators.joins import with_previous_day
+from tessera.operators.model_store import fitted, model_key
+from tessera.operators.partition import digest_split
 from tessera.plans import data
-from tessera.session import scratch_path
 
 SEED = 123
+WEIGHTS = (0.75, 0.25)
+CHANNELS = ("R", "G", "B")
+#: Part of the models' keys: to be raised when the derived training data or the pipelines change.
+VERSION = 1
 
 
 def _daily(spark, sf_dir) -> DataFrame:
     return data.daily_tmax(data.table(spark, sf_dir, "events"))
 
 
-def _fit_tmax(spark, sf_dir, with_yesterday: bool = True):
-    daily = _daily(spark, sf_dir)
-    train, validation = hash_split(daily, "station", (0.75, 0.25), seed=SEED)
-    train = ml.training_set(train)
-    model = ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
-    return model, train, validation
+def _stations(daily: DataFrame) -> list[DataFrame]:
+    return digest_split(daily, "station", WEIGHTS, SEED)
+
+
+def _tmax_model(spark, sf_dir, with_yesterday: bool = True) -> PipelineModel:
+    def fit() -> PipelineModel:
+        train = ml.training_set(_stations(_daily(spark, sf_dir))[0])
+        try:
+            return ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
+        finally:
+            train.unpersist()
+
+    settings = {"model": "tmax", "with_yesterday": with_yesterday, "seed": SEED, "weights": WEIGHTS, "version": VERSION}
+    return fitted(spark, "tmax", model_key(spark, [f"{sf_dir}/events.parquet"], settings), fit)
+
+
+def _labelled(parts, names=("train", "validation")) -> DataFrame:
+    first, second = (part.withColumn("split", F.lit(name)) for part, name in zip(parts, names))
+    return first.unionByName(second)
 
 
 def tmax_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J21 + J22: train, save, load back, and report r² / RMSE on both splits."""
-    model, train, validation = _fit_tmax(spark, sf_dir)
-    path = scratch_path(spark, "models", "tmax", unique=True)
-    ml.save_model(model, path)
-    loaded = ml.load_model(path)
-    rows = []
-    for name, part in (("train", train), ("validation", validation)):
-        m = ml.regression_metrics(loaded.transform(part))
-        rows.append((name, float(m["r2"]), float(m["rmse"])))
-    train.unpersist()
-    return spark.createDataFrame(rows, "split string, r2 double, rmse double")
+    """J21 + J22: the stored forest's r² / RMSE on both splits, from one scoring pass."""
+    model = _tmax_model(spark, sf_dir)
+    scored = _labelled([model.transform(part).select("tmax", "prediction") for part in _stations(_daily(spark, sf_dir))])
+    return scored.groupBy("split").agg(*ml.fit_quality()).select("split", "r2", "rmse")
 
 
 def tmax_yesterday_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J22 comparison: validation r² / RMSE with and without yesterday's maximum as a feature."""
-    daily = _daily(spark, sf_dir)
-    train, validation = hash_split(daily, "station", (0.75, 0.25), seed=SEED)
-    train = ml.training_set(train)
+    """J22 comparison: validation r² / RMSE with and without yesterday's maximum as a feature, on the same day pairs."""
+    validation = _stations(_daily(spark, sf_dir))[1]
+    models = ml.fit_concurrently(lambda yes: _tmax_model(spark, sf_dir, yes), (True, False))
+    scored = _labelled([model.transform(part).select("tmax", "prediction")
+                        for model, part in zip(models, (validation, ml.pair_days(validation)))], ("with_yesterday", "without_yesterday"))
+    return scored.groupBy(F.col("split").alias("features")).agg(*ml.fit_quality()).select("features", "r2", "rmse")
 
-    def fit(with_yesterday: bool):
-        model = ml.tmax_pipeline(with_yesterday=with_yesterday, seed=SEED).fit(train)
-        # score both models on the same day pairs, so the rows compare like with like
-        scored = model.transform(validation if with_yesterday else ml.pair_days(validation))
-        m = ml.regression_metrics(scored)
-        return ("with_yesterday" if with_yesterday else "without_yesterday", float(m["r2"]), float(m["rmse"]))
 
-    rows = ml.fit_concurrently(fit, (True, False))
-    train.unpersist()
-    return spark.createDataFrame(rows, "features string, r2 double, rmse double")
+def tmax_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRT4: which part each station-day is in."""
+    return _labelled(_stations(_daily(spark, sf_dir))).select("station", "date", "split")
+
+
+def tmax_persistence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML8: what "tomorrow is as today" scores on each part, the bound that a model has to beat."""
+    pairs = _labelled([with_previous_day(part, "station", "date", "tmax") for part in _stations(_daily(spark, sf_dir))])
+    quality = pairs.groupBy("split").agg(*ml.fit_quality("tmax", "yesterday_tmax"))
+    return quality.select("split", "n", F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"))
 
 
 def tmax_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML10: feature importances of the trained forest."""
-    model, train, _ = _fit_tmax(spark, sf_dir)
-    out = ml.feature_importances(spark, model)
-    train.unpersist()
-    return out
+    """ML10: feature importances of the stored forest."""
+    return ml.feature_importances(spark, _tmax_model(spark, sf_dir))
 
 
 def tmax_tomorrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predicted maximum for the day after each station's last day.
+    """Predicted maximum for the day after each station's last day, by the stored forest.
 
     The last day per station is a partial ``max(struct)`` aggregate; the day
     after is appended with an unknown tmax, and the pipeline's self-join
     pairs it with the last day.
     """
-    model, train, _ = _fit_tmax(spark, sf_dir)
-    daily = _daily(spark, sf_dir)
-    last = argmax_one(daily, "station", "date", tie=["latitude", "longitude", "elevation", "tmax"])
+    last = argmax_one(_daily(spark, sf_dir), "station", "date", tie=["latitude", "longitude", "elevation", "tmax"])
     last = last.select("station", "date", "latitude", "longitude", "elevation", "tmax")
     nxt = last.select(
         "station", F.date_add("date", 1).alias("date"), "latitude", "longitude", "elevation",
         F.lit(None).cast("float").alias("tmax"),
     )
-    scored = model.transform(last.unionByName(nxt))
-    train.unpersist()
+    scored = _tmax_model(spark, sf_dir).transform(last.unionByName(nxt))
     return scored.select("station", "date", "yesterday_tmax", F.col("prediction").alias("predicted_tmax"))
 
 
-def _colour_data(spark, sf_dir):
-    return data.colours(data.table(spark, sf_dir, "lineitem"))
+def tmax_tomorrow_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J23 without the model: for each station the day to predict and the features it is predicted from."""
+    scored = tmax_tomorrow(spark, sf_dir)
+    return scored.select("station", "date", F.dayofyear("date").alias("dayofyear"), "yesterday_tmax",
+                         F.col("predicted_tmax").isNotNull().alias("predicted"))
+
+
+# J20 -------------------------------------------------------------------------
+
+def _colour_parts(spark, sf_dir) -> list[DataFrame]:
+    return digest_split(data.colour_words(data.table(spark, sf_dir, "lineitem")), [*CHANNELS, "word"], WEIGHTS, SEED)
+
 
+def _colour_model(spark, sf_dir, space: str) -> PipelineModel:
+    def fit() -> PipelineModel:
+        train = ml.training_set(_colour_parts(spark, sf_dir)[0])
+        try:
+            return ml.colour_pipeline(space, n_labels=train.select("word").distinct().count(), seed=SEED).fit(train)
+        finally:
+            train.unpersist()
 
-def _colour_split(colours: DataFrame):
-    return hash_split(colours, ["R", "G", "B", "word"], (0.75, 0.25), seed=SEED)
+    settings = {"model": "colour", "space": space, "seed": SEED, "weights": WEIGHTS, "version": VERSION}
+    return fitted(spark, "colour", model_key(spark, [f"{sf_dir}/lineitem.parquet"], settings), fit)
+
+
+def _colour_models(spark, sf_dir) -> dict[str, PipelineModel]:
+    spaces = ("rgb", "lab")
+    return dict(zip(spaces, ml.fit_concurrently(lambda space: _colour_model(spark, sf_dir, space), spaces)))
+
+
+def colour_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRT4 + FN19's words: every colour row with its nearest colour word and its part."""
+    return _labelled(_colour_parts(spark, sf_dir)).select(*CHANNELS, "word", "split")
+
+
+def colour_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML3 / FN18: index and text of the labels, from the stored RGB model's indexer, with the colour that paints each."""
+    labels = ml.label_index(spark, _colour_model(spark, sf_dir, "rgb"))
+    return labels.select("label_index", "label", representative_rgb(F.col("label")).alias("rgb"))
 
 
 def colour_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Perceptron accuracy on validation for RGB and LAB inputs."""
-    colours = _colour_data(spark, sf_dir)
-    n_labels = colours.select("word").distinct().count()
-    train, validation = _colour_split(colours)
-    train = ml.training_set(train)
-
-    def fit(space: str):
-        model = ml.colour_pipeline(space, n_labels=n_labels, seed=SEED).fit(train)
-        return space, float(ml.accuracy(model.transform(validation)))
-
-    rows = ml.fit_concurrently(fit, ("rgb", "lab"))
-    train.unpersist()
+    """Accuracy of the stored perceptrons on the validation rows, RGB and LAB inputs."""
+    validation = _colour_parts(spark, sf_dir)[1]
+    models = _colour_models(spark, sf_dir)
+    rows = ml.fit_concurrently(lambda space: (space, float(ml.accuracy(models[space].transform(validation)))), models)
     return spark.createDataFrame(rows, "space string, accuracy double")
 
 
 def colour_grid(spark: SparkSession, sf_dir: str, resolution: int = 256) -> DataFrame:
-    """ML11: predicted word over a LAB slice at luminance 70, by the RGB model
-    trained on the same training split as :func:`colour_model`."""
-    colours = _colour_data(spark, sf_dir)
-    n_labels = colours.select("word").distinct().count()
-    train = ml.training_set(_colour_split(colours)[0])
-    model = ml.colour_pipeline("rgb", n_labels=n_labels, seed=SEED).fit(train)
-    train.unpersist()
-    return ml.prediction_grid(spark, model, lum=70.0, resolution=resolution)
+    """ML11: predicted word and its colour over a LAB slice at luminance 70, by the RGB and the LAB model."""
+    painted = [ml.prediction_grid(spark, model, lum=70.0, resolution=resolution).withColumn("space", F.lit(space))
+               for space, model in _colour_models(spark, sf_dir).items()]
+    return painted[0].unionByName(painted[1])
+
+
+def _centroids(spark, sf_dir) -> dict:
+    return fit_centroids(_colour_parts(spark, sf_dir)[0], CHANNELS, "word")
+
+
+def colour_centroid_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML7 without a random learner: per word, validation rows and how many the nearest centroid of the training rows finds."""
+    _, validation = _colour_parts(spark, sf_dir)
+    scored = validation.withColumn("predicted_word", nearest_centroid(CHANNELS, _centroids(spark, sf_dir)))
+    return scored.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("predicted_word") == F.col("word")).alias("hits"))
+
+
+def colour_grid_centroid(spark: SparkSession, sf_dir: str, resolution: int = 256) -> DataFrame:
+    """ML11 without a random learner: the LAB slice painted by the nearest centroid of the training rows."""
+    grid = lab_grid(spark, lum=70.0, resolution=resolution)
+    grid = grid.withColumn("predicted_word", nearest_centroid(CHANNELS, _centroids(spark, sf_dir)))
+    rounded = [F.round(c, 4).alias(c) for c in ("labA", "labB", *CHANNELS)]
+    return grid.select("row_index", "col_index", *rounded, "predicted_word", representative_rgb(F.col("predicted_word")).alias("predicted_rgb"))
 
 
 ML_QUERIES = {
@@ -131,6 +186,13 @@ ML_QUERIES = {
     "tmax_importances": tmax_importances,
     "tmax_yesterday_effect": tmax_yesterday_effect,
     "tmax_tomorrow": tmax_tomorrow,
+    "tmax_tomorrow_inputs": tmax_tomorrow_inputs,
+    "tmax_split": tmax_split,
+    "tmax_persistence": tmax_persistence,
     "colour_model": colour_model,
     "colour_grid": colour_grid,
+    "colour_split": colour_split,
+    "colour_label_index": colour_label_index,
+    "colour_centroid_accuracy": colour_centroid_accuracy,
+    "colour_grid_centroid": colour_grid_centroid,
 }

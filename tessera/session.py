@@ -9,6 +9,7 @@ tests, the bench) gets a fresh temporary folder.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -112,6 +113,27 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([scratch_root(spark), *leaf])
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path for it: works for any store that Spark reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def file_key(spark: SparkSession, path: str) -> str:
+    """A digest of the files below ``path``: their paths, lengths and times. A missing path has one too."""
+    fs, place = hadoop_path(spark, path)
+    lines = []
+    if fs.exists(place):
+        if fs.getFileStatus(place).isFile():
+            found = [fs.getFileStatus(place)]
+        else:
+            found, files = [], fs.listFiles(place, True)
+            while files.hasNext():
+                found.append(files.next())
+        lines = sorted(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}" for f in found)
+    return hashlib.sha256("\n".join([path.rstrip("/"), *lines]).encode()).hexdigest()
+
+
 def committed(spark: SparkSession, path: str) -> bool:
     """True when a job finished writing ``path``: the file committer's
     ``_SUCCESS`` marker is there.
