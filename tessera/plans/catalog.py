@@ -38,7 +38,11 @@ QUERIES = {
     "order_lines": jobs.order_lines,
     "orders_denormalized": jobs.orders_denormalized,
     "order_lines_denorm": jobs.order_lines_denorm,
+    "order_lines_by_key": jobs.order_lines_by_key,
+    "order_lines_denorm_by_key": jobs.order_lines_denorm_by_key,
+    "order_lines_urgent": jobs.order_lines_urgent,
     "upsert_orders": jobs.upsert_orders,
+    "store_merge_orders": jobs.store_merge_orders,
     "upsert_versions": jobs.upsert_versions,
     "global_sums": jobs.global_sums,
     "linear_fit": jobs.linear_fit,
@@ -356,6 +360,10 @@ SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS file_name,
 FROM pages
 """,
 }
+_DEAREST = f"SELECT o_orderkey, line FROM ({ORDER_LINES}) WHERE o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)"
+ORACLE_SQL["order_lines_by_key"] = ORACLE_SQL["order_lines_denorm_by_key"] = _DEAREST
+ORACLE_SQL["order_lines_urgent"] = f"SELECT * FROM ({ORDER_LINES}) WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')"
+ORACLE_SQL["store_merge_orders"] = ORACLE_SQL["upsert_orders"]
 ORACLE_SQL["relative_score_broadcast"] = ORACLE_SQL["relative_score"]
 ORACLE_SQL["log_table_correlation"] = ORACLE_SQL["log_correlation"]
 

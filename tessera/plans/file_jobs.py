@@ -21,7 +21,6 @@ from tessera.operators import graph, joins, keyed, ml
 from tessera.operators.partition import hash_split, spread_if_uneven
 from tessera.operators.weather import readings, widest_range_per_date
 from tessera.plans.jobs import DAILY_RANGE_SQL
-from tessera.session import committed
 from tessera.sinks.files import (
     replace_table,
     split_by,
@@ -30,6 +29,7 @@ from tessera.sinks.files import (
     write_json,
     write_lines,
 )
+from tessera.sinks.keyed_store import KeyedStore
 from tessera.sources.files import read_csv, read_delimited, read_json, read_lines, read_table, with_hour_from_file
 from tessera.sources.graph_text import parse_adjacency
 from tessera.sources.logs import host_visits, parse_access_log
@@ -178,16 +178,23 @@ def correlate_logs(spark: SparkSession, inputs: str) -> dict:
 
 def correlate_logs_table(spark: SparkSession, table: str, fmt: str = "parquet", **options) -> dict:
     """The same from a loaded keyed table (host, bytes)."""
-    logs = read_table(spark, table, fmt, **options).select("host", "bytes")
-    return _r_of(host_visits(logs))
+    store = KeyedStore(spark, table, "host")
+    logs = store.read() if fmt == "parquet" and store.exists() else read_table(spark, table, fmt, **options)
+    return _r_of(host_visits(logs.select("host", "bytes")))
 
 
 def load_logs(spark: SparkSession, inputs: str, table: str, partitions: int | None = None,
               fmt: str = "parquet", **options) -> DataFrame:
-    """Access logs -> keyed table (host, id, datetime, path, bytes), replaced on load."""
+    """Access logs -> table keyed by host (host, id, datetime, path, bytes), replaced on load.
+
+    A Parquet table is a keyed store, whose old rows stay readable until the
+    new ones are all written; other formats are overwritten by their writer.
+    """
     logs = parse_access_log(read_lines(spark, inputs), id_mode="random")
-    logs = logs.repartition(partitions) if partitions else logs.hint("rebalance")
-    replace_table(logs, table, fmt, **options)
+    logs = logs.repartition(partitions) if partitions else logs
+    if fmt == "parquet":
+        return KeyedStore(spark, table, "host").replace(logs)
+    replace_table(logs.hint("rebalance"), table, fmt, **options)
     return read_table(spark, table, fmt, **options)
 
 
@@ -223,33 +230,22 @@ def order_lines(spark: SparkSession, tables: str, output: str, keys: Sequence[in
 
 def denormalize_orders(spark: SparkSession, tables: str, output: str,
                        names: tuple[str, str, str] = ("orders", "lineitem", "part")) -> DataFrame:
-    """orders ⋈ lineitem ⋈ part -> orders with ``part_names``; written into the
+    """orders ⋈ lineitem ⋈ part -> orders with ``part_names``, merged into the
     keyed table at ``output`` (rows with an existing key replace it).
 
-    A Parquet table cannot be rewritten while it is read: the merged rows go
-    to the sibling folder ``<output>__next`` first, then replace the table. If
-    a run died while replacing it (table not committed, sibling committed),
-    the replace is finished from the sibling before the new rows are merged,
-    so no earlier load is lost. Delete both folders to start the table anew.
+    The table is a :class:`~tessera.sinks.keyed_store.KeyedStore`: a load
+    rewrites the buckets of its keys, and one that dies changes nothing.
     """
     o, li, p = (spark.read.parquet(f"{tables.rstrip('/')}/{n}") for n in names)
     denorm = keyed.denormalize_orders(_tpch_cols(o, "o"), _tpch_cols(li, "l"), _tpch_cols(p, "p"))
-    staged = f"{output.rstrip('/')}__next"
-    if not committed(spark, output):
-        if not committed(spark, staged):
-            keyed.write_keyed_table(denorm, output, "o_orderkey")
-            return spark.read.parquet(output)
-        keyed.write_keyed_table(spark.read.parquet(staged), output, "o_orderkey")
-    current = spark.read.parquet(output)
-    replace_table(keyed.upsert_by_key(current, denorm, "o_orderkey"), staged)
-    keyed.write_keyed_table(spark.read.parquet(staged), output, "o_orderkey")
-    return spark.read.parquet(output)
+    return KeyedStore(spark, output, "o_orderkey").merge(denorm)
 
 
 def order_lines_denormalized(spark: SparkSession, table: str, output: str,
                              keys: Sequence[int] | None = None) -> DataFrame:
-    """Order lines read from the denormalised table (no join)."""
-    out = keyed.lines_from_denormalized(spark.read.parquet(table), keys).orderBy("o_orderkey")
+    """Order lines read from the denormalised table (no join); with ``keys``, from their buckets only."""
+    store = KeyedStore(spark, table, "o_orderkey")
+    out = keyed.lines_from_denormalized(store.read() if keys is None else store.lookup(keys)).orderBy("o_orderkey")
     write_lines(out.select("line"), output)
     return out
 

@@ -18,8 +18,8 @@ from tessera.operators.partition import spread_if_uneven
 from tessera.operators.weather import readings, widest_range_per_date
 from tessera.plans import data
 from tessera.plans.inputs import INPUT_VERSION
-from tessera.session import committed, scratch_path
-from tessera.sinks.files import replace_table
+from tessera.session import scratch_path
+from tessera.sinks.keyed_store import KeyedStore
 from tessera.sources.logs import host_visits, parse_access_log
 
 # Rounding applied to double results so that engines with different
@@ -216,32 +216,33 @@ def log_correlation(spark, sf_dir):
     return _correlate(parse_access_log(_log_lines(spark, sf_dir)))
 
 
-def load_logs(spark, sf_dir, path: str | None = None, partitions: int | None = None) -> str:
-    """Parse, key with a fresh UUID per row, spread evenly, replace the table."""
-    path = path or scratch_path(spark, "tables", _tag(spark, sf_dir), "access_logs", unique=True)
+def load_logs(spark, sf_dir, path: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Parse, key with a fresh UUID per row, replace the table keyed by host; its new version.
+
+    The table has one place per input; the version before the last stays for those who still read it, older ones are freed.
+    """
+    store = KeyedStore(spark, path or scratch_path(spark, "tables", _tag(spark, sf_dir), "access_logs"), "host")
     logs = parse_access_log(_log_lines(spark, sf_dir), id_mode="random")
-    logs = logs.repartition(partitions) if partitions else logs.hint("rebalance")
-    replace_table(logs, path)
-    return path
+    loaded = store.replace(logs.repartition(partitions) if partitions else logs)
+    store.vacuum(keep=2)
+    return loaded
 
 
 def loaded_logs(spark, sf_dir):
     """J15 read back: the loaded table without its random key, plus the key's length."""
-    stored = spark.read.parquet(load_logs(spark, sf_dir))
+    stored = load_logs(spark, sf_dir)
     return stored.select("host", "datetime", "path", "bytes", F.length("id").alias("id_length"))
 
 
 def loaded_logs_total_bytes(spark, sf_dir):
     """Total bytes served, summed over the loaded log table (one row)."""
-    stored = spark.read.parquet(load_logs(spark, sf_dir))
+    stored = load_logs(spark, sf_dir)
     return agg.total(stored, "bytes", out="total_bytes").select(F.col("total_bytes").cast("long").alias("total_bytes"))
 
 
 def log_table_correlation(spark, sf_dir):
     """The same correlation read back from the loaded keyed table."""
-    path = load_logs(spark, sf_dir)
-    stored = spark.read.parquet(path).select("host", "bytes")
-    return _correlate(stored)
+    return _correlate(load_logs(spark, sf_dir).select("host", "bytes"))
 
 
 # --- J14 shortest path -------------------------------------------------------------
@@ -289,19 +290,41 @@ def _tag(spark: SparkSession, sf_dir: str) -> str:
     return data.input_tag(spark, sf_dir)
 
 
-def materialize_orders_parts(spark, sf_dir, rebuild: bool = False) -> str:
-    """J17 output as a Parquet table in the shared scratch folder; built once per input."""
-    path = scratch_path(spark, "tables", _tag(spark, sf_dir), f"orders_parts-v{INPUT_VERSION}")
-    if not rebuild and committed(spark, path):
-        return path
-    keyed.write_keyed_table(_denormalized(spark, sf_dir), path, "o_orderkey")
-    return path
+def orders_parts(spark, sf_dir, rebuild: bool = False) -> KeyedStore:
+    """J17 output as a keyed store in the shared scratch folder; built once per input."""
+    store = KeyedStore(spark, scratch_path(spark, "tables", _tag(spark, sf_dir), f"orders_parts-v{INPUT_VERSION}"), "o_orderkey")
+    if rebuild or not store.exists():
+        store.replace(_denormalized(spark, sf_dir))
+    return store
 
 
 def order_lines_denorm(spark, sf_dir, keys=None):
-    """The order lines read from the stored denormalised table, no join."""
-    table = spark.read.parquet(materialize_orders_parts(spark, sf_dir))
-    return keyed.lines_from_denormalized(table, keys).orderBy("o_orderkey")
+    """The order lines read from the stored denormalised table, no join; with ``keys``, from their buckets only."""
+    store = orders_parts(spark, sf_dir)
+    return keyed.lines_from_denormalized(store.read() if keys is None else store.lookup(keys)).orderBy("o_orderkey")
+
+
+def dearest_orders(spark, sf_dir, n: int = 5) -> list[int]:
+    """The keys of the ``n`` orders of the highest price: a key list taken from the data (a top-n report)."""
+    top = _t(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(n)
+    return [r["o_orderkey"] for r in top.select("o_orderkey").collect()]
+
+
+def order_lines_by_key(spark, sf_dir):
+    """J16 by key list: the lines of the five dearest orders, joined at query time."""
+    o, li, p = (_t(spark, sf_dir, n) for n in ("orders", "lineitem", "part"))
+    return keyed.order_lines(o, li, p, dearest_orders(spark, sf_dir)).orderBy("o_orderkey")
+
+
+def order_lines_denorm_by_key(spark, sf_dir):
+    """J18 by key list: the same lines looked up in the stored denormalised table."""
+    return order_lines_denorm(spark, sf_dir, dearest_orders(spark, sf_dir))
+
+
+def order_lines_urgent(spark, sf_dir):
+    """FLT9 with keys of any number: lines of all urgent orders, their keys a DataFrame joined to the stored table."""
+    keys = _t(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select("o_orderkey")
+    return order_lines_denorm(spark, sf_dir, keys)
 
 
 # --- SNK8 upsert ------------------------------------------------------------------------
@@ -319,6 +342,14 @@ def upsert_orders(spark, sf_dir):
     return keyed.upsert_by_key(orders, _order_updates(orders), "o_orderkey")
 
 
+def store_merge_orders(spark, sf_dir):
+    """SNK8 on stored data: the orders as a keyed store, the update batch merged into the buckets that it touches, read back."""
+    orders = _t(spark, sf_dir, "orders")
+    store = KeyedStore(spark, scratch_path(spark, "tables", _tag(spark, sf_dir), "orders", unique=True), "o_orderkey")
+    store.replace(orders)
+    return store.merge(_order_updates(orders))
+
+
 def upsert_versions(spark, sf_dir):
     """SNK8 with versions out of order: every line item re-prices its order at version
     ``l_linenumber``; stored orders are version 2, so later versions replace them and earlier ones don't."""

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import file_jobs as J
+from tessera.sinks.keyed_store import KeyedStore
 
 
 def _write(path, lines, gz=False):
@@ -143,14 +144,13 @@ def test_order_jobs(spark, tmp_out):
     assert _lines(f"{tmp_out}/ol") == ["Order #1 $10.50: black, steel"]
     J.denormalize_orders(spark, root, f"{tmp_out}/dn")
     J.denormalize_orders(spark, root, f"{tmp_out}/dn")  # second load upserts, no duplicates
-    assert spark.read.parquet(f"{tmp_out}/dn").count() == 2
+    assert KeyedStore(spark, f"{tmp_out}/dn", "o_orderkey").read().count() == 2
     J.order_lines_denormalized(spark, f"{tmp_out}/dn", f"{tmp_out}/od", keys=[1, 2])
     assert _lines(f"{tmp_out}/od") == ["Order #1 $10.50: black, steel", "Order #2 $3.00: black"]
 
 
-def test_order_upsert_resumes_an_interrupted_replace(spark, tmp_out):
-    """Loads A then B; the table replace of B is cut (no _SUCCESS); loading C
-    must keep A and B's rows, not restart from C alone."""
+def test_order_loads_merge_and_a_broken_load_changes_nothing(spark, tmp_out):
+    """Loads A and B, then one that dies in its write; the table keeps A and B, and the next load merges into them."""
     def load(name, orders, lines):
         root = f"{tmp_out}/{name}"
         spark.createDataFrame(orders, "orderkey long, totalprice double").write.parquet(f"{root}/orders")
@@ -158,12 +158,16 @@ def test_order_upsert_resumes_an_interrupted_replace(spark, tmp_out):
         spark.createDataFrame([(100, "steel"), (101, "black")], "partkey long, name string").write.parquet(f"{root}/part")
         J.denormalize_orders(spark, root, f"{tmp_out}/dn")
 
+    def table():
+        return {r.o_orderkey: r.o_totalprice for r in KeyedStore(spark, f"{tmp_out}/dn", "o_orderkey").read().collect()}
+
     load("a", [(1, 1.0), (2, 2.0)], [(1, 100), (2, 101)])
     load("b", [(2, 20.0), (3, 3.0)], [(2, 100), (3, 101)])
-    os.remove(f"{tmp_out}/dn/_SUCCESS")  # the replace of load B was cut short
+    with pytest.raises(Exception, match="repeated key"):
+        load("twice", [(3, 5.0), (3, 6.0)], [(3, 100)])
+    assert table() == {1: 1.0, 2: 20.0, 3: 3.0}
     load("c", [(4, 4.0)], [(4, 100)])
-    got = {r.o_orderkey: r.o_totalprice for r in spark.read.parquet(f"{tmp_out}/dn").collect()}
-    assert got == {1: 1.0, 2: 20.0, 3: 3.0, 4: 4.0}
+    assert table() == {1: 1.0, 2: 20.0, 3: 3.0, 4: 4.0}
 
 
 def test_stream_job(spark, tmp_out):
