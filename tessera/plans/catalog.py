@@ -35,6 +35,7 @@ QUERIES = {
     "log_table_correlation": jobs.log_table_correlation,
     "shortest_hops": jobs.shortest_hops,
     "shortest_route": jobs.shortest_route,
+    "routes_to_dearest": jobs.routes_to_dearest,
     "order_lines": jobs.order_lines,
     "orders_denormalized": jobs.orders_denormalized,
     "order_lines_denorm": jobs.order_lines_denorm,
@@ -360,6 +361,18 @@ SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS file_name,
 FROM pages
 """,
 }
+_ROUTES = f"""
+{GRAPH},
+tree(node, route) AS (
+  SELECT CAST(1 AS BIGINT), CAST('1' AS VARCHAR)
+  UNION ALL
+  SELECT par.node, tree.route || ' ' || CAST(par.node AS VARCHAR) FROM par JOIN tree ON par.parent = tree.node),
+wanted AS (
+  SELECT o_custkey AS target FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+  UNION SELECT count(*) FROM customer),
+answers AS (SELECT target, coalesce(route, 'NO PATH FOUND') AS route FROM wanted LEFT JOIN tree ON node = target)
+"""
+ORACLE_SQL["routes_to_dearest"] = f"WITH RECURSIVE {_ROUTES} SELECT target, route FROM answers"
 _DEAREST = f"SELECT o_orderkey, line FROM ({ORDER_LINES}) WHERE o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)"
 ORACLE_SQL["order_lines_by_key"] = ORACLE_SQL["order_lines_denorm_by_key"] = _DEAREST
 ORACLE_SQL["order_lines_urgent"] = f"SELECT * FROM ({ORDER_LINES}) WHERE o_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')"
@@ -508,6 +521,8 @@ SELECT f.hour, f.title, f.views FROM f JOIN m ON f.hour = m.hour AND f.views = m
     "file_order_lines": f"SELECT line FROM ({ORDER_LINES})",
     "file_order_lines_denormalized": f"SELECT line FROM ({ORDER_LINES})",
     "file_stream_regression": _LINEFIT,
+    "stream_store_totals": f"WITH {LOGS} SELECT host, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS total FROM logs GROUP BY host",
+    "file_shortest_routes": f"WITH RECURSIVE {_ROUTES} SELECT CAST(target AS VARCHAR) || ': ' || route AS line FROM answers",
     "file_shortest_path": f"""
 WITH RECURSIVE {GRAPH}
 SELECT printf('(%d, (%s, %d))', d.node, coalesce(CAST(par.parent AS VARCHAR), '-'), d.dist) AS line

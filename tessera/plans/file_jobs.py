@@ -200,21 +200,26 @@ def load_logs(spark: SparkSession, inputs: str, table: str, partitions: int | No
 
 # J14 -------------------------------------------------------------------------
 
-def shortest_path(spark: SparkSession, inputs: str, output: str, source: int, target: int,
+def shortest_path(spark: SparkSession, inputs: str, output: str, source: int, target: int | Sequence[int],
                   max_hops: int = 6, links_file: str | None = "links-simple-sorted.txt") -> list:
     """Adjacency lists (``<inputs>/links-simple-sorted.txt``, or ``inputs`` itself
     when ``links_file`` is None) -> ``(node, (parent, dist))`` lines in
-    ``<output>/dist`` and the route in ``<output>/path`` (``NO PATH FOUND``
-    when there is none). Each round's new nodes stay in ``<output>/iter-<i>``."""
+    ``<output>/dist`` and the route to ``target`` in ``<output>/path``, a node
+    a line (``NO PATH FOUND`` when there is none). Several targets give a line
+    ``target: nodes`` each, and a list of lists. Each round's new nodes stay in
+    ``<output>/iter-<i>``."""
     path = inputs if (links_file is None or inputs.endswith(".txt")) else f"{inputs.rstrip('/')}/{links_file}"
     edges = parse_adjacency(read_lines(spark, path))
     paths = graph.shortest_paths(edges, source, max_hops, rounds_path=output)
     parent = F.coalesce(F.col("parent").cast("string"), F.lit("-"))
     table = paths.orderBy("node").select(F.format_string("(%d, (%s, %d))", "node", parent, "dist").alias("value"))
     write_lines(table, f"{output}/dist")
-    route = graph.route_list(paths, target)
-    write_lines(spark.createDataFrame([(str(x),) for x in route], "value string"), f"{output}/path", single_file=True)
-    return route
+    targets = [target] if isinstance(target, int) else list(target)
+    found = {r["target"]: list(r["path"]) for r in graph.routes_to(paths, targets).collect()}
+    routes = [found.get(t, list(graph.NO_PATH)) for t in targets]
+    lines = [str(x) for x in routes[0]] if isinstance(target, int) else [f"{t}: {' '.join(map(str, r))}" for t, r in zip(targets, routes)]
+    write_lines(spark.createDataFrame([(x,) for x in lines], "value string"), f"{output}/path", single_file=True)
+    return routes[0] if isinstance(target, int) else routes
 
 
 # J16 / J17 / J18 ---------------------------------------------------------------

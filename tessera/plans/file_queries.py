@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import file_jobs as J
 from tessera.plans import inputs
+from tessera.plans.jobs import dearest_orders
 from tessera.session import scratch_path
 
 DIGITS = 6
@@ -120,10 +121,22 @@ def file_order_lines_denormalized(spark, sf_dir):
     return _lines(spark, out)
 
 
-def file_shortest_path(spark, sf_dir):
+def _links_job(spark, sf_dir) -> str:
+    """J14 from node 1 to the customers of the dearest orders (reached) and to the first number past all nodes (not reached)."""
     out = _out(spark, "shortest_path")
-    J.shortest_path(spark, inputs.links_text(spark, sf_dir), out, source=1, target=1, links_file=None)
-    return _lines(spark, f"{out}/dist")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").filter(F.col("o_orderkey").isin(dearest_orders(spark, sf_dir)))
+    targets = sorted({r[0] for r in orders.select("o_custkey").collect()} | {spark.read.parquet(f"{sf_dir}/customer.parquet").count()})
+    J.shortest_path(spark, inputs.links_text(spark, sf_dir), out, source=1, target=targets, links_file=None)
+    return out
+
+
+def file_shortest_path(spark, sf_dir):
+    return _lines(spark, f"{_links_job(spark, sf_dir)}/dist")
+
+
+def file_shortest_routes(spark, sf_dir):
+    """The route lines that J14 writes, a reached and an unreached target among them."""
+    return _lines(spark, f"{_links_job(spark, sf_dir)}/path")
 
 
 def file_stream_regression(spark, sf_dir):
@@ -140,6 +153,27 @@ def file_stream_regression(spark, sf_dir):
     )
 
 
+def stream_store_totals(spark, sf_dir):
+    """STR3 / SNK9: running totals per host, file by file, in update mode into a keyed store that the stream goes on with.
+
+    The derived access-log files arrive one per batch; the stream is
+    run twice on one checkpoint, the second time on what is left (nothing, if
+    the first run saw all).
+    """
+    from tessera.sinks.keyed_store import KeyedStore
+    from tessera.sources.logs import parse_access_log
+    from tessera.streaming.regression import file_stream, run_to_store, running_totals
+
+    source = inputs.logs_text(spark, sf_dir)
+    place = _out(spark, "stream_totals")
+    store = KeyedStore(spark, f"{place}/table", "host", buckets=16)
+    for _ in range(2):
+        lines = file_stream(spark, source, "value string", fmt="text", maxFilesPerTrigger=1)
+        totals = running_totals(parse_access_log(lines), "host", "bytes")
+        table = run_to_store(totals, store, f"{place}/checkpoint")
+    return table.select("host", "n", "total")
+
+
 FILE_QUERIES = {
     "file_word_count": file_word_count,
     "file_group_average": file_group_average,
@@ -156,5 +190,7 @@ FILE_QUERIES = {
     "file_order_lines": file_order_lines,
     "file_order_lines_denormalized": file_order_lines_denormalized,
     "file_shortest_path": file_shortest_path,
+    "file_shortest_routes": file_shortest_routes,
     "file_stream_regression": file_stream_regression,
+    "stream_store_totals": stream_store_totals,
 }

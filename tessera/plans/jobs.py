@@ -253,7 +253,7 @@ GRAPH_MAX_HOPS = 6
 
 def _paths(spark, sf_dir):
     edges = data.order_graph(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))
-    return graph.shortest_paths(edges, GRAPH_SOURCE, GRAPH_MAX_HOPS)
+    return graph.shortest_paths(graph.stage_edges(edges, _tag(spark, sf_dir)), GRAPH_SOURCE, GRAPH_MAX_HOPS, staged=True)
 
 
 def shortest_hops(spark, sf_dir):
@@ -263,8 +263,19 @@ def shortest_hops(spark, sf_dir):
 
 def shortest_route(spark, sf_dir):
     """The route from node 1 to every reachable node, as text."""
-    paths = _paths(spark, sf_dir)
-    return paths.select("node", "dist", F.array_join(F.col("path"), " ").alias("route"))
+    routes = graph.all_routes(_paths(spark, sf_dir), GRAPH_MAX_HOPS)
+    return routes.select("node", "dist", F.array_join(F.col("path"), " ").alias("route"))
+
+
+def routes_to_dearest(spark, sf_dir):
+    """GRF2 / FLT11: routes from node 1 to the customers of the five dearest orders and to a node that no edge reaches."""
+    orders = _t(spark, sf_dir, "orders")
+    targets = [r[0] for r in orders.filter(F.col("o_orderkey").isin(dearest_orders(spark, sf_dir))).select("o_custkey").collect()]
+    beyond = _t(spark, sf_dir, "customer").count()  # edges end below the number of customers
+    found = graph.routes_to(_paths(spark, sf_dir), [*targets, beyond])
+    wanted = spark.createDataFrame([(t,) for t in sorted({*targets, beyond})], "target long")
+    return wanted.join(found, "target", "left").select(
+        "target", F.coalesce(F.array_join("path", " "), F.lit(" ".join(graph.NO_PATH))).alias("route"))
 
 
 # --- J16 / J17 / J18 orders and part names --------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import split_get
 from tessera.session import scratch_path
+from tessera.sinks.keyed_store import KeyedStore
 
 
 def parse_points(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -96,6 +97,32 @@ def run_to_table(df: DataFrame, path: str, mode: str = "update", checkpoint: str
     return out.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
 
 
+def run_to_store(df: DataFrame, store: KeyedStore, checkpoint: str, timeout_s: float | None = None) -> DataFrame:
+    """Run an update-mode stream over everything available now into a keyed store; returns the store's table.
+
+    ``df`` is a streaming aggregate whose rows are the groups that a batch
+    changed, one per ``store`` key. Each batch is merged by key with its
+    number as the version (column ``batch_id``), so groups that it doesn't
+    change stay, and a batch that is replayed after a failure writes the rows
+    that it wrote before. Started again with the same ``checkpoint``, the
+    stream goes on after its last committed batch with its state.
+    """
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        store.merge(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), seq="batch_id")
+
+    query = df.writeStream.outputMode("update").foreachBatch(merge_batch).trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
+    finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+    if finished is False:
+        query.stop()
+        raise TimeoutError(f"stream did not finish in {timeout_s} s")
+    return store.read()
+
+
+def running_totals(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Streaming aggregate: rows and sum of ``value`` per ``key``; a null value counts as a row without one."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+
+
 def run_linear_fit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items arrive as files; the running fit of price on quantity is kept up to date."""
     schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").schema

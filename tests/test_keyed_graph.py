@@ -122,3 +122,42 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_out):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS bucketed_orders")
         spark.sql("DROP TABLE IF EXISTS bucketed_lineitem")
+
+
+def test_rounds_shuffle_the_frontier_only_and_share_one_staging(spark):
+    """The edge side of a round's join has no exchange, though both sides are too big to broadcast here."""
+    from plan_util import plan_text
+
+    edges = spark.range(4000).select((F.col("id") % 900).alias("src"), (F.col("id") * 7 % 900).alias("dst"))
+    tag = f"test{random.Random().randrange(10**9)}"
+    links = graph.stage_edges(edges, tag, buckets=8)
+    again = graph.stage_edges(edges.limit(0), tag, buckets=8)  # the stored ones, whatever is passed
+    assert sorted(links.collect()) == sorted(again.collect()) == sorted(edges.distinct().collect())
+    known = spark.range(300).select(F.col("id").alias("node"), F.lit(None).cast("long").alias("parent"), F.lit(0).alias("dist"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(graph.next_hop(known, links, known), "simple")
+        line = next(x for x in plan.splitlines() if "FileScan" in x)
+        assert "Bucketed: true" in line and "SelectedBucketsCount: 8 out of 8" in line
+        # the frontier, what it reaches and the known nodes are shuffled, edges are not
+        assert plan.count("Exchange hashpartitioning(node#") == 3 == plan.count("Exchange")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP TABLE IF EXISTS tessera_edges_edges_{tag}_8")
+    spark.sql(f"DROP TABLE IF EXISTS tessera_edges_edges_{tag}_8")
+    assert graph.stage_edges(edges, tag, buckets=8).count() == links.count()  # a new session knows the folder by its tag
+
+
+def test_routes_of_several_targets_and_of_all_nodes(spark):
+    rnd = random.Random(11)
+    pairs = sorted({(rnd.randrange(80), rnd.randrange(80)) for _ in range(170)})
+    dist, parent = _brute(pairs, 0, 6)
+
+    def up(node):
+        return up(parent[node]) + [node] if node else [0]
+
+    paths = graph.shortest_paths(_edges(spark, pairs), 0)
+    assert {r.node: (r.dist, list(r.path)) for r in graph.all_routes(paths).collect()} == {n: (d, up(n)) for n, d in dist.items()}
+    wanted = [0, 5, 17, 17, 1000, *[n for n in range(80) if n not in dist][:2]]
+    assert {r.target: list(r.path) for r in graph.routes_to(paths, wanted).collect()} == {n: up(n) for n in wanted if n in dist}
+    assert graph.routes_to(paths, []).collect() == []
