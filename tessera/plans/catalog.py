@@ -529,3 +529,17 @@ SELECT printf('(%d, (%s, %d))', d.node, coalesce(CAST(par.parent AS VARCHAR), '-
 FROM d LEFT JOIN par ON par.node = d.node
 """,
 }
+
+FILE_ORACLE_SQL["file_hourly_top_pages_by_name"] = FILE_ORACLE_SQL["file_hourly_top_pages"]
+FILE_ORACLE_SQL["file_comment_quarantine"] = f"""
+WITH {_COMMENTS}
+SELECT author, score, subreddit, CAST(NULL AS VARCHAR) AS broken_line, 'good' AS part FROM c WHERE subreddit <> 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, left('{{{{"author":"u' || CAST(user_id AS VARCHAR) || '","id":"' || CAST(event_id AS VARCHAR) || '"', 20), 'broken'
+FROM events WHERE event_type = 'error'
+""".replace("{{", "{").replace("}}", "}")
+FILE_ORACLE_SQL["file_broken_log_lines"] = f"WITH {LOGS} SELECT value AS broken_line FROM lines WHERE NOT regexp_matches(value, '{_P}')"
+FILE_ORACLE_SQL["file_order_audit"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{job}' AS job, count(*) AS n, CAST(0 AS BIGINT) AS inversions FROM ({sql})" for job, sql in (
+        ("word_count", FILE_ORACLE_SQL["file_word_count"]), ("hourly_top_pages", FILE_ORACLE_SQL["file_hourly_top_pages"]),
+        ("relative_score", FILE_ORACLE_SQL["file_relative_score"]), ("temp_range", FILE_ORACLE_SQL["file_temp_range"]))) + ")"

@@ -30,7 +30,7 @@ from tessera.sinks.files import (
     write_lines,
 )
 from tessera.sinks.keyed_store import KeyedStore
-from tessera.sources.files import read_csv, read_delimited, read_json, read_lines, read_table, with_hour_from_file
+from tessera.sources.files import BROKEN, parse_json, read_csv, read_delimited, read_json, read_lines, read_table, with_hour_from_file
 from tessera.sources.graph_text import parse_adjacency
 from tessera.sources.logs import host_visits, parse_access_log
 from tessera.streaming.regression import file_stream, kafka_stream, parse_points, running_fit, start_stream
@@ -126,6 +126,16 @@ def comment_split(spark: SparkSession, inputs: str, output: str) -> DataFrame:
     return kept
 
 
+def comment_quarantine(spark: SparkSession, inputs: str, output: str) -> DataFrame:
+    """Comment lines, read once: good ones as JSON in ``<output>/part=good``, broken ones as they are in ``<output>/part=broken``
+    (field ``broken_line``), so that a broken line is neither lost nor a comment without a subreddit."""
+    rows = parse_json(read_lines(spark, inputs), "value", schemas.COMMENT, keep_broken=True)
+    rows = rows.select("author", "score", "subreddit", BROKEN)
+    rows = rows.withColumn("part", F.when(F.col(BROKEN).isNull(), F.lit("good")).otherwise(F.lit("broken")))
+    rows.write.mode("overwrite").partitionBy("part").json(output)
+    return spark.read.schema(f"author string, score long, subreddit string, {BROKEN} string, part string").json(output)
+
+
 # J7 / J8 ---------------------------------------------------------------------
 
 def relative_score(spark: SparkSession, inputs: str, output: str, strategy: str = "auto") -> DataFrame:

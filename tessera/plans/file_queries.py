@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.operators.order import order_audit
 from tessera.plans import file_jobs as J
 from tessera.plans import inputs
 from tessera.plans.jobs import dearest_orders
@@ -174,6 +175,44 @@ def stream_store_totals(spark, sf_dir):
     return table.select("host", "n", "total")
 
 
+def file_hourly_top_pages_by_name(spark, sf_dir):
+    """J5 as the job first ran: the hour is taken from the names of the page-count files (SRC6, FN3)."""
+    out = _out(spark, "hourly_top_pages_by_name")
+    J.hourly_top_pages(spark, inputs.pagecount_files(spark, sf_dir), out)
+    return spark.read.schema("hour string, title string, views long").json(out)
+
+
+def file_comment_quarantine(spark, sf_dir):
+    """SRC2, SRC3: good comments and broken lines, each in its own output."""
+    out = J.comment_quarantine(spark, inputs.comments_with_broken_lines(spark, sf_dir), _out(spark, "comment_quarantine"))
+    return out.select("author", "score", "subreddit", "broken_line", "part")
+
+
+def file_broken_log_lines(spark, sf_dir):
+    """SRC7: the lines that the log job leaves out."""
+    from tessera.sources.files import read_lines
+    from tessera.sources.logs import unparsed_log_lines
+
+    return unparsed_log_lines(read_lines(spark, inputs.logs_text(spark, sf_dir)))
+
+
+def file_order_audit(spark, sf_dir):
+    """SRT1-SRT3: the sorted outputs of four jobs, audited as they lie in their files."""
+    def audited(job, written, key):
+        return order_audit(written, key).select(F.lit(job).alias("job"), "n", "inversions")
+
+    words, pages, scores, ranges = (_out(spark, f"audit_{name}") for name in ("words", "pages", "scores", "ranges"))
+    J.word_count(spark, inputs.documents_text(spark, sf_dir), words)
+    J.hourly_top_pages(spark, inputs.pagecounts_text(spark, sf_dir), pages, hour_in_line=True)
+    J.relative_score(spark, inputs.comments_json(spark, sf_dir), scores)
+    J.temp_range(spark, inputs.weather_csv(spark, sf_dir), ranges)
+    out = audited("word_count", spark.read.text(words), F.substring_index("value", " ", 1))
+    out = out.unionByName(audited("hourly_top_pages", spark.read.schema("hour string, title string, views long").json(pages), F.struct("hour", "title")))
+    relative = F.get_json_object("value", "$[1]").cast("double")
+    out = out.unionByName(audited("relative_score", spark.read.text(scores), F.struct((-relative).alias("relative"), F.get_json_object("value", "$[0]").alias("author"))))
+    return out.unionByName(audited("temp_range", spark.read.schema("date string, station string, range string").csv(ranges), F.struct("date", "station")))
+
+
 FILE_QUERIES = {
     "file_word_count": file_word_count,
     "file_group_average": file_group_average,
@@ -193,4 +232,8 @@ FILE_QUERIES = {
     "file_shortest_routes": file_shortest_routes,
     "file_stream_regression": file_stream_regression,
     "stream_store_totals": stream_store_totals,
+    "file_hourly_top_pages_by_name": file_hourly_top_pages_by_name,
+    "file_comment_quarantine": file_comment_quarantine,
+    "file_broken_log_lines": file_broken_log_lines,
+    "file_order_audit": file_order_audit,
 }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import hour_key
 from tessera.plans import data
-from tessera.session import committed, scratch_path
+from tessera.session import committed, hadoop_path, scratch_path
 
 # Bump when a derivation changes, so stored inputs of an older form are not reused.
 INPUT_VERSION = "3"
@@ -75,6 +75,45 @@ def comments_json(spark, sf_dir) -> str:
     return _stored(spark, sf_dir, "comments", lambda: comment_rows(data.table(spark, sf_dir, "events")), "json")
 
 
+def comments_with_broken_lines(spark, sf_dir) -> str:
+    """Comment lines of which those of error events were cut short."""
+    def build() -> DataFrame:
+        line = F.to_json(F.struct("author", "id", "score", "subreddit"))
+        rows = comment_rows(data.table(spark, sf_dir, "events")).withColumn("value", line)
+        return rows.select(F.when(F.col("subreddit") == "error", F.left("value", F.lit(20))).otherwise(F.col("value")).alias("value"))
+
+    return _stored(spark, sf_dir, "comments-broken", build, "text")
+
+
+def pagecount_files(spark, sf_dir) -> str:
+    """Page counts as the job first got them: a file ``pagecounts-YYYYMMDD-HH0000`` per hour, the hour in its name only.
+
+    Written a folder per hour and moved to their names one by one (there are
+    as many as hours in the data); the folder gets its own name last, so one
+    that is there is whole.
+    """
+    done = scratch_path(spark, "inputs", data.input_tag(spark, sf_dir), f"pagecount-files-v{INPUT_VERSION}")
+    fs, place = hadoop_path(spark, done)
+    if fs.exists(place):
+        return done
+    lines = pagecount_lines(data.table(spark, sf_dir, "events"))
+    split = lines.select(F.substring_index("value", " ", 1).alias("hour"), F.expr("substring(value, instr(value, ' ') + 1)").alias("value"))
+    staged = scratch_path(spark, "inputs", "staged", unique=True)
+    split.repartition("hour").write.partitionBy("hour").text(f"{staged}/by-hour")
+    named = hadoop_path(spark, f"{staged}/named")[1]
+    fs.mkdirs(named)
+    for folder in fs.listStatus(hadoop_path(spark, f"{staged}/by-hour")[1]):
+        if folder.isDirectory():
+            hour = folder.getPath().getName().split("=")[1]
+            parts = sorted(f.getPath().toString() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+            for n, part in enumerate(parts):
+                fs.rename(hadoop_path(spark, part)[1], hadoop_path(spark, f"{staged}/named/pagecounts-{hour}0000" + (f"-{n}" if n else ""))[1])
+    fs.mkdirs(place.getParent())
+    if not fs.rename(named, place) and not fs.exists(place):
+        raise OSError(f"{staged} could not be moved to {done}")
+    return done
+
+
 def pagecounts_text(spark, sf_dir) -> str:
     return _stored(spark, sf_dir, "pagecounts", lambda: pagecount_lines(data.table(spark, sf_dir, "events")), "text")
 

@@ -31,9 +31,26 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType)
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
-def parse_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Parse a text column holding one JSON document per row into typed columns."""
-    return df.select(F.from_json(F.col(column), schema).alias("__j")).select("__j.*")
+#: Where a line that can't be read is kept.
+BROKEN = "broken_line"
+
+
+def parse_json(df: DataFrame, column: str, schema: T.StructType, keep_broken: bool = False) -> DataFrame:
+    """Parse a text column holding one JSON document per row into typed columns.
+
+    A broken document gives all-NULL columns; with ``keep_broken`` its text is
+    in the column ``broken_line``, NULL for the others. Broken is what isn't
+    JSON, a value that doesn't fit its column, and a NULL or blank line.
+    """
+    if not keep_broken:
+        return df.select(F.from_json(F.col(column), schema).alias("__j")).select("__j.*")
+    wide = T.StructType([*schema, T.StructField(BROKEN, T.StringType())])
+    parsed = F.from_json(F.col(column), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    rows = df.select(F.col(column).alias("__line"), parsed.alias("__j"))
+    broken = F.when(F.trim(F.coalesce("__line", F.lit(""))) == "", F.coalesce("__line", F.lit(""))).otherwise(F.col(f"__j.{BROKEN}"))
+    # a document with a value that doesn't fit counts as broken as a whole
+    fields = [F.when(broken.isNull(), F.col(f"__j.{f.name}")).alias(f.name) for f in schema]
+    return rows.select(*fields, broken.alias(BROKEN))
 
 
 def read_csv(

@@ -43,6 +43,12 @@ def parse_access_log(df: DataFrame, column: str = "value", id_mode: str | None =
     return good.select(*cols)
 
 
+def unparsed_log_lines(df: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that :func:`parse_access_log` leaves out, as ``broken_line``; a NULL line is an empty one."""
+    line = F.coalesce(F.col(column), F.lit(""))
+    return df.filter(~line.rlike(ACCESS_LOG_PATTERN)).select(line.alias("broken_line"))
+
+
 def host_visits(logs: DataFrame) -> DataFrame:
     """Per host: number of requests and bytes served (the correlation input)."""
     return logs.groupBy("host").agg(
