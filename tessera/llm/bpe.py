@@ -25,6 +25,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import public_tokenizers
 import pyarrow as pa
@@ -38,7 +39,6 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 REMEMBER = 500_000
 NEVER = float("inf")
 BYTE = [bytes([b]) for b in range(256)]
-NO_PIECE = (None, False)
 NO_MOVES: dict = {}
 
 
@@ -68,7 +68,7 @@ class Transducer:
     def _clear(self) -> None:
         self.subsets: list[tuple] = []
         self.ids: dict[tuple, int] = {}
-        self.moves: list[dict[int, tuple[int, tuple]]] = []
+        self.moves: dict[int, tuple[int, tuple]] = {}  # by 256 * state + byte: 256 * next state, emitted tokens
         self.ends: list[tuple] = []
         self._intern(((None, b"", ()),))
 
@@ -77,7 +77,6 @@ class Transducer:
         if known is None:
             known = self.ids[subset] = len(self.subsets)
             self.subsets.append(subset)
-            self.moves.append({})
             self.ends.append(next((tail for _, piece, tail in subset if not piece), None))
         return known
 
@@ -108,12 +107,14 @@ class Transducer:
         if known is not None:
             return known
         a, b, end_a, end_b, apart = left, right, NEVER, NEVER, True
+        ranks, bytes_of, halves = self.ranks, self.bytes_of, self._halves
         while True:
-            joined = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
+            joined = ranks.get(bytes_of[a] + bytes_of[b])
             if joined is not None and joined < end_a and joined <= end_b:  # equal ranks merge from the left
                 apart = False
                 break
-            parts_a, parts_b = self.halves(a), self.halves(b)
+            parts_a = halves[a] if a in halves else self.halves(a)
+            parts_b = halves[b] if b in halves else self.halves(b)
             if parts_a is None and parts_b is None:
                 break
             if parts_b is None or parts_a is not None and a > b:
@@ -129,15 +130,22 @@ class Transducer:
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple]:
         live = []
-        read, known = BYTE[byte], self._separate
+        read, pieces, known = BYTE[byte], self.pieces, self._separate
         for last, piece, tail in self.subsets[state]:
             piece += read
-            token, longer = self.pieces.get(piece, NO_PIECE)
+            if piece not in pieces:
+                continue
+            token, longer = pieces[piece]
             if longer:
                 live.append((last, piece, tail))
             if token is not None:
-                apart = last is None or known.get((last, token))
-                if apart or apart is None and self.separate(last, token):
+                if last is None:
+                    apart = True
+                elif (last, token) in known:
+                    apart = known[last, token]
+                else:
+                    apart = self.separate(last, token)
+                if apart:
                     live.append((token, b"", (*tail, token)))
         # the tokens that all live configurations begin with are certain
         emitted = live[0][2]
@@ -150,28 +158,32 @@ class Transducer:
         subset = tuple([(last, piece, tail[shared:]) for last, piece, tail in live]) if shared else tuple(live)
         if len(self.subsets) >= self.max_states and subset not in self.ids:
             self._clear()
-            return self._intern(subset), emitted
-        move = self.moves[state][byte] = self._intern(subset), emitted
+            return self._intern(subset) << 8, emitted
+        move = self.moves[state << 8 | byte] = self._intern(subset) << 8, emitted
         return move
 
     def encode(self, data: Iterable[int]) -> Iterator[int]:
         """Token ids of one pre-token's bytes, each emitted as soon as it is certain."""
         state = 0
         for byte in data:
-            move = self.moves[state].get(byte)
-            state, emitted = self._move(state, byte) if move is None else move
+            move = self.moves.get(state + byte)
+            state, emitted = self._move(state >> 8, byte) if move is None else move
             yield from emitted
-        yield from self.ends[state]
+        yield from self.ends[state >> 8]
 
     def encode_all(self, data: bytes) -> list[int]:
         """:meth:`encode` as a list, without a generator's cost."""
-        state, out = 0, []
+        state, out, moves = 0, [], self.moves
         for byte in data:
-            move = self.moves[state].get(byte)
-            state, emitted = self._move(state, byte) if move is None else move
+            at = state + byte
+            if at in moves:
+                state, emitted = moves[at]
+            else:
+                state, emitted = self._move(state >> 8, byte)
+                moves = self.moves  # a full table starts anew
             if emitted:
                 out += emitted
-        out += self.ends[state]
+        out += self.ends[state >> 8]
         return out
 
 
@@ -282,7 +294,7 @@ class Codec:
         self.decoder = Decoder(self.transducer.bytes_of)
         self.pieces = Remembered(remember)
         self.spaces_cut = spaces_cut
-        self.names = {rank: str(rank) for rank in ranks.values()}
+        self.names = list(map(str, range(max(ranks.values()) + 1)))
 
     def _piece(self, piece: str) -> tuple[int, ...] | list[int]:
         """Ids of one piece with the space before it."""
@@ -308,12 +320,14 @@ class Codec:
         if not self.spaces_cut or re.search(r"\s ", text):
             return self._run(text)
         pieces = text.split(" ")
-        out = self._run(pieces[0])
         known = self.pieces
-        for piece in pieces[1:]:
-            ids = known.young.get(piece)
-            out += self._piece(piece) if ids is None else ids
-        return out
+        found = list(map(known.young.get, pieces))
+        found[0] = self._run(pieces[0])
+        for at, ids in enumerate(found):
+            if ids is None:
+                ids = known.young.get(pieces[at])  # met above in this text
+                found[at] = self._piece(pieces[at]) if ids is None else ids
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> str:
         return self.decoder.decode_all(ids)
