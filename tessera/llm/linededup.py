@@ -58,8 +58,8 @@ def _donors() -> np.ndarray:
 DONORS = _donors()
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """One row of ``BINS`` minima (uint32) per line, from all its shingles (a shorter line: itself, padded)."""
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of all shingles of ``lines`` in order, and how many each line has (a shorter line: one, itself padded)."""
     lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
@@ -68,7 +68,13 @@ def signatures(lines: list[str]) -> np.ndarray:
         h += codes[j:len(codes) - SHINGLE + 1 + j] * _ODD[j]
     counts = sizes - SHINGLE + 1
     line = np.repeat(np.arange(len(lines)), counts)
-    h = _mix(h[np.arange(len(line)) + line * (SHINGLE - 1)])  # windows across two lines are skipped
+    return _mix(h[np.arange(len(line)) + line * (SHINGLE - 1)]), counts  # windows across two lines are skipped
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """One row of ``BINS`` minima (uint32) per line, from all its shingles."""
+    h, counts = _hashed(lines)
+    line = np.repeat(np.arange(len(lines)), counts)
     bins = ((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
     out = np.full(len(lines) * BINS, EMPTY, dtype=np.uint32)
     np.minimum.at(out, line * BINS + bins.astype(np.int64), h.astype(np.uint32))
@@ -204,6 +210,7 @@ def _clusters(keyed: DataFrame) -> DataFrame:
 
 
 def shingles(line: str) -> frozenset[str]:
+    """A line's shingles by their definition; ``shingle_sets`` are their hashes."""
     if len(line) < SHINGLE:
         line = line.ljust(SHINGLE, "\0")
     return frozenset([line[i:i + SHINGLE] for i in range(len(line) - SHINGLE + 1)])
@@ -217,6 +224,72 @@ def alike(a: frozenset, b: frozenset, similarity: float) -> bool:
     return shared >= similarity * (len(a) + len(b) - shared) - 1e-9
 
 
+def shingle_sets(lines: list[str], chars: int = 1_000_000) -> list[np.ndarray]:
+    """Each line's distinct shingles as sorted 64-bit hashes, worked out for about ``chars`` characters at a time."""
+    out: list[np.ndarray] = []
+    at = 0
+    while at < len(lines):
+        end, size = at, 0
+        while end < len(lines) and (end == at or size < chars):
+            size += len(lines[end])
+            end += 1
+        h, counts = _hashed(lines[at:end])
+        out += [np.unique(x) for x in np.split(h, np.cumsum(counts)[:-1])]
+        at = end
+    return out
+
+
+def alike_sets(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """:func:`alike` on ``shingle_sets``."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - 1e-9:
+        return False
+    both = np.concatenate([a, b])
+    both.sort(kind="stable")  # two sorted runs are merged
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared >= similarity * (len(a) + len(b) - shared) - 1e-9
+
+
+#: Bits of the map that bounds what two sets share.
+MAP = 4_096
+
+
+def spanning_links(sets: list[np.ndarray], block: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of ``similarity`` or more that connect whatever such pairs connect; of sets in two blocks only pairs between these.
+
+    A pair is compared exactly unless it is connected already or can't be
+    alike: by its sizes, or as the sets' bit maps share too few bits. The
+    second bound counts for each set what its map hides, so it is never below
+    the number of common shingles.
+    """
+    n = len(sets)
+    if n == 2:
+        return [(0, 1)] if alike_sets(*sets, similarity) else []
+    crossing = bool((block != block[0]).any())  # two blocks of a large cluster: pairs within one are another group's
+    size = np.fromiter(map(len, sets), np.int64, n)
+    maps = np.empty((n, MAP // 64), dtype=np.uint64)
+    for at in range(0, n, 1_024):
+        part = sets[at:at + 1_024]
+        bits = np.zeros((len(part), MAP), dtype=bool)
+        bits[np.repeat(np.arange(len(part)), size[at:at + 1_024]), (np.concatenate(part) % np.uint64(MAP)).astype(np.int64)] = True
+        maps[at:at + 1_024] = np.packbits(bits, axis=1).view(np.uint64)
+    hidden = size - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+    label, links = np.arange(n), []
+    for i in range(n - 1):
+        open_ = label[i + 1:] != label[i]
+        if crossing:
+            open_ &= block[i + 1:] != block[i]
+        js = np.flatnonzero(open_) + i + 1
+        js = js[np.minimum(size[i], size[js]) >= similarity * np.maximum(size[i], size[js]) - 1e-9]
+        if len(js) > 4:
+            common = np.bitwise_count(maps[i] & maps[js]).sum(axis=1, dtype=np.int64) + np.minimum(hidden[i], hidden[js])
+            js = js[common >= similarity * (size[i] + size[js] - common) - 1e-9]
+        for j in js.tolist():
+            if label[j] != label[i] and alike_sets(sets[i], sets[j], similarity):
+                label[label == label[j]] = label[i]
+                links.append((i, j))
+    return links
+
+
 def _verified(held: DataFrame, similarity: float) -> DataFrame:
     """(a, b): a spanning forest of the exact links in each cluster of ``held`` (cluster, block, id, line)."""
 
@@ -227,20 +300,10 @@ def _verified(held: DataFrame, similarity: float) -> DataFrame:
             start = np.flatnonzero(np.concatenate([[True], cluster[1:] != cluster[:-1]]))
             a, b = [], []
             for at, end in zip(start.tolist(), np.append(start[1:], len(cluster)).tolist()):
-                n = end - at
-                forest = Forest(n)
-                sets = [shingles(lines[i].as_py()) for i in range(at, end)]
-                mine = block[at:end].tolist()
-                crossing = len(set(mine)) > 1  # two blocks of a large cluster: pairs within one are another group's
-                for i in range(n):
-                    for j in range(i + 1, n):
-                        if (not crossing or mine[i] != mine[j]) and forest.find(i) != forest.find(j) and alike(sets[i], sets[j], similarity):
-                            forest.join(i, j)
-                for i in range(n):
-                    root = forest.find(i)
-                    if root != i:
-                        a.append(ids[at + i])
-                        b.append(ids[at + root])
+                if end - at > 1:
+                    links = spanning_links(shingle_sets(lines.slice(at, end - at).to_pylist()), block[at:end], similarity)
+                    a += [ids[at + i] for i, _ in links]
+                    b += [ids[at + j] for _, j in links]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return held.repartition("cluster").sortWithinPartitions("cluster", "id").mapInArrow(run, "a long, b long")

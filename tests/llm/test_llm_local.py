@@ -152,3 +152,37 @@ def test_secret_spans():
     assert secret_scan.base_spans("secret=token: abcdefgh") == []  # the short value was matched first
     key = "x9Kq2LmZ7pRt4VbN8sWd1"
     assert [text for *_, text in secret_scan.key_spans(f"see {key}.", [])] == [key]
+
+
+def test_spanning_links_connect_what_all_pairs_do():
+    """Against all pairs of string sets: near copies, chains, short lines, and clusters of two blocks."""
+    draw = random.Random(1)
+
+    def connected(n, links):
+        parent = list(range(n))
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, j in links:
+            parent[find(i)] = find(j)
+        return [min(k for k in range(n) if find(k) == find(x)) for x in range(n)]
+
+    for t in range(200):
+        base = "".join(draw.choice("abcdé ") for _ in range(draw.choice([3, 30, 200])))
+        lines = []
+        for _ in range(draw.randint(2, 14)):
+            line = list(base)
+            for _ in range(draw.randint(0, 6)):
+                at = draw.randrange(len(line) + 1)
+                line[at:at + draw.randint(0, 2)] = draw.choice("xyz")
+            lines.append("".join(line) or "q")
+        n = len(lines)
+        block = np.array([draw.randrange(2) if t % 3 == 0 else 0 for _ in range(n)])
+        crossing = len(set(block.tolist())) > 1
+        sets = [linededup.shingles(x) for x in lines]
+        want = [(i, j) for i in range(n) for j in range(i + 1, n) if (not crossing or block[i] != block[j]) and linededup.alike(sets[i], sets[j], 0.8)]
+        got = linededup.spanning_links(linededup.shingle_sets(lines), block, 0.8)
+        assert set(got) <= set(want) and connected(n, got) == connected(n, want)
