@@ -4,13 +4,16 @@ Tokens are summed per cell (source, language, topic). Raking scales the cells
 again and again so that their sums over one dimension after the other meet
 that dimension's targets, until all three do. A cell's raked weight, as a part
 of the token budget, over the tokens that it has is the probability with which
-each of its documents is sampled.
+each of its documents is sampled. No cell can give more tokens than it has:
+one that is asked for more is taken whole, and raking deals what it can't give
+to the other cells of the same values.
 
 Cells and marginals stay Spark tables: their number grows with the sources.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from functools import reduce
 
@@ -23,8 +26,9 @@ NULL = "(null)"
 #: Production targets: a number is the power that token shares are raised to (1 keeps them, 0 evens them out).
 TARGETS: dict[str, float | dict[str, float]] = {"source": 0.7, "lang": 0.7, "topic": 0.85}
 BUDGET = 0.8
-#: Up to so many cells (some MB) are broadcast to the documents; more are joined by shuffle.
-BROADCAST_CELLS = 50_000
+#: Sweeps at most, and sweeps without a gain after which raking ends.
+SWEEPS, PATIENCE = 100, 3
+LOG = logging.getLogger(__name__)
 
 
 def topic_of(text: Column, n_words: Column) -> Column:
@@ -64,52 +68,93 @@ def _target(cells: DataFrame, dimension: str, wanted: float | dict[str, float])
     return shares.join(F.broadcast(whole), F.lit(True)).select(dimension, F.coalesce(F.try_divide("g", "all"), F.lit(0.0)).alias("goal"))
 
 
-def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], tolerance: float = 1e-4, most: int = 50) -> DataFrame:
+def _reachable(cells: DataFrame, dimension: str, goals: DataFrame) -> DataFrame:
+    """``goals`` with ``goal`` no value's cells can't give: what is above goes to the other values, in proportion.
+
+    A goal is the smaller of the value's room (the sum of ``most`` over its
+    cells) and its target times one number, which rises until the goals sum to
+    1 or no room is left. Only that number is known to the driver.
+    """
+    rooms = stored(cells.groupBy(dimension).agg(F.sum("most").alias("room")).join(goals, dimension).select(dimension, "goal", "room"))
+    times = 1.0
+    while True:
+        full = F.col("goal") * F.lit(times) >= F.col("room")
+        taken, left = rooms.agg(F.coalesce(F.sum(F.when(full, F.col("room"))), F.lit(0.0)),
+                                F.coalesce(F.sum(F.when(~full, F.col("goal"))), F.lit(0.0))).first()
+        higher = (1 - taken) / left if left > 0 and taken < 1 else times
+        if higher <= times * (1 + 1e-12):
+            return rooms.select(dimension, F.col("goal").alias("target"), F.least("room", F.col("goal") * F.lit(times)).alias("goal"))
+        times = higher
+
+
+def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget: float | None = None, tolerance: float = 1e-4,
+         most: int = SWEEPS) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``weight``: shares whose marginals meet the targets.
 
     A number as target tempers the dimension's token shares by that power; a
-    dict gives weights, and values it doesn't name get none. Stops when no
-    marginal is off by more than ``tolerance``, when the sweeps left would gain
-    less than ``tolerance`` at the last one's rate (as when targets contradict
-    each other through empty cells), or after ``most`` sweeps. One written
-    table a sweep; the driver sees one number.
+    dict gives weights, and values it doesn't name get none. With ``budget``,
+    the part of all tokens that is wanted, no weight is above what the cell
+    has: weights are the smaller of that and a product of one factor per value,
+    and a value's factor is found from the cells that aren't full. Goals that a
+    value can't reach with all its cells are dealt to the others first.
+
+    Stops when no marginal is off by more than ``tolerance``, when some sweeps
+    gain nothing (as when targets contradict each other through empty cells),
+    or after ``most`` sweeps; if a marginal is still off then, a warning is
+    logged, and :func:`misses` tells which. One written table a step, so
+    that no plan nests those before it; the driver sees one number a sweep.
     """
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
-    goals = {d: stored(_target(cells, d, wanted)) for d, wanted in targets.items()}
-    now = cells.join(F.broadcast(whole), F.lit(True)).withColumn("weight", F.col("tokens") / F.col("whole")).drop("whole")
+    share = F.col("tokens") / F.col("whole")
+    now = cells.join(F.broadcast(whole), F.lit(True)).withColumn("raw", share)
+    now = stored(now.withColumn("most", share / F.lit(float(budget)) if budget else F.lit(math.inf)).drop("whole"))
+    goals = {d: stored(_reachable(now, d, _target(cells, d, wanted))) for d, wanted in targets.items()}
+    weight, full = F.least("raw", "most"), F.col("raw") >= F.col("most")
 
     def marginal(weighted: DataFrame, d: str) -> DataFrame:
-        return weighted.groupBy(d).agg(F.sum("weight").alias("sum")).join(goals[d], d)
+        return weighted.groupBy(d).agg(
+            F.sum(weight).alias("sum"), F.coalesce(F.sum(F.when(full, F.col("most"))), F.lit(0.0)).alias("fixed"),
+            F.coalesce(F.sum(F.when(~full, F.col("raw"))), F.lit(0.0)).alias("free")).join(goals[d], d)
 
-    last = math.inf
+    best, idle, worst = math.inf, 0, None
     for sweep in range(most):
         for d in targets:
-            factor = marginal(now, d).select(d, F.coalesce(F.try_divide("goal", "sum"), F.lit(0.0)).alias("factor"))
-            now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
-        now = stored(now)
+            by_free = F.when((F.col("free") > 0) & (F.col("goal") > F.col("fixed")), (F.col("goal") - F.col("fixed")) / F.col("free"))
+            factor = F.coalesce(by_free, F.least(F.lit(1.0), F.try_divide("goal", "sum")), F.lit(0.0))
+            now = stored(now.join(marginal(now, d).select(d, factor.alias("factor")), d).withColumn("raw", F.col("raw") * F.col("factor")).drop("factor"))
         off = [marginal(now, d).select(F.abs(F.col("sum") - F.col("goal")).alias("off")) for d in targets]
         worst = reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0]
-        if worst is None or worst <= tolerance or last - worst <= tolerance / most:
+        idle = 0 if worst is not None and worst < best - tolerance / SWEEPS else idle + 1
+        best = best if worst is None else min(best, worst)
+        if worst is None or worst <= tolerance or idle >= PATIENCE:
             break
-        last = worst
-    return now
+    if worst is not None and worst > tolerance:
+        LOG.warning("raking ended with a marginal %.6f off its goal", worst)
+    return now.withColumn("weight", weight).drop("raw", "most")
 
 
-def probabilities(cells: DataFrame, budget: float) -> DataFrame:
-    """Raked cells with ``p``: ``budget`` of all tokens, dealt by weight, over the cell's tokens; 1 at most.
+def misses(cells: DataFrame, targets: dict[str, float | dict[str, float]] | None = None) -> DataFrame:
+    """(dimension, value, target, reached) of every marginal of raked ``cells``: what was wanted and what came out."""
+    parts = []
+    for d, wanted in (targets or TARGETS).items():
+        sums = cells.groupBy(d).agg(F.sum("weight").alias("reached"))
+        parts.append(_target(cells, d, wanted).join(sums, d).select(
+            F.lit(d).alias("dimension"), F.col(d).alias("value"), F.col("goal").alias("target"), "reached"))
+    return reduce(DataFrame.unionAll, parts)
 
-    A cell that has fewer tokens than its share is taken whole.
-    """
+
+def probabilities(cells: DataFrame, budget: float) -> DataFrame:
+    """Raked cells with ``p``: ``budget`` of all tokens, dealt by weight, over the cell's tokens; 1 at most."""
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
     rate = F.col("weight") * budget * F.col("whole") / F.col("tokens")
     return cells.join(F.broadcast(whole), F.lit(True)).withColumn("p", F.round(F.least(F.lit(1.0), rate), 12)).drop("whole")
 
 
 def calibrate(rows: DataFrame, targets: dict | None = None, budget: float = BUDGET) -> DataFrame:
-    """Checkpointed cells of ``rows`` (source, lang, topic, tokens) with tokens, weight and ``p``."""
+    """Stored cells of ``rows`` (source, lang, topic, tokens) with tokens, weight and ``p``."""
     targets = targets or TARGETS
-    cells = checkpointed(rows.groupBy(*targets).agg(F.sum("tokens").alias("tokens")))
-    return checkpointed(probabilities(rake(cells, targets), budget))
+    cells = stored(rows.groupBy(*targets).agg(F.sum("tokens").alias("tokens")))
+    return stored(probabilities(rake(cells, targets, budget), budget))
 
 
 def draw(id_col: str, text: str, seed: int = 17) -> Column:
@@ -118,12 +163,15 @@ def draw(id_col: str, text: str, seed: int = 17) -> Column:
 
 
 def _with_cells(rows: DataFrame, cells: DataFrame, names: dict[str, str]) -> DataFrame:
-    """``rows`` joined to their cells; ``names``: a cell column's name in ``rows``."""
-    own = cells.select(*[F.col(d).alias(f"_cell_{d}") for d in TARGETS], F.col("weight").alias(names["weight"]), F.col("p").alias(names["p"]))
-    if cells.count() <= BROADCAST_CELLS:
-        own = F.broadcast(own)
-    on = reduce(Column.__and__, [F.col(names[d]) == F.col(f"_cell_{d}") for d in TARGETS])
-    return rows.join(own, on).drop(*[f"_cell_{d}" for d in TARGETS])
+    """``rows`` joined to their cells; ``names``: a cell column's name in ``rows``.
+
+    The cells are a stored table, so the planner knows their bytes: it
+    broadcasts them below Spark's own threshold and shuffles beyond.
+    """
+    own = {d: free_name(rows, f"_cell_{d}") for d in TARGETS}
+    known = cells.select(*[F.col(d).alias(own[d]) for d in TARGETS], F.col("weight").alias(names["weight"]), F.col("p").alias(names["p"]))
+    on = reduce(Column.__and__, [F.col(names[d]) == F.col(own[d]) for d in TARGETS])
+    return rows.join(known, on).drop(*own.values())
 
 
 def sample(docs: DataFrame, text: str = "text", id_col: str = "doc_id", targets: dict | None = None, budget: float = BUDGET) -> DataFrame:

@@ -30,7 +30,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # whole runs, so the same as runs of
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("passw", "secret", "token", "api")
 KEY = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-#: Documents that make a value a copied example, however few owners they have.
+#: Copies below which a value of few owners is never a copied example; the square root of all documents, where that is more.
 MANY_COPIES = 100
 
 
@@ -102,15 +102,17 @@ def widely_copied(rows: DataFrame, max_owners: int, many_copies: int) -> Column:
 
     Many is the square root of how many there are: it grows with the corpus,
     so a stray copy of a live key doesn't reach it. ``max_owners`` and fewer
-    owners or repositories are never many.
+    owners or repositories, and fewer than ``many_copies`` copies, are never many.
     """
-    by_owner = rows.select("owner", "repository").distinct().groupBy("owner").agg(F.count(F.lit(1)).alias("repositories"))
-    whole = by_owner.agg(F.count(F.lit(1)).alias("owners"), F.coalesce(F.sum("repositories"), F.lit(0)).alias("repositories")).first()
+    by_repository = rows.groupBy("owner", "repository").agg(F.count(F.lit(1)).alias("documents"))
+    by_owner = by_repository.groupBy("owner").agg(F.count(F.lit(1)).alias("repositories"), F.sum("documents").alias("documents"))
+    whole = by_owner.agg(F.count(F.lit(1)).alias("owners"), F.coalesce(F.sum("repositories"), F.lit(0)).alias("repositories"),
+                         F.coalesce(F.sum("documents"), F.lit(0)).alias("documents")).first()
 
     def many(name: str) -> Column:
         return (F.col(name) > max_owners) & (F.col(name) * F.col(name) >= whole[name])
 
-    return many("owners") | many("repositories") | (F.col("copies") >= many_copies)
+    return many("owners") | many("repositories") | (F.col("copies") >= max(many_copies, math.isqrt(whole["documents"])))
 
 
 def as_text(spans: Column) -> Column:

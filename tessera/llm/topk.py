@@ -5,9 +5,11 @@ smaller id and a query leaves out its own, so no other can be among the best
 ``k``). Entries go to the nearest of some pivots, hot pivots to several
 shards. A shard builds a ball tree; a node's upper bound for query q is
 ``q.centre + |q| radius``. Nodes are visited by falling bound, and a node whose
-bound is below the query's current k-th score is not. That score is shared:
-each query brings a k-th score found on a common sample of entries, so every
-shard starts to prune with it, and within a shard it rises leaf by leaf.
+bound is below the query's current k-th score is not. That score is shared
+between shards: a query starts with the k-th score of a common sample, first
+visits the ball of shards with its highest bound, and takes the k-th score
+found there to the others. Of those it visits only the ones whose ball's
+bound reaches that score. Within a shard the score rises leaf by leaf.
 """
 
 from __future__ import annotations
@@ -19,16 +21,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, table
+from tessera.llm.common import checkpointed, stored, table
 
 EXACT = 2.0**52  # inner products below this are exact in float64
-NO_FLOOR = np.iinfo(np.int64).min
+NO_FLOOR, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+#: Queries that one task gives their first k-th score.
+AIMED = 512
 
 
 def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", scale: int = 1024) -> DataFrame:
     """(id, v): each component x as ``floor(scale * x)``; without null or non-finite vectors and null ids.
 
-    Rows equal in id and vector count once.
+    Rows equal in id and vector count once. A component beyond a long's range
+    becomes the end of that range.
     """
     own = vectors.select(F.col(id_col).cast("long").alias("id"), F.transform(column, lambda x: x.cast("double")).alias("x"))
     finite = F.forall("x", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
@@ -37,11 +42,31 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", column: str = "e
 
 
 def products(q: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of integer arrays, exact: in float64 where that is, else in Python integers."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(m).max(initial=0)) * max(1, q.shape[1])
+    """Inner products of the rows of integer arrays, exact: in float64 where that is, else in Python integers.
+
+    A product beyond a long's range becomes the end of that range.
+    """
+    one, other = q.astype(np.float64), m.astype(np.float64)
+    most = float(np.abs(one).max(initial=0)) * float(np.abs(other).max(initial=0)) * max(1, q.shape[1])
     if most < EXACT:
-        return (q.astype(np.float64) @ m.T.astype(np.float64)).astype(np.int64)
-    return (q.astype(object) @ m.T.astype(object)).astype(np.int64)
+        return (one @ other.T).astype(np.int64)
+    whole = q.astype(object) @ m.T.astype(object)
+    return np.clip(whole, NO_FLOOR, MOST).astype(np.int64)
+
+
+def first_floors(queries: np.ndarray, query_ids: np.ndarray, sample: np.ndarray, ids: list[np.ndarray], k: int, chunk: int = 64) -> np.ndarray:
+    """Each query's k-th score among the sampled entries, its own id left out; the least long where they have fewer."""
+    floors = np.full(len(queries), NO_FLOOR)
+    if not len(sample):
+        return floors
+    entry, flat = np.repeat(np.arange(len(sample)), [len(x) for x in ids]), np.concatenate(ids)
+    if len(flat) < k:
+        return floors
+    for start in range(0, len(queries), chunk):
+        scores = products(queries[start:start + chunk], sample)[:, entry]
+        scores[query_ids[start:start + chunk, None] == flat[None, :]] = NO_FLOOR
+        floors[start:start + chunk] = np.partition(scores, -k, axis=1)[:, -k]
+    return floors
 
 
 class BallTree:
@@ -148,10 +173,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
 
     A query leaves out rows with its own id. Vectors of another length than
     the query's are not candidates. With fewer than ``k`` candidates, all are
-    returned; an empty table gives no rows. Shards of about ``shard_rows``
-    entries meet blocks of ``block`` queries, so a task holds one of each
-    whatever the sizes. The driver holds ``sample_rows`` entries (pivots, and
-    the common sample for the first k-th scores): a fixed bound.
+    returned; an empty table gives no rows. Scores beyond a long's range are
+    the end of that range and tie. Shards of about ``shard_rows`` entries meet
+    blocks of ``block`` queries, so a task holds one of each whatever the
+    sizes; a shard is read again for each block that has queries for it. The
+    driver holds ``sample_rows`` entries (pivots with their radii, and the
+    common sample for the first k-th scores): a fixed bound.
     """
     spark = vectors.sparkSession
     near = Window.partitionBy("v").orderBy("id")
@@ -178,44 +205,53 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
         base[dim] = total
         total += int(splits[dim].sum())
     shared = spark.sparkContext.broadcast((pivots, splits, base, sample))
+    first_ball = {dim: sum(len(pivots[d]) for d in sorted(counts) if d < dim) for dim in counts}
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pivots, splits, base, _ = shared.value
         for batch in batches:
-            shard = np.zeros(len(batch), dtype=np.int64)
+            shard, ball, away = np.zeros(len(batch), dtype=np.int64), np.zeros(len(batch), dtype=np.int64), np.zeros(len(batch))
             for dim, rows in batch.groupby("dim").indices.items():
                 v = np.array(batch["v"].iloc[rows].tolist(), dtype=np.int64).reshape(len(rows), dim)
                 home = _nearest(v, pivots[dim])
                 starts = base[dim] + np.concatenate([[0], np.cumsum(splits[dim])[:-1]])
                 shard[rows] = starts[home] + batch["salt"].to_numpy()[rows] % splits[dim][home]
-            yield pd.DataFrame({"shard": shard, "v": batch["v"], "ids": batch["ids"]})
-
-    def aim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pivots, splits, base, sample = shared.value
-        for batch in batches:
-            floors = np.full(len(batch), NO_FLOOR)
-            shards = [[]] * len(batch)
-            for dim, rows in batch.groupby("dim").indices.items():
-                if dim not in base:
-                    continue
-                v = np.array(batch["v"].iloc[rows].tolist(), dtype=np.int64).reshape(len(rows), dim)
-                own, ids = sample[dim]
-                if len(own):
-                    scores = products(v, own)
-                    for i, row in zip(rows, scores):
-                        values = np.concatenate([np.full(int((e != batch["id"].iloc[i]).sum()), s) for e, s in zip(ids, row)])
-                        if len(values) >= k:
-                            floors[i] = np.partition(values, -k)[-k]
-                for i in rows:
-                    shards[i] = np.arange(base[dim], base[dim] + int(splits[dim].sum()))
-            yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "floor": floors, "shards": shards})
-
-    n_queries = queries.count()
-    blocks = max(1, -(-n_queries // block))
-    placed = entries.select("v", "ids", "dim", F.pmod(F.xxhash64("v"), F.lit(1_000_003)).alias("salt")).mapInPandas(place, "shard long, v array<long>, ids array<long>")
-    placed = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    aimed = queries.distinct().withColumn("dim", F.size("v")).mapInPandas(aim, "id long, v array<long>, floor long, shards array<long>")
-    aimed = aimed.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode("shards")).drop("shards")
+                ball[rows] = first_ball[dim] + home
+                away[rows] = np.sqrt(((v.astype(np.float64) - pivots[dim].astype(np.float64)[home]) ** 2).sum(axis=1))
+            yield pd.DataFrame({"shard": shard, "ball": ball, "away": away, "v": batch["v"], "ids": batch["ids"]})
+
+    placed = entries.select("v", "ids", "dim", F.pmod(F.xxhash64("v"), F.lit(1_000_003)).alias("salt"))
+    placed = stored(placed.mapInPandas(place, "shard long, ball long, away double, v array<long>, ids array<long>"))
+    widest = {r["ball"]: r["away"] for r in placed.groupBy("ball").agg(F.max("away").alias("away")).collect()}
+    radii = {dim: np.array([widest.get(first_ball[dim] + i, -1.0) for i in range(len(pivots[dim]))]) for dim in counts}  # -1: an empty ball
+    around = spark.sparkContext.broadcast(radii)
+
+    def aim(later: bool):
+        """Queries with the shards to visit: those of the ball with the highest bound, or of the others whose bound reaches the floor."""
+        def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            pivots, splits, base, sample = shared.value
+            for batch in batches:
+                floors = batch["floor"].to_numpy().copy() if later else np.full(len(batch), NO_FLOOR)
+                shards = [[]] * len(batch)
+                for dim, rows in batch.groupby("dim").indices.items():
+                    if dim not in base:
+                        continue
+                    v = np.array(batch["v"].iloc[rows].tolist(), dtype=np.int64).reshape(len(rows), dim)
+                    if not later:
+                        floors[rows] = first_floors(v, batch["id"].to_numpy()[rows], *sample[dim], k)
+                    bound = ball_bounds(v, pivots[dim], around.value[dim])
+                    best = bound.argmax(axis=1)
+                    starts = base[dim] + np.concatenate([[0], np.cumsum(splits[dim])[:-1]])
+                    if later:
+                        wanted = bound >= floors[rows, None]
+                        wanted[np.arange(len(rows)), best] = False
+                        balls = [np.flatnonzero(own) for own in wanted]
+                    else:
+                        balls = best[:, None]
+                    for i, own in zip(rows, balls):
+                        shards[i] = np.concatenate([np.arange(starts[b], starts[b] + splits[dim][b]) for b in own]) if len(own) else []
+                yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "dim": batch["dim"], "floor": floors, "shards": shards})
+        return each
 
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -228,9 +264,38 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
                 out["score"].append(scores)
         return pd.DataFrame({c: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for c, x in out.items()})
 
-    found = placed.groupBy("shard", "block").cogroup(aimed.groupBy("shard", "block")).applyInPandas(run, "query_id long, vec_id long, score long")
+    asked = queries.distinct().withColumn("dim", F.size("v"))
+    n_queries = asked.count()
+    blocks, tasks = max(1, -(-n_queries // block)), max(1, -(-n_queries // AIMED))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def visit(aimed: DataFrame) -> DataFrame:
+        """The best of the aimed queries' shards; entries go only to blocks that ask for their shard."""
+        aimed = aimed.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode("shards")).drop("shards")
+        wanted = aimed.select(F.col("shard").alias("to"), F.col("block").alias("part")).distinct()
+        sought = placed.join(wanted, F.col("shard") == F.col("to")).select("to", "part", "v", "ids")
+        return sought.groupBy("to", "part").cogroup(aimed.groupBy("shard", "block")).applyInPandas(run, "query_id long, vec_id long, score long")
+
+    def best_of(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    aimed_as = "id long, v array<long>, dim int, floor long, shards array<long>"
+    first = stored(asked.repartition(tasks, "id", "v").mapInPandas(aim(False), aimed_as))
+    if all(len(p) == 1 for p in pivots.values()):  # no vectors of a length have a second ball
+        return best_of(visit(first))
+    best = stored(best_of(visit(first)))
+    risen = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    again = first.join(risen, "id", "left").withColumn("floor", F.greatest("floor", F.coalesce("kth", "floor"))).select("id", "v", "dim", "floor")
+    others = stored(again.repartition(tasks, "id", "v").mapInPandas(aim(True), aimed_as).filter(F.size("shards") > 0))
+    return best_of(best.drop("rank").unionByName(visit(others)))
+
+
+def ball_bounds(queries: np.ndarray, centres: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Upper bounds of each query's inner product with what lies in each ball, a little wider for rounding; an empty ball has none."""
+    q, c = queries.astype(np.float64), centres.astype(np.float64)
+    norms, far = np.sqrt((q**2).sum(axis=1))[:, None], np.sqrt((c**2).sum(axis=1))[None, :]
+    bound = q @ c.T + norms * radii[None, :] + 1e-9 * (1 + norms * (far + radii[None, :]))
+    return np.where(radii[None, :] < 0, -np.inf, bound)
 
 
 def _nearest(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:

@@ -30,8 +30,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 GRADES = 4
 #: Labelled rows that training reads at most.
 MAX_ROWS = 20_000
-#: Features kept at most, and the least log-likelihood ratio of one.
-MAX_FEATURES, LEAST_G2 = 4_096, 20.0
+#: The least log-likelihood ratio of a feature; their number is bounded by what ``MAX_ROWS`` documents hold.
+LEAST_G2 = 20.0
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
 
     g2 = 2 * (part(F.col("t"), n1, rate) + part(F.col("c"), n0, rate) + part(n1 - F.col("t"), n1, 1 - rate) + part(n0 - F.col("c"), n0, 1 - rate))
     chosen = counted.filter((F.col("feature") != "") & (F.col("t") * n0 > F.col("c") * n1)).withColumn("g2", g2)
-    chosen = chosen.filter(F.col("g2") >= LEAST_G2).orderBy(F.col("g2").desc(), "feature").limit(MAX_FEATURES)
+    chosen = chosen.filter(F.col("g2") >= LEAST_G2)
     features = {f: i for i, f in enumerate(_without_redundant({r["feature"]: r["g2"] for r in chosen.select("feature", "g2").collect()}))}
     if not features:
         return nothing

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import table
+from tessera.llm.common import free_name, table
 
 #: Verdict, host and path of each rule.
 RULES = (
@@ -114,15 +114,17 @@ def judge(pages: DataFrame, outcomes: DataFrame, threshold: float = 0.5, url: st
     ``outcomes`` has (host, bad). A page that no rule fits is blocked if its
     host's bound is above ``threshold``. Null urls and urls without ``://``
     have an empty host and path and are judged as that host; hosts not in
-    ``outcomes`` are allowed. Repeated rows are judged alike.
+    ``outcomes`` are allowed. Repeated rows are judged alike, an empty table
+    gives an empty table, other columns stay, whatever they are called.
     """
-    known = reputation(outcomes, **how).filter(F.col("bound") > threshold).select(F.col("host").alias("_bad_host"))
     own = pages.drop("host", "path", "rule", "verdict")
+    bad = free_name(own, "_bad_host")
+    known = reputation(outcomes, **how).filter(F.col("bound") > threshold).select(F.col("host").alias(bad))
     own = own.withColumn("host", host_of(F.col(url))).withColumn("path", path_of(F.col(url)))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    found = own.join(known, F.col("host") == F.col("_bad_host"), "left")
-    by_method = F.when(F.col("_bad_host").isNotNull(), "block").otherwise("allow")
-    return found.withColumn("rule", name).withColumn("verdict", F.coalesce(verdict, by_method)).drop("_bad_host")
+    found = own.join(known, F.col("host") == F.col(bad), "left")
+    by_method = F.when(F.col(bad).isNotNull(), "block").otherwise("allow")
+    return found.withColumn("rule", name).withColumn("verdict", F.coalesce(verdict, by_method)).drop(bad)
 
 
 def labelled_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:

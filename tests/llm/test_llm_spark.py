@@ -194,6 +194,75 @@ def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
     assert seen == [60] and "vile" in model.features
 
 
+def plain_bounded_raking(cells, goals, most, sweeps=400):
+    """Weights of {cell: tokens}: least(most, raw), raw scaled value by value until the marginals meet the goals; by bisection."""
+    whole = sum(cells.values())
+    raw = {c: t / whole for c, t in cells.items()}
+    for _ in range(sweeps):
+        for d, wanted in enumerate(goals):
+            for value, goal in wanted.items():
+                own = [c for c in cells if c[d] == value]
+                low, high = 0.0, 1e9
+                for _ in range(200):
+                    middle = (low * high) ** 0.5 if low else high / 2
+                    if sum(min(most[c], raw[c] * middle) for c in own) < goal:
+                        low = middle
+                    else:
+                        high = middle
+                for c in own:
+                    raw[c] *= high
+    return {c: min(most[c], raw[c]) for c in cells}
+
+
+def test_full_cells_leave_their_weight_to_others(spark):
+    sizes = iter((900, 50, 30, 20, 25, 70, 41, 300, 60, 48, 90, 40))
+    cells = {(s, g, t): next(sizes) for s in ("a", "b", "(null)") for g in ("en", "fr") for t in ("x", "y")}
+    frame = spark.createDataFrame([(*c, n) for c, n in cells.items()], "source string, lang string, topic string, tokens long")
+    targets, budget, whole = {"source": 0.8, "lang": {"en": 0.6, "fr": 0.4}, "topic": 0.9}, 0.7, sum(cells.values())
+    got = {(r.source, r.lang, r.topic): r for r in mixing.probabilities(mixing.rake(frame, targets, budget, tolerance=1e-5), budget).collect()}
+    sums = [{}, {}, {}]
+    for c, n in cells.items():
+        for d in range(3):
+            sums[d][c[d]] = sums[d].get(c[d], 0) + n
+    goals = [{v: n**0.8 for v, n in sums[0].items()}, {"en": 0.6, "fr": 0.4}, {v: n**0.9 for v, n in sums[2].items()}]
+    goals = [{v: g / sum(own.values()) for v, g in own.items()} for own in goals]
+    plain = plain_bounded_raking(cells, goals, {c: n / whole / budget for c, n in cells.items()})
+    assert any(r.p == 1 for r in got.values()) and all(r.p <= 1 for r in got.values())
+    for c, w in plain.items():
+        assert got[c].weight == pytest.approx(w, abs=1e-3)
+        assert got[c].p == pytest.approx(min(1, w * budget * whole / cells[c]), abs=5e-3)
+    assert sum(r.p * r.tokens for r in got.values()) == pytest.approx(budget * whole, rel=1e-4)
+
+
+def test_goals_beyond_what_values_hold_are_dealt_on_and_reported(spark, caplog):
+    rows = [("a", "en", "x", 900), ("b", "en", "x", 90), ("c", "fr", "y", 10)]
+    frame = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    targets = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": 1.0, "topic": 1.0}
+    raked = mixing.rake(frame, {"source": targets["source"]}, 0.8)
+    got = {r.source: r.weight for r in raked.collect()}
+    assert got == pytest.approx({"c": 0.0125, "b": 0.1125, "a": 0.875}, abs=1e-6)  # c and b are taken whole
+    told = {(r.dimension, r.value): (r.target, r.reached) for r in mixing.misses(raked, {"source": targets["source"]}).collect()}
+    assert told[("source", "c")] == pytest.approx((0.2, 0.0125), abs=1e-6)
+    crossed = spark.createDataFrame([("a", "en", "x", 5), ("b", "fr", "y", 5)], "source string, lang string, topic string, tokens long")
+    with caplog.at_level("WARNING"):
+        raked = mixing.rake(crossed, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "fr": 0.9}})
+    assert "off its goal" in caplog.text
+    assert max(abs(r.target - r.reached) for r in mixing.misses(raked, {"source": {"a": 0.9, "b": 0.1}, "lang": {"en": 0.1, "fr": 0.9}}).collect()) > 0.5
+
+
+def test_clashing_names_in_mixing_and_urls(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("_cell_source", F.lit("x")).withColumn("p", F.lit(2)).withColumn("_tokens", F.lit(1))
+    kept = mixing.sample(docs)
+    assert kept.columns == docs.columns
+    plain = {r.doc_id for r in mixing.sample(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert {r.doc_id for r in kept.collect()} == plain
+    assert mixing.sample(docs.limit(0)).count() == 0
+    pages = spark.createDataFrame([(1, "http://bad.com/9", 7)], "page_id long, url string, _bad_host int")
+    outcomes = spark.createDataFrame([("bad.com", 1)] * 60 + [("good.com", 0)] * 60, "host string, bad int")
+    assert [(r["_bad_host"], r.verdict) for r in urls.judge(pages, outcomes).collect()] == [(7, "block")]
+    assert urls.judge(pages.limit(0), outcomes).count() == 0
+
+
 def test_secrets_by_ownership(spark):
     key = "x9Kq2LmZ7pRt4VbN8sWd1"
     rows = [(1, f"own {key}", "a", "en"), (2, f"own {key}", "a", "fr"), (3, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "a", "en"), (4, "shared Zx8Kq2LmZ7pRt4VbN8sWd2", "b", "en"),
@@ -222,6 +291,15 @@ def test_secrets_by_share_of_the_corpus(spark):
     assert said(wide) == copied and said(pasted) == copied and said(mirrored) == copied  # owners, copies, repositories
 
 
+def test_copies_are_many_by_the_size_of_the_corpus(spark):
+    key = "x9Kq2LmZ7pRt4VbN8sWd1"
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.lit("en").alias("lang"),
+                                   F.when(F.col("id") < 15, key).otherwise("none").alias("text"))
+    live = secret_scan.find_secrets(docs, many_copies=3).agg(F.sum("n_live"), F.sum("n_copied")).first()
+    assert tuple(live) == (15, 0)  # 20 of 400 would be many
+    assert tuple(secret_scan.find_secrets(docs.limit(200), many_copies=3).agg(F.sum("n_live"), F.sum("n_copied")).first()) == (0, 15)
+
+
 def test_urls(spark):
     rows = [(1, "http://Sub.Example.NET/en/1"), (2, "http://a.net/x"), (3, "https://x.org/fr/2?a#b"), (4, "http://bad.com/9"), (5, None), (6, "no scheme"),
             (7, "http://example.com/de/1"), (8, "http://good.com#x://y"), (9, "http://a.net")]
@@ -256,6 +334,32 @@ def test_top_k_edges(spark):
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_in_waves_over_many_shards(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 3, (6, 8))
+    points = np.concatenate([c + rng.normal(0, 0.2, (60, 8)) for c in centres] + [np.tile(centres[0], (120, 1))])
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = np.floor(points * 1024).astype(int)
+    scores = whole @ whole.T
+    got = {}
+    for r in topk.top_k(vectors, vectors.filter("id % 7 = 0"), k=5, shard_rows=40, block=11, sample_rows=64).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(got) == set(range(0, len(rows), 7))
+    for q, found in got.items():
+        best = sorted((j for j in range(len(rows)) if j != q), key=lambda j: (-scores[q, j], j))[:5]
+        assert sorted(found) == [(i + 1, j, scores[q, j]) for i, j in enumerate(best)]
+
+
+def test_top_k_beyond_a_long(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 1.0]), (2, [-1e300, 0.0]), (3, [1.0, 1.0])]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted((r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors, vectors.filter("id = 0")).collect())
+    assert got == [(1, 1, 2**63 - 1), (2, 3, 2**63 - 1), (3, 2, -(2**63))]
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 50 and np.all([r.n_tokens == len(r.token_ids) for r in out.collect()])
