@@ -101,14 +101,16 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget:
     Stops when no marginal is off by more than ``tolerance``, when some sweeps
     gain nothing (as when targets contradict each other through empty cells),
     or after ``most`` sweeps; if a marginal is still off then, a warning is
-    logged, and :func:`misses` tells which. One written table a step, so
-    that no plan nests those before it; the driver sees one number a sweep.
+    logged, and :func:`misses` tells which. A sweep over all dimensions is one
+    plan and one written table, so that no plan nests earlier sweeps; the
+    driver sees one number a sweep.
     """
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
     share = F.col("tokens") / F.col("whole")
     now = cells.join(F.broadcast(whole), F.lit(True)).withColumn("raw", share)
     now = stored(now.withColumn("most", share / F.lit(float(budget)) if budget else F.lit(math.inf)).drop("whole"))
     goals = {d: stored(_reachable(now, d, _target(cells, d, wanted))) for d, wanted in targets.items()}
+    goal_of_all = reduce(DataFrame.unionAll, [g.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "goal") for d, g in goals.items()])
     weight, full = F.least("raw", "most"), F.col("raw") >= F.col("most")
 
     def marginal(weighted: DataFrame, d: str) -> DataFrame:
@@ -121,9 +123,11 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget:
         for d in targets:
             by_free = F.when((F.col("free") > 0) & (F.col("goal") > F.col("fixed")), (F.col("goal") - F.col("fixed")) / F.col("free"))
             factor = F.coalesce(by_free, F.least(F.lit(1.0), F.try_divide("goal", "sum")), F.lit(0.0))
-            now = stored(now.join(marginal(now, d).select(d, factor.alias("factor")), d).withColumn("raw", F.col("raw") * F.col("factor")).drop("factor"))
-        off = [marginal(now, d).select(F.abs(F.col("sum") - F.col("goal")).alias("off")) for d in targets]
-        worst = reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0]
+            now = now.join(marginal(now, d).select(d, factor.alias("factor")), d).withColumn("raw", F.col("raw") * F.col("factor")).drop("factor")
+        now = stored(now)
+        ends = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in targets]))
+        sums = now.select(ends.alias("end"), weight.alias("w")).groupBy("end.dimension", "end.value").agg(F.sum("w").alias("sum"))
+        worst = sums.join(goal_of_all, ["dimension", "value"]).agg(F.max(F.abs(F.col("sum") - F.col("goal")))).first()[0]
         idle = 0 if worst is not None and worst < best - tolerance / SWEEPS else idle + 1
         best = best if worst is None else min(best, worst)
         if worst is None or worst <= tolerance or idle >= PATIENCE:
