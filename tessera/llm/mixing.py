@@ -8,15 +8,21 @@ each of its documents is sampled. No cell can give more tokens than it has:
 one that is asked for more is taken whole, and raking deals what it can't give
 to the other cells of the same values.
 
-Cells and marginals stay Spark tables: their number grows with the sources.
+Cells and marginals are Spark tables, as their number grows with the sources.
+A cell table whose bytes are counted and within a bound is raked by one task,
+which spares a loop of small jobs; a bigger one by joins and aggregates, with
+the same arithmetic.
 """
 
 from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +34,8 @@ TARGETS: dict[str, float | dict[str, float]] = {"source": 0.7, "lang": 0.7, "top
 BUDGET = 0.8
 #: Sweeps at most, and sweeps without a gain after which raking ends.
 SWEEPS, PATIENCE = 100, 3
+#: Largest cell table, in bytes, that one task rakes, and what a cell counts beside its dimensions' texts.
+TASK_BYTES, CELL_BYTES = 32 * 1024 * 1024, 64
 LOG = logging.getLogger(__name__)
 
 
@@ -88,7 +96,7 @@ def _reachable(cells: DataFrame, dimension: str, goals: DataFrame) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget: float | None = None, tolerance: float = 1e-4,
-         most: int = SWEEPS) -> DataFrame:
+         most: int = SWEEPS, task_bytes: int = TASK_BYTES) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``weight``: shares whose marginals meet the targets.
 
     A number as target tempers the dimension's token shares by that power; a
@@ -101,10 +109,81 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget:
     Stops when no marginal is off by more than ``tolerance``, when some sweeps
     gain nothing (as when targets contradict each other through empty cells),
     or after ``most`` sweeps; if a marginal is still off then, a warning is
-    logged, and :func:`misses` tells which. A sweep over all dimensions is one
-    plan and one written table, so that no plan nests earlier sweeps; the
-    driver sees one number a sweep.
+    logged, and :func:`misses` tells which. Dimensions hold no nulls.
+
+    A table of at most ``task_bytes`` bytes is raked by one task. Beyond, a
+    sweep over all dimensions is one plan and one written table, so that no
+    plan nests earlier sweeps; the driver sees one number a sweep.
     """
+    size = sum((F.octet_length(F.col(d)) for d in targets), F.lit(CELL_BYTES))
+    if (cells.agg(F.sum(size)).first()[0] or 0) <= task_bytes:
+        raked, worst = _rake_in_task(cells, targets, budget, tolerance, most)
+    else:
+        raked, worst = _rake_by_joins(cells, targets, budget, tolerance, most)
+    if worst is not None and worst > tolerance:
+        LOG.warning("raking ended with a marginal %.6f off its goal", worst)
+    return raked
+
+
+def _goes_on(worst: float, best: float, idle: int, tolerance: float) -> tuple[bool, float, int]:
+    """Whether another sweep is worth it, the best miss so far, and how many sweeps gained nothing."""
+    idle = 0 if worst < best - tolerance / SWEEPS else idle + 1
+    return worst > tolerance and idle < PATIENCE, min(best, worst), idle
+
+
+def _rake_in_task(cells: DataFrame, targets: dict, budget: float | None, tolerance: float, most: int) -> tuple[DataFrame, float | None]:
+    """:func:`rake` of a table that fits one task, and the largest miss (None: no cells)."""
+    miss, columns, wanted = free_name(cells, "_miss"), cells.columns, list(targets.values())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.concat(list(frames) or [pd.DataFrame(columns=columns)], ignore_index=True)
+        if len(held):
+            weight, worst = rake_arrays([held[d].to_numpy(object) for d in targets], held["tokens"].to_numpy(float), wanted, budget, tolerance, most)
+            yield held.assign(weight=weight, **{miss: worst})
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cells.schema.fields)
+    raked = stored(cells.repartition(1).mapInPandas(run, f"{fields}, weight double, `{miss}` double"))
+    first = raked.select(miss).first()
+    return raked.drop(miss), first[0] if first else None
+
+
+def rake_arrays(dimensions: list[np.ndarray], tokens: np.ndarray, targets: list, budget: float | None, tolerance: float,
+                sweeps: int) -> tuple[np.ndarray, float]:
+    """Raked weights of cells given as one array a dimension, and the largest difference of a marginal from its goal."""
+    raw = tokens / max(tokens.sum(), 1e-300)
+    most = raw / budget if budget else np.full(len(raw), math.inf)
+    places, goals = [], []
+    for values, wanted in zip(dimensions, targets):
+        names, place = np.unique(values, return_inverse=True)
+        goal = np.array([float(wanted.get(v, 0.0)) for v in names]) if isinstance(wanted, dict) else np.bincount(place, tokens) ** float(wanted)
+        goal, room, times = goal / (goal.sum() or 1.0), np.bincount(place, most), 1.0
+        while True:  # goals beyond a value's room are dealt to the others
+            full = goal * times >= room
+            taken, left = room[full].sum(), goal[~full].sum()
+            higher = (1 - taken) / left if left > 0 and taken < 1 else times
+            if higher <= times * (1 + 1e-12):
+                break
+            times = higher
+        places.append(place)
+        goals.append(np.minimum(room, goal * times))
+    best, idle, worst, more = math.inf, 0, 0.0, True
+    for _ in range(sweeps):
+        for place, goal in zip(places, goals):
+            full, n = raw >= most, len(goal)
+            held = np.bincount(place, np.minimum(raw, most), n)
+            fixed, free = np.bincount(place[full], most[full], n), np.bincount(place[~full], raw[~full], n)
+            less = np.where(held > 0, np.minimum(1.0, goal / np.where(held > 0, held, 1.0)), 1.0)
+            raw = raw * np.where((free > 0) & (goal > fixed), (goal - fixed) / np.where(free > 0, free, 1.0), less)[place]
+        weight = np.minimum(raw, most)
+        worst = max(float(np.abs(np.bincount(p, weight, len(g)) - g).max()) for p, g in zip(places, goals))
+        more, best, idle = _goes_on(worst, best, idle, tolerance)
+        if not more:
+            break
+    return np.minimum(raw, most), worst
+
+
+def _rake_by_joins(cells: DataFrame, targets: dict, budget: float | None, tolerance: float, most: int) -> tuple[DataFrame, float | None]:
+    """:func:`rake` of a table of any size, and the largest miss (None: no cells)."""
     whole = cells.agg(F.sum("tokens").cast("double").alias("whole"))
     share = F.col("tokens") / F.col("whole")
     now = cells.join(F.broadcast(whole), F.lit(True)).withColumn("raw", share)
@@ -119,7 +198,7 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget:
             F.coalesce(F.sum(F.when(~full, F.col("raw"))), F.lit(0.0)).alias("free")).join(goals[d], d)
 
     best, idle, worst = math.inf, 0, None
-    for sweep in range(most):
+    for _ in range(most):
         for d in targets:
             by_free = F.when((F.col("free") > 0) & (F.col("goal") > F.col("fixed")), (F.col("goal") - F.col("fixed")) / F.col("free"))
             factor = F.coalesce(by_free, F.least(F.lit(1.0), F.try_divide("goal", "sum")), F.lit(0.0))
@@ -128,13 +207,12 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], budget:
         ends = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in targets]))
         sums = now.select(ends.alias("end"), weight.alias("w")).groupBy("end.dimension", "end.value").agg(F.sum("w").alias("sum"))
         worst = sums.join(goal_of_all, ["dimension", "value"]).agg(F.max(F.abs(F.col("sum") - F.col("goal")))).first()[0]
-        idle = 0 if worst is not None and worst < best - tolerance / SWEEPS else idle + 1
-        best = best if worst is None else min(best, worst)
-        if worst is None or worst <= tolerance or idle >= PATIENCE:
+        if worst is None:
             break
-    if worst is not None and worst > tolerance:
-        LOG.warning("raking ended with a marginal %.6f off its goal", worst)
-    return now.withColumn("weight", weight).drop("raw", "most")
+        more, best, idle = _goes_on(worst, best, idle, tolerance)
+        if not more:
+            break
+    return now.withColumn("weight", weight).drop("raw", "most"), worst
 
 
 def misses(cells: DataFrame, targets: dict[str, float | dict[str, float]] | None = None) -> DataFrame:
