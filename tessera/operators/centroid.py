@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.colour import first_smallest
+
 #: Labels whose centroids may be put into an expression.
 MAX_LABELS = 256
 
@@ -14,11 +16,15 @@ MAX_LABELS = 256
 def fit_centroids(train: DataFrame, inputs: Sequence[str], label: str, max_labels: int = MAX_LABELS) -> dict[str, tuple[float, ...]]:
     """The mean of ``inputs`` per ``label``. Rows with a null label or input are left out.
 
-    One aggregate with partial sums. The driver holds a row per label; more
-    than ``max_labels`` labels are an error, as such a model is no expression.
+    One aggregate with partial sums, and no filter before it: Spark would work out a derived label
+    a second time for each row to filter on it. The driver holds a row per label; more than
+    ``max_labels`` labels are an error, as such a model is no expression.
     """
-    known = train.dropna(subset=[label, *inputs])
-    rows = known.groupBy(label).agg(*[F.avg(c).alias(c) for c in inputs]).limit(max_labels + 1).collect()
+    known = F.lit(True)
+    for c in (label, *inputs):
+        known = known & F.col(c).isNotNull()
+    means = train.groupBy(label).agg(*[F.avg(F.when(known, F.col(c))).alias(c) for c in inputs], F.count_if(known).alias("__known"))
+    rows = means.filter(F.col("__known") > 0).limit(max_labels + 1).collect()
     if len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} labels in {label}")
     return {r[label]: tuple(float(r[c]) for c in inputs) for r in sorted(rows, key=lambda r: r[label])}
@@ -36,8 +42,6 @@ def nearest_centroid(inputs: Sequence[str], centroids: Mapping[str, Sequence[flo
             out = out + t
         return out
 
-    best = F.array_min(F.array(*[F.struct(away(centre).alias("away"), F.lit(label).alias("label")) for label, centre in centroids.items()]))
-    known = F.lit(True)
-    for c in inputs:
-        known = known & F.col(c).isNotNull()
-    return F.when(known, best["label"])
+    # a null input makes every distance null, and so the label
+    labels = sorted(centroids)
+    return first_smallest([away(centroids[label]) for label in labels], labels)
