@@ -10,8 +10,9 @@ token that stays separate from the last one starts a new configuration.
 configurations with the tokens they all share taken out, which are emitted at
 that moment. Live configurations start within the longest token's length of
 each other, so output follows input after a bounded lookahead, and the work
-per byte is one table lookup once a state is known. The table is cleared when
-it reaches ``max_states``; states are then built again, with the same results.
+per byte is one lookup in the state's own moves once they are known. All
+states are given up when there are ``max_states``; they are then built again,
+with the same results.
 
 Decoding. :class:`Decoder` runs an incremental UTF-8 state machine over token
 bytes, so text comes out token by token; a state is the bytes of a character
@@ -24,9 +25,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -37,9 +40,13 @@ from pyspark.sql import types as T
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Pieces that a worker remembers, twice; states and token pairs are in proportion. About 360 MB a worker when full.
 REMEMBER = 500_000
+#: Code points of the longest piece or pre-token remembered.
+SHORT = 32
 NEVER = float("inf")
 BYTE = [bytes([b]) for b in range(256)]
 NO_MOVES: dict = {}
+#: A space after white space: found by its space, as that is quicker to look for.
+SPACE_AFTER_WHITE = re.compile(r" (?<=\s )")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,6 +55,18 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+class State(dict):
+    """A state of a :class:`Transducer`: by byte, the next state and the tokens emitted; missing moves are made."""
+
+    __slots__ = ("subset", "end", "machine")
+
+    def __init__(self, subset: tuple, end: tuple, machine: Transducer):
+        self.subset, self.end, self.machine = subset, end, machine
+
+    def __missing__(self, byte: int) -> tuple[State, tuple]:
+        return self.machine._move(self, byte)
+
+
 class Transducer:
     """Lazily determinised encoder for one pre-token at a time."""
 
@@ -55,29 +74,38 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.max_states, self.max_pairs = max_states, max_pairs
-        # every prefix of a token: [its rank or None, whether a longer token starts with it]
-        self.pieces: dict[bytes, list] = {}
+        # the prefixes of all tokens, numbered, the empty one 0: by 256 * prefix + byte the longer prefix; its rank or None
+        self.longer: dict[int, int] = {}
+        self.rank_at: list[int | None] = [None]
+        self.extends: list[bool] = [True]  # whether a longer token starts with it
         for token, rank in ranks.items():
-            for end in range(1, len(token)):
-                self.pieces.setdefault(token[:end], [None, True])[1] = True
-            self.pieces.setdefault(token, [None, False])[0] = rank
+            at = 0
+            for byte in token:
+                self.extends[at] = True
+                step = at << 8 | byte
+                at = self.longer.get(step)
+                if at is None:
+                    at = self.longer[step] = len(self.rank_at)
+                    self.rank_at.append(None)
+                    self.extends.append(False)
+            self.rank_at[at] = rank
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._separate: dict[tuple[int, int], bool] = {}
+        self.width = max(ranks.values()) + 1
+        self._separate: dict[int, bool] = {}  # by width * left token + right token
+        self.states: dict[tuple, State] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.subsets: list[tuple] = []
-        self.ids: dict[tuple, int] = {}
-        self.moves: dict[int, tuple[int, tuple]] = {}  # by 256 * state + byte: 256 * next state, emitted tokens
-        self.ends: list[tuple] = []
-        self._intern(((None, b"", ()),))
-
-    def _intern(self, subset: tuple) -> int:
-        known = self.ids.get(subset)
+        for state in self.states.values():
+            state.clear()  # states lead to each other
+        self.states.clear()
+        self.start = self._state(((None, 0, ()),), ())
+
+    def _state(self, subset: tuple, end: tuple | None) -> State:
+        """The state of these configurations; ``end``: the tokens to write if the pre-token ends here."""
+        known = self.states.get(subset)
         if known is None:
-            known = self.ids[subset] = len(self.subsets)
-            self.subsets.append(subset)
-            self.ends.append(next((tail for _, piece, tail in subset if not piece), None))
+            known = self.states[subset] = State(subset, end, self)
         return known
 
     # -- which tokens may stand side by side ---------------------------------
@@ -103,7 +131,8 @@ class Transducer:
         its own other half. The tokens are not separate if some such pair of
         pieces would have merged with each other before that.
         """
-        known = self._separate.get((left, right))
+        pair = left * self.width + right
+        known = self._separate.get(pair)
         if known is not None:
             return known
         a, b, end_a, end_b, apart = left, right, NEVER, NEVER, True
@@ -123,30 +152,29 @@ class Transducer:
                 b, end_b = parts_b[0], b
         if len(self._separate) >= self.max_pairs:
             self._separate.clear()
-        self._separate[left, right] = apart
+        self._separate[pair] = apart
         return apart
 
     # -- the transducer ------------------------------------------------------
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple]:
-        live = []
-        read, pieces, known = BYTE[byte], self.pieces, self._separate
-        for last, piece, tail in self.subsets[state]:
-            piece += read
-            if piece not in pieces:
+    def _move(self, state: State, byte: int) -> tuple[State, tuple]:
+        live, end = [], None
+        longer, rank_at, extends, known, width = self.longer, self.rank_at, self.extends, self._separate, self.width
+        for last, piece, tail in state.subset:
+            piece = longer.get(piece << 8 | byte)
+            if piece is None:
                 continue
-            token, longer = pieces[piece]
-            if longer:
+            if extends[piece]:
                 live.append((last, piece, tail))
-            if token is not None:
-                if last is None:
-                    apart = True
-                elif (last, token) in known:
-                    apart = known[last, token]
-                else:
-                    apart = self.separate(last, token)
-                if apart:
-                    live.append((token, b"", (*tail, token)))
+            if end is None:  # what was read so far has one encoding
+                token = rank_at[piece]
+                if token is not None:
+                    apart = True if last is None else known.get(last * width + token)
+                    if apart is None:
+                        apart = self.separate(last, token)
+                    if apart:
+                        end = *tail, token
+                        live.append((token, 0, end))
         # the tokens that all live configurations begin with are certain
         emitted = live[0][2]
         for _, _, tail in live:
@@ -154,36 +182,33 @@ class Transducer:
                 break
             while tail[:len(emitted)] != emitted:
                 emitted = emitted[:-1]
-        shared = len(emitted)
-        subset = tuple([(last, piece, tail[shared:]) for last, piece, tail in live]) if shared else tuple(live)
-        if len(self.subsets) >= self.max_states and subset not in self.ids:
+        if emitted:
+            shared = len(emitted)
+            live = [(last, piece, tail[shared:]) for last, piece, tail in live]
+            end = end and end[shared:]
+        subset = tuple(live)
+        if len(self.states) >= self.max_states and subset not in self.states:
             self._clear()
-            return self._intern(subset) << 8, emitted
-        move = self.moves[state << 8 | byte] = self._intern(subset) << 8, emitted
+            return self._state(subset, end), emitted
+        move = state[byte] = self._state(subset, end), emitted
         return move
 
     def encode(self, data: Iterable[int]) -> Iterator[int]:
         """Token ids of one pre-token's bytes, each emitted as soon as it is certain."""
-        state = 0
+        state = self.start
         for byte in data:
-            move = self.moves.get(state + byte)
-            state, emitted = self._move(state >> 8, byte) if move is None else move
+            state, emitted = state[byte]
             yield from emitted
-        yield from self.ends[state >> 8]
+        yield from state.end
 
     def encode_all(self, data: bytes) -> list[int]:
         """:meth:`encode` as a list, without a generator's cost."""
-        state, out, moves = 0, [], self.moves
+        state, out = self.start, []
         for byte in data:
-            at = state + byte
-            if at in moves:
-                state, emitted = moves[at]
-            else:
-                state, emitted = self._move(state >> 8, byte)
-                moves = self.moves  # a full table starts anew
+            state, emitted = state[byte]
             if emitted:
                 out += emitted
-        out += self.ends[state >> 8]
+        out += state.end
         return out
 
 
@@ -220,6 +245,7 @@ class Decoder:
         self.bytes_of = bytes_of
         self.moves: dict[bytes, dict[int, tuple[bytes, str]]] = {}
         self.whole: dict[int, str] = {}  # moves from the resting state to itself
+        self._table: tuple[np.ndarray, pa.Array] | None = None
 
     def _move(self, pending: bytes, token: int) -> tuple[bytes, str]:
         now, parts = pending, []
@@ -243,7 +269,19 @@ class Decoder:
         if pending:
             yield "�"
 
-    def decode_all(self, ids: list[int], run: int = 256) -> str:
+    def table(self) -> tuple[np.ndarray, pa.Array]:
+        """By token: whether it moves from the resting state to itself, and the text of such a move as UTF-8."""
+        if self._table is None:
+            texts = [b""] * (max(self.bytes_of) + 1)
+            whole = np.zeros(len(texts), bool)
+            for token in self.bytes_of:
+                now, text = self._move(b"", token)
+                if not now:
+                    whole[token], texts[token] = True, text.encode("utf-8")
+            self._table = whole, pa.array(texts, pa.large_binary())
+        return self._table
+
+    def decode_all(self, ids: Sequence[int], run: int = 256) -> str:
         """:meth:`decode` as one string, by runs of ids.
 
         A run whose tokens all begin and end between characters needs only the
@@ -253,10 +291,11 @@ class Decoder:
         for at in range(0, len(ids), run):
             part = ids[at:at + run]
             if not pending:
-                texts = list(map(self.whole.get, part))
-                if None not in texts:
-                    out += texts
+                try:
+                    out.append("".join(map(self.whole.__getitem__, part)))
                     continue
+                except KeyError:
+                    pass
             for token in part:
                 pending, text = self.moves.get(pending, NO_MOVES).get(token) or self._move(pending, token)
                 out.append(text)
@@ -264,17 +303,54 @@ class Decoder:
             out.append("�")
         return "".join(out)
 
+    def decode_bytes(self, ids: np.ndarray) -> bytes | memoryview:
+        """:meth:`decode` as UTF-8: moves of :meth:`table`, and the machine token by token where a character is cut."""
+        whole, texts = self.table()
+        data, ends = gathered(texts, ids)  # cut tokens have no text there
+        cuts = np.flatnonzero(~whole[ids]).tolist()
+        if not cuts:
+            return data
+        out, pending, at = [], b"", 0
+        for cut in cuts:
+            if cut < at:
+                continue  # read with the cut before
+            out.append(data[ends[at]:ends[cut]])
+            at = cut
+            while at < len(ids) and (pending or at == cut):
+                token = int(ids[at])
+                pending, text = self.moves.get(pending, NO_MOVES).get(token) or self._move(pending, token)
+                out.append(text.encode("utf-8"))
+                at += 1
+        out.append("�".encode() if pending else data[ends[at]:])
+        return b"".join(out)
+
 
-class Remembered:
-    """A bounded map that forgets what was not asked for lately: two generations of ``size`` entries."""
+def gathered(strings: pa.LargeBinaryArray, at: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The strings at these places, one after another, and where each starts, with the end of all."""
+    _, ends, data = strings.take(pa.array(at)).buffers()
+    starts = np.frombuffer(ends, np.int64, len(at) + 1) if len(at) else np.zeros(1, np.int64)
+    return memoryview(data or b"")[:starts[-1]], starts
 
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
 
-    def put(self, key: str, value: tuple[int, ...]) -> tuple[int, ...]:
-        if len(self.young) >= self.size:
-            self.young, self.old = {}, self.young
-        self.young[key] = value
+class Remembered(dict):
+    """A bounded map of what ``make`` gives that forgets what was not asked for lately: two generations of ``size``.
+
+    ``make`` gives a key's value and whether to remember it.
+    """
+
+    def __init__(self, size: int, make: Callable[[str], tuple[bytes, bool]]):
+        self.size, self.make, self.old = size, make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value, keep = self.old.get(key), True
+        if value is None:
+            value, keep = self.make(key)
+        if keep:
+            if len(self) >= self.size:
+                self.old.clear()
+                self.old.update(self)
+                self.clear()
+            self[key] = value
         return value
 
 
@@ -283,8 +359,9 @@ class Codec:
 
     No pre-token of the byte-level pattern holds a space after a character that
     isn't white space, so a text may be cut before each such space and the
-    outputs of short pieces remembered, up to ``remember`` twice; the
-    transducer's tables are bounded in proportion.
+    outputs of short pieces remembered, up to ``remember`` twice, if they have
+    at most two pre-tokens; of the pre-tokens in other pieces half as many are
+    remembered. The transducer's tables are bounded in proportion.
     ``spaces_cut=False`` is for patterns without that property.
     """
 
@@ -292,53 +369,51 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.transducer = Transducer(ranks, max_states=remember * 4 // 5, max_pairs=remember * 4)
         self.decoder = Decoder(self.transducer.bytes_of)
-        self.pieces = Remembered(remember)
+        self.pieces = Remembered(remember, self._piece)
+        self.words = Remembered(max(1, remember // 2), self._word)
         self.spaces_cut = spaces_cut
-        self.names = list(map(str, range(max(ranks.values()) + 1)))
+        self.names = pa.array([b"%d " % i for i in range(self.transducer.width)], pa.large_binary())
+
+    def _word(self, word: str) -> tuple[bytes, bool]:
+        """Ids of one pre-token."""
+        return array("i", self.transducer.encode_all(word.encode("utf-8"))).tobytes(), len(word) <= SHORT
 
-    def _piece(self, piece: str) -> tuple[int, ...] | list[int]:
+    def _piece(self, piece: str) -> tuple[bytes, bool]:
         """Ids of one piece with the space before it."""
-        known = self.pieces
-        ids = known.old.get(piece)
-        if ids is None:
-            if piece.isalpha():  # letters only, so one pre-token
-                ids = tuple(self.transducer.encode_all((" " + piece).encode("utf-8")))
-            else:
-                ids = self._run(" " + piece)
-        return known.put(piece, tuple(ids)) if len(piece) <= 32 else ids
-
-    def _run(self, text: str) -> list[int]:
-        out, encode, known = [], self.transducer.encode_all, self.pieces
-        for word in self.find(text):
-            ids = known.young.get(word[1:]) if word[0] == " " and self.spaces_cut else None
-            out += encode(word.encode("utf-8")) if ids is None else ids
-        return out
+        text = " " + piece
+        words = [text] if piece.isalpha() else self.find(text)  # letters only are one pre-token
+        if len(words) == 1:
+            return self._word(words[0])
+        return b"".join(self._words(words)), len(words) == 2 and len(piece) <= SHORT
+
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        pieces, remembered = self.pieces, self.words
+        for word in words:
+            ids = pieces.get(word[1:]) if word[0] == " " and self.spaces_cut else None
+            yield remembered[word] if ids is None else ids
+
+    def packed(self, text: str | None) -> bytes:
+        """Ids of a text as C ints."""
+        if not text:
+            return b""
+        if not self.spaces_cut or SPACE_AFTER_WHITE.search(text):
+            return b"".join(self._words(self.find(text)))
+        first, *pieces = text.split(" ")
+        return b"".join(chain(self._words(self.find(first)), map(self.pieces.__getitem__, pieces)))
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        if not self.spaces_cut or re.search(r"\s ", text):
-            return self._run(text)
-        pieces = text.split(" ")
-        known = self.pieces
-        found = list(map(known.young.get, pieces))
-        found[0] = self._run(pieces[0])
-        for at, ids in enumerate(found):
-            if ids is None:
-                ids = known.young.get(pieces[at])  # met above in this text
-                found[at] = self._piece(pieces[at]) if ids is None else ids
-        return list(chain.from_iterable(found))
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.decoder.decode_all(ids)
 
 
-def digests(ids: list[int], codec: Codec) -> dict:
+def digests(ids: np.ndarray, codec: Codec) -> dict:
     """Token count and the hashes of the ids and of the bytes that they decode to."""
     return {
         "n_tokens": len(ids),
-        "ids_sha256": hashlib.sha256(" ".join(map(codec.names.__getitem__, ids)).encode()).hexdigest(),
-        "decoded_sha256": hashlib.sha256(codec.decode(ids).encode("utf-8")).hexdigest(),
+        "ids_sha256": hashlib.sha256(gathered(codec.names, ids)[0][:-1]).hexdigest(),
+        "decoded_sha256": hashlib.sha256(codec.decoder.decode_bytes(ids)).hexdigest(),
     }
 
 
@@ -353,7 +428,7 @@ TOKENS = T.StructType([
 ])
 
 
-def tokens(ids: list[int], codec: Codec) -> dict:
+def tokens(ids: np.ndarray, codec: Codec) -> dict:
     return {"n_tokens": len(ids), "token_ids": ids}
 
 
@@ -367,7 +442,7 @@ _CODECS: dict[tuple, Codec] = {}
 
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None,
-           emit: Callable[[list[int], Codec], dict] = tokens, schema: T.StructType = TOKENS,
+           emit: Callable[[np.ndarray, Codec], dict] = tokens, schema: T.StructType = TOKENS,
            remember: int = REMEMBER) -> DataFrame:
     """``docs`` with the columns that ``emit`` makes of each row's token ids.
 
@@ -401,7 +476,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
         for batch in batches:
             for start in range(0, batch.num_rows, 512):  # the ids of 512 documents at a time
                 part = batch.slice(start, 512)
-                made = [emit(codec.encode(x.as_py()), codec) for x in part.column(at)]
+                made = [emit(np.frombuffer(codec.packed(x.as_py()), np.intc), codec) for x in part.column(at)]
                 columns = [pa.array([m[f.name] for m in made], type=f.type) for f in new]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=out_schema.names)
 

@@ -1,6 +1,7 @@
 """Methods without Spark: transducer, UTF-8 machine, trees, signatures, regression, spans."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -52,6 +53,33 @@ def test_utf8_machine_replaces_like_the_standard():
         assert decoder.decode_all(list(data)) == data.decode("utf-8", "replace") == "".join(decoder.decode(data))
 
 
+def test_bpe_encodes_each_pre_token_once(codec, reference_encoding):
+    own = bpe.Codec(codec.transducer.ranks, public_tokenizers.PATTERN)
+    seen, encode_all = Counter(), own.transducer.encode_all
+    own.transducer.encode_all = lambda data: seen.update([data]) or encode_all(data)
+    for mark in ("\n", ".\n", "-", ",\n"):  # each makes another piece of the same two words
+        text = f"Hehaan hewhou{mark}Thesha"
+        assert own.encode(text) == reference_encoding.encode_ordinary(text)
+    assert seen[b" hewhou"] == seen[b"Thesha"] == 1
+
+
+def test_bpe_remembers_no_more_than_told(codec):
+    own = bpe.Codec(codec.transducer.ranks, public_tokenizers.PATTERN, remember=40)
+    for text in texts(200, seed=4):
+        assert own.encode(text) == codec.encode(text)
+        for kept in (own.pieces, own.words):
+            assert len(kept) <= kept.size and len(kept.old) <= kept.size
+        assert len(own.transducer.states) <= own.transducer.max_states + 1
+
+
+def test_decoded_bytes_are_the_machines(codec):
+    r = random.Random(6)
+    cut = [t for t, b in codec.transducer.bytes_of.items() if b.decode("utf-8", "replace").encode() != b]
+    for _ in range(500):
+        ids = [r.choice(cut) if r.random() < 0.3 else r.randrange(50_000) for _ in range(r.randrange(12))]
+        assert bytes(codec.decoder.decode_bytes(np.array(ids, np.intc))) == "".join(codec.decoder.decode(ids)).encode() == codec.decode(ids).encode()
+
+
 def brute_groups(points, bits):
     forest = simhash.Forest(len(points))
     for i in range(len(points)):
