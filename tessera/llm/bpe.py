@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Pieces that a worker remembers, twice; states and token pairs are in proportion. About 360 MB a worker when full.
+#: Pieces that a worker remembers, twice; states and token pairs are in proportion. When full about 360 MB a worker,
+#: as measured before pre-tokens were remembered too; not measured since.
 REMEMBER = 500_000
 #: Code points of the longest piece or pre-token remembered.
 SHORT = 32
